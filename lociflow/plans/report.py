@@ -102,8 +102,8 @@ def upset_table(df: DataFrame, genes: DataFrame, locus: str = "locus") -> DataFr
     place = number_rows(place, [F.col("chr").asc_nulls_last(), F.col("bp").asc_nulls_last(), locus], "position")
     named = genes.groupBy(locus).agg(F.min(blank_to_null("gene")).alias("gene"))
     labelled = lookup_join(place.select(locus, "position"), named, locus).withColumn("gene", F.coalesce("gene", locus))
-    table = natural_left_join(grid, cells)
-    return lookup_join(table, labelled, locus).select(
+    table = natural_left_join(natural_left_join(grid, cells), labelled)
+    return table.select(
         "study",
         locus,
         F.coalesce("n_reports", F.lit(0)).cast("long").alias("n_reports"),

@@ -37,6 +37,24 @@ VIEWS: dict[str, tuple[list[str], str]] = {
        power(10.0, -(l_extendedprice / 8000.0)) AS p,
        {_STUDY.format(k='l_suppkey')} AS study,
        l_orderkey AS order_id, l_linenumber AS line_no, l_suppkey AS supp_id
+FROM lineitem""",
+    ),
+    # reports already placed in a locus and an LD locus, either of them missing
+    # at times
+    "located": (
+        ["lineitem"],
+        f"""SELECT 'rs' || CAST(l_partkey AS string) AS snp,
+       CAST(l_partkey % 22 + 1 AS int) AS chr,
+       CAST({_L['bp']} AS bigint) AS bp,
+       CASE WHEN l_quantity >= 50 THEN NULL
+            ELSE 'L' || CAST(l_partkey % 22 + 1 AS string) || '_'
+                 || CAST(CAST(floor(({_L['bp']}) / 2000000) AS bigint) AS string) END AS locus,
+       CASE WHEN l_tax >= 0.075 THEN NULL ELSE CAST(floor(l_partkey / 3) AS bigint) END AS locus_ld,
+       l_quantity / 51.0 AS frq,
+       exp((l_discount - 0.05) * 30) AS odds_ratio,
+       power(10.0, -(l_extendedprice / 8000.0)) AS p,
+       {_STUDY.format(k='l_suppkey')} AS study,
+       l_orderkey AS order_id, l_linenumber AS line_no, l_suppkey AS supp_id
 FROM lineitem""",
     ),
     "study_meta": (
@@ -59,10 +77,10 @@ FROM part""",
     "bands": (
         ["nation"],
         """SELECT CAST(a.n_nationkey + 1 AS int) AS b_chr,
-       CAST(b.n_nationkey * 8000000 AS bigint) AS band_start,
-       CAST((b.n_nationkey + 1) * 8000000 AS bigint) AS band_end,
+       CAST((b.n_nationkey - b.n_nationkey % 5) * 8000000 AS bigint) AS band_start,
+       CAST((b.n_nationkey - b.n_nationkey % 5 + 5) * 8000000 AS bigint) AS band_end,
        'q' || CAST(b.n_nationkey AS string) AS band
-FROM nation a JOIN nation b ON a.n_regionkey >= 0 AND b.n_regionkey >= 0""",
+FROM nation a JOIN nation b ON a.n_regionkey = b.n_regionkey""",
     ),
     # population frequencies; every third variant lists the alleles the other
     # way round, and some sites sit one position off and so match nothing
@@ -110,7 +128,9 @@ FROM part""",
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One stand-in view over the parquet tables of ``sf_dir``."""
+    """One stand-in view, or a plain table, over the parquet files of ``sf_dir``."""
+    if name not in VIEWS:
+        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
     tables, sql = VIEWS[name]
     frames = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in tables}
     for t in tables:
