@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.nulls import if_else
-from ..scale import BROADCAST_ROWS, fits
+from ..scale import BROADCAST_ROWS, measure
 from . import scans
 from .cells import explode_interval_cells, explode_point_cells, levels_used
 
@@ -99,7 +99,8 @@ def overlap_join(
     """
     r_chr, r_start, r_end = right_on
     point = len(left_on) == 2
-    small = fits(right, max_rows)
+    size = measure(right, {"mean": F.avg(F.col(r_end) - F.col(r_start))}, max_rows)
+    small = size is not None
     clash = (set(left.columns) & set(right.columns)) - {r_chr}
     if clash:
         raise ValueError(f"columns on both sides: {sorted(clash)}")
@@ -107,8 +108,8 @@ def overlap_join(
     if point and small and not first_by:
         l_chr, pos = left_on
         if bin_size is None:
-            mean = right.agg(F.avg(F.col(r_end) - F.col(r_start))).first()[0] or 1
-            bin_size = 1 << max(int(mean), 1).bit_length()
+            # a power of two above the mean length: at most about three bins a row
+            bin_size = 1 << max(int(size["mean"] or 1), 1).bit_length()
         low, at = F.col(r_start) - reach, F.col(pos)
         to_bin = lambda c: F.floor(c / F.lit(bin_size)).cast("long")
         binned = (

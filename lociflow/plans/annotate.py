@@ -11,7 +11,6 @@ from ..operators.intervals import overlap_join
 from ..operators.joins import inherit_from, match_sites
 from ..operators.pick import best_per, first_per
 from ..operators.reshape import explode_list, separate, stack
-from ..scale import lookup_join
 
 # Biotypes kept when picking a variant's first transcript.
 WANTED_BIOTYPES = ["", "protein_coding"]
@@ -98,8 +97,7 @@ def combine(
     consequence:   snp, allele, hgvs_p, ...
 
     Rows of ``extra`` whose gene matches ``family`` are added and take the
-    locus of variant ``family_source``.  All annotation sides are keyed by snp,
-    so without broadcasts the large side is shuffled once for the whole chain.
+    locus of variant ``family_source``.
     """
     spans = lambda d: d.withColumnsRenamed({"chr": "_r_chr", "start": "_start", "end": "_end"})
     on = ("_r_chr", "_start", "_end")
@@ -108,9 +106,13 @@ def combine(
     placed = placed.select("snp", "locus", "cytoband", "locus_ld")
 
     members = extra.filter(F.col("gene").rlike(family))
-    out = stack([assoc, members])
-    for side in (frequency, population, placed):
-        out = lookup_join(out, side, "snp")
+    rows = stack([assoc, members])
+    # one row per variant carries all annotations, so the associations are
+    # shuffled once, however many annotations there are
+    known = rows.select("snp").distinct()
+    for side in (frequency, population, placed, nearest_gene, nearest_listed, consequence):
+        known = known.join(side, "snp", "left")
+    out = rows.join(known, "snp", "left")
     out = inherit_from(out, placed, family, family_source, ["locus", "cytoband", "locus_ld"])
     is_member = F.coalesce(F.col("snp").rlike(family), F.lit(False))
     out = out.withColumns(
@@ -120,8 +122,5 @@ def combine(
             "minor": F.when(is_member, F.col("a2")).otherwise(F.col("minor")),
         }
     )
-    out = align_to_minor(out)
-    for side in (nearest_gene, nearest_listed, consequence):
-        out = lookup_join(out, side, "snp")
-    return with_protein_change(out)
+    return with_protein_change(align_to_minor(out))
 

@@ -14,10 +14,12 @@ from pyspark.sql import functions as F
 
 from ..functions import classify, genetics, nulls, text
 from ..operators import harmonise as harm
-from ..operators import intervals, joins, pick, reshape, scans, summarise
+from ..operators import intervals, joins, ld, pick, reshape, scans, summarise
 from ..operators.nearest import nearest
+from ..sources import delimited, genome, variants
+from ..sources.schemas import schema_of
 from . import annotate, power, report
-from .standins import ctes, view
+from .standins import Views, ctes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -27,10 +29,10 @@ STUDIES = ["S0", "S1", "S2", "S3", "S4", "S5"]
 
 
 def query(name: str, sql: str | None = None):
-    """Register a function (view getter) -> DataFrame under a name."""
+    """Register a function (Views) -> DataFrame under a name."""
 
     def wrap(fn):
-        QUERIES[name] = lambda spark, sf_dir: fn(lambda v: view(spark, sf_dir, v))
+        QUERIES[name] = lambda spark, sf_dir: fn(Views(spark, sf_dir))
         if sql is not None:
             SQL[name] = sql
         return fn
@@ -800,7 +802,7 @@ def _(v):
 @query(
     "floor_and_cap",
     """SELECT p_partkey, CASE WHEN p_size > 40 THEN 1e-300 ELSE p_size / 100.0 END < 1e-200 AS floored,
-round(CASE WHEN p_size % 10 = 0 THEN 500 ELSE p_size * 1.5 END, 6) AS z FROM part""",
+round(CASE WHEN p_size % 10 = 0 THEN 500.0::double ELSE p_size * 1.5::double END, 6) AS z FROM part""",
 )
 def _(v):
     shown = F.when(F.col("p_size") > 40, "<1e-9x").otherwise((F.col("p_size") / 100).cast("string"))
@@ -1204,3 +1206,253 @@ def _(v):
     )
     strict = report.cohort_totals(rows, strict=True).select("data", "stage", F.col("controls").alias("controls_strict"))
     return report.cohort_totals(rows).select("data", "stage", "cases").join(strict, ["data", "stage"])
+
+
+# --- linkage disequilibrium -----------------------------------------------------
+
+_LD = f"""{ctes('dosage')},
+sums AS (SELECT a.chr, a.snp AS snp_a, a.bp AS bp_a, b.snp AS snp_b, b.bp AS bp_b, CAST(count(*) AS bigint) AS n,
+  CAST(sum(a.dosage) AS bigint) AS x, CAST(sum(b.dosage) AS bigint) AS y, CAST(sum(a.dosage * b.dosage) AS bigint) AS xy,
+  CAST(sum(a.dosage * a.dosage) AS bigint) AS xx, CAST(sum(b.dosage * b.dosage) AS bigint) AS yy
+  FROM dosage a JOIN dosage b ON a.sample_id = b.sample_id AND a.chr = b.chr AND b.bp - a.bp BETWEEN 0 AND 1000000
+  AND (a.bp < b.bp OR a.snp < b.snp) GROUP BY ALL),
+pairs AS (SELECT chr, snp_a, bp_a, snp_b, bp_b, n, CASE WHEN n * xx - x * x > 0 AND n * yy - y * y > 0
+  THEN CAST(n * xy - x * y AS double) * (n * xy - x * y) / (CAST(n * xx - x * x AS double) * (n * yy - y * y)) END AS r2 FROM sums),
+freq AS (SELECT chr, bp, snp, sum(dosage) / (2 * count(*)) AS f FROM dosage GROUP BY ALL),
+panel AS (SELECT chr, bp, snp, least(f, 1 - f) AS maf FROM freq)"""
+_CLIP = _LD.replace("WITH ", "WITH RECURSIVE ", 1) + """,
+usable AS (SELECT * FROM panel WHERE maf >= 0.001),
+edges AS (SELECT p.* FROM pairs p JOIN usable a ON snp_a = a.snp AND p.chr = a.chr JOIN usable b ON snp_b = b.snp AND p.chr = b.chr WHERE r2 >= 0.1),
+before AS (SELECT chr, snp_b AS snp, list(snp_a ORDER BY bp_a, snp_a) AS earlier FROM edges GROUP BY ALL),
+queue AS (SELECT u.chr, u.snp, coalesce(earlier, []) AS earlier, row_number() OVER (PARTITION BY u.chr ORDER BY bp, u.snp) AS i
+  FROM usable u LEFT JOIN before b ON u.chr = b.chr AND u.snp = b.snp),
+walk AS (SELECT DISTINCT chr, CAST(0 AS bigint) AS i, CAST([] AS varchar[]) AS kept FROM queue UNION ALL
+  SELECT w.chr, q.i, CASE WHEN list_has_any(w.kept, q.earlier) THEN w.kept ELSE list_append(w.kept, q.snp) END
+  FROM walk w JOIN queue q ON q.chr = w.chr AND q.i = w.i + 1),
+last AS (SELECT chr, kept FROM walk QUALIFY row_number() OVER (PARTITION BY chr ORDER BY i DESC) = 1),
+clip AS (SELECT p.chr, p.bp, p.snp, maf, coalesce(list_contains(l.kept, p.snp), false) AS kept,
+  CASE WHEN NOT list_contains(l.kept, p.snp) THEN list_filter(earlier, lambda e: list_contains(l.kept, e))[1] END AS keeper
+  FROM panel p LEFT JOIN last l ON p.chr = l.chr LEFT JOIN queue q ON q.chr = p.chr AND q.snp = p.snp)"""
+
+
+def _clip(v):
+    dosage = v("dosage")
+    return ld.ld_clip(ld.allele_maf(dosage), ld.ld_pairs(dosage))
+
+
+@query("ld_pairs", f"{_LD} SELECT chr, snp_a, bp_a, snp_b, bp_b, n, round(r2, 6) AS r2 FROM pairs")
+def _(v):
+    return ld.ld_pairs(v("dosage")).withColumn("r2", r6("r2"))
+
+
+@query("ld_maf", f"{_LD} SELECT chr, bp, snp, round(maf, 6) AS maf FROM panel")
+def _(v):
+    return ld.allele_maf(v("dosage")).withColumn("maf", r6("maf"))
+
+
+@query("ld_clip", f"{_CLIP} SELECT chr, bp, snp, kept, keeper FROM clip")
+def _(v):
+    return _clip(v).select("chr", "bp", "snp", "kept", "keeper")
+
+
+@query(
+    "ld_tags",
+    f"""{_CLIP}, listed AS (SELECT DISTINCT snp, chr, bp FROM dosage UNION ALL SELECT 'new' || snp, chr, bp + 5 FROM (SELECT DISTINCT snp, chr, bp FROM dosage) t WHERE bp < 20000000)
+SELECT l.snp, l.chr, l.bp, coalesce(keeper, l.snp) AS tag, c.snp IS NOT NULL AS in_panel FROM listed l LEFT JOIN clip c ON c.snp = l.snp""",
+)
+def _(v):
+    sites = v("dosage").select("snp", "chr", "bp").distinct()
+    absent = sites.filter("bp < 20000000").select(F.concat(F.lit("new"), "snp").alias("snp"), "chr", (F.col("bp") + 5).alias("bp"))
+    return ld.with_tags(_clip(v), sites.unionByName(absent)).select("snp", "chr", "bp", "tag", "in_panel")
+
+
+_TAGGED = """tagged AS (SELECT snp, chr, bp, 'rs' || CAST(k - k % 3 AS string) AS tag, k % 10 <> 3 AS in_panel
+  FROM (SELECT DISTINCT snp, chr, bp, CAST(substr(snp, 3) AS bigint) AS k FROM assoc) t),
+firsts AS (SELECT tag, min((CASE WHEN in_panel THEN 0 ELSE 1 END, chr, bp, snp)) AS place FROM tagged GROUP BY tag),
+numbered AS (SELECT tag, CAST(row_number() OVER (ORDER BY place, tag) AS bigint) AS locus_ld FROM firsts),
+numbers AS (SELECT t.*, locus_ld FROM tagged t JOIN numbered n ON t.tag = n.tag)"""
+
+
+def _tagged(v):
+    k = F.substr("snp", F.lit(3)).cast("long")
+    rows = positions(v).withColumns({"tag": F.concat(F.lit("rs"), k - k % 3), "in_panel": k % 10 != 3})
+    return ld.ld_locus_id(rows).withColumn("locus_ld", F.col("locus_ld").cast("long"))
+
+
+@query("ld_locus_id", f"{ctes('assoc')}, {_TAGGED} SELECT snp, chr, bp, tag, locus_ld FROM numbers")
+def _(v):
+    return _tagged(v).select("snp", "chr", "bp", "tag", "locus_ld")
+
+
+@query(
+    "clump_leads",
+    f"""{ctes('assoc')}, {_TAGGED}, lows AS (SELECT snp, min(p) AS p FROM assoc GROUP BY snp),
+r AS (SELECT locus_ld, n.snp, row_number() OVER (PARTITION BY locus_ld ORDER BY p NULLS LAST, chr, bp, n.snp) AS rn FROM numbers n LEFT JOIN lows l ON n.snp = l.snp)
+SELECT n.snp, tag, n.locus_ld, r.snp AS tag_clump FROM numbers n JOIN r ON n.locus_ld = r.locus_ld AND rn = 1""",
+)
+def _(v):
+    return ld.clump_leads(_tagged(v), v("assoc")).select("snp", "tag", "locus_ld", "tag_clump")
+
+
+# --- files: each query writes with one sink and reads back with one source ------
+
+_ASSOC_OUT = """SELECT snp AS SNP, chr AS CHR, bp AS BP, CASE WHEN a1 = 'C' THEN NULL ELSE a1 END AS A1, a2 AS A2,
+round(frq, 6) AS FRQ, round(odds_ratio, 6) AS "OR" FROM assoc"""
+
+
+def _file_rows(v):
+    return v("assoc").select(
+        F.col("snp").alias("SNP"), F.col("chr").alias("CHR"), F.col("bp").alias("BP"),
+        F.when(F.col("a1") != "C", F.col("a1")).alias("A1"), F.col("a2").alias("A2"), r6("frq", "FRQ"), r6("odds_ratio", "OR"),
+    )
+
+
+@query("csv_round_trip", f"{ctes('assoc')} {_ASSOC_OUT}")
+def _(v):
+    path = v.folder("assoc.csv")
+    delimited.write_table(_file_rows(v), path)
+    return delimited.read_assoc(v.spark, path, schema_of(["SNP", "CHR", "BP", "A1", "A2", "FRQ", "OR"]))
+
+
+@query("headerless_tsv_round_trip", f"{ctes('assoc')} {_ASSOC_OUT}")
+def _(v):
+    path = v.folder("assoc.tsv")
+    delimited.write_table(_file_rows(v), path, sep="\t", header=False)
+    return delimited.read_assoc(v.spark, path, schema_of(["SNP", "CHR", "BP", "A1", "A2", "FRQ", "OR"]), "\t", header=False)
+
+
+@query("gzip_sumstats", f"{ctes('assoc')} {_ASSOC_OUT}")
+def _(v):
+    path = v.folder("sumstats.tsv.gz")
+    delimited.write_table(_file_rows(v), path, sep="\t", compression="gzip")
+    return delimited.read_sumstats(v.spark, path, schema_of(["SNP", "CHR", "BP", "A1", "A2", "FRQ", "OR"]), "CHR", "BP")
+
+
+@query(
+    "read_studies",
+    f"""{ctes('assoc')} SELECT snp AS SNP, chr AS CHR, bp AS BP, a1 AS A1, a2 AS A2, round(frq, 6) AS FRQ, round(odds_ratio, 6) AS "OR",
+round(p * 1e8, 6) AS P, CASE WHEN study IN ('S0', 'S1') THEN NULL ELSE 'g' || snp END AS GENE, study FROM assoc""",
+)
+def _(v):
+    names = ["SNP", "CHR", "BP", "A1", "A2", "FRQ", "OR", "P"]
+    files = {}
+    rows = v("assoc")
+    for study in STUDIES:
+        own = rows.filter(F.col("study") == study).select(
+            F.col("snp").alias("SNP"), F.col("chr").alias("CHR"), F.col("bp").alias("BP"), F.col("a1").alias("A1"),
+            F.col("a2").alias("A2"), r6("frq", "FRQ"), r6("odds_ratio", "OR"), r6(F.col("p") * 1e8, "P"),
+            F.concat(F.lit("g"), "snp").alias("GENE"),
+        )
+        columns = names if study in ("S0", "S1") else [*names, "GENE"]
+        path = v.folder(f"{study}.csv")
+        delimited.write_table(own.select(*columns), path)
+        files[study] = (path, schema_of(columns))
+    return delimited.read_studies(v.spark, files)
+
+
+@query(
+    "vcf_round_trip",
+    f"""{ctes('assoc')}, r AS (SELECT *, row_number() OVER (PARTITION BY snp ORDER BY order_id, line_no, supp_id) AS rn FROM assoc)
+SELECT CAST(chr AS string) AS chrom, bp AS pos, a1 AS ref, a2 AS alt, snp, study, round(odds_ratio, 6) AS odds_ratio FROM r WHERE rn = 1""",
+)
+def _(v):
+    path = v.folder("variants.vcf")
+    rows = pick.first_per(v("assoc"), ["snp"], TIES).withColumns({"or": r6("odds_ratio")})
+    variants.write_vcf(rows.select("chr", "bp", "a1", "a2", "snp", "or", "study"), path, ["snp", "or", "study"])
+    sample = F.get("samples", F.lit(0))
+    return variants.read_vcf(v.spark, path).select(
+        "chrom", "pos", "ref", "alt", sample["SNP"].alias("snp"), sample["STUDY"].alias("study"),
+        sample["OR"].cast("double").alias("odds_ratio"),
+    )
+
+
+@query("vcf_consequence", f"{_TRANSCRIPTS} SELECT snp, {', '.join(_FIELDS)} FROM w WHERE rn = 1")
+def _(v):
+    path = v.folder("annotated.vcf")
+    shown = " | ".join(["Allele", "Annotation", "Annotation_Impact", "Gene_Name", "BioType", "HGVS.p"])
+    head = [f"##INFO=<ID=ANN,Number=.,Type=String,Description=\"Annotations: '{shown}' \">"]
+    lines = v("ann").select(
+        F.concat_ws("\t", F.lit("1"), F.lit("1"), F.lit("."), F.lit("A"), F.lit("C"), F.lit("."), F.lit("."),
+                    F.concat(F.lit("DB;ANN="), "ann"), F.lit("SNP"), "snp").alias("value")
+    )
+    lines.unionByName(v.spark.createDataFrame([(h,) for h in head], "value string")).write.text(path)
+    fields = variants.ann_fields(variants.vcf_header(v.spark, path))
+    rows = variants.read_vcf(v.spark, path).select(
+        F.get("samples", F.lit(0))["SNP"].alias("snp"), F.col("info")["ANN"].alias("ann")
+    )
+    out = annotate.annotate_consequence(rows, fields, biotype="BioType")
+    return reshape.clean_names(out.withColumnsRenamed({"BioType": "biotype", "HGVS.p": "hgvs_p"}))
+
+
+@query(
+    "vcf_site_frequency",
+    f"""{ctes('sites')} SELECT chr, bp, id, ref, alt, round(af, 6) AS af, CASE WHEN af > 0.5 THEN round(af / 2, 6) END AS af_afr FROM sites""",
+)
+def _(v):
+    path = v.folder("sites.vcf")
+    info = F.concat_ws(
+        ";", F.lit("DB"), F.concat(F.lit("AF="), r6("af")), F.when(F.col("af") > 0.5, F.concat(F.lit("AF_afr="), r6(F.col("af") / 2, "h")))
+    )
+    v("sites").select(
+        F.concat_ws("\t", "chr", "bp", "id", "ref", "alt", F.lit("."), F.lit("PASS"), info).alias("value")
+    ).write.text(path)
+    return variants.site_frequencies(variants.read_vcf(v.spark, path), ["AF", "AF_afr"])
+
+
+@query(
+    "gtf_genes",
+    f"""{ctes('genes')} SELECT CASE WHEN g_chr = 20 THEN 23 ELSE g_chr END AS chr, g_start AS "start", g_end AS "end", gene_name, 'HGNC:' || CAST(gene_ord AS string) AS hgnc_id
+FROM genes WHERE gene_ord % 4 <> 1 AND g_chr <> 22 AND gene_ord % 5 <> 2""",
+)
+def _(v):
+    path = v.folder("genes.gtf")
+    n = F.col("gene_ord")
+    chrom = F.when(F.col("g_chr") == 20, "X").when(F.col("g_chr") == 22, "GL000").otherwise(F.col("g_chr").cast("string"))
+    attributes = F.concat(
+        F.lit('gene_id "E'), n, F.lit('"; gene_type "'), F.when(n % 4 == 1, "lncRNA").otherwise("protein_coding"),
+        F.lit('"; gene_name "'), "gene_name", F.lit('"; level 2;'),
+        F.when(n % 5 == 2, "").otherwise(F.concat(F.lit(' hgnc_id "HGNC:'), n, F.lit('";'))),
+    )
+    rows = v("genes").select(F.explode(F.array(F.lit("gene"), F.lit("exon"))).alias("kind"), "*").select(
+        F.concat_ws("\t", F.concat(F.lit("chr"), chrom), F.lit("HAVANA"), "kind", "g_start", "g_end", F.lit("."), F.lit("+"), F.lit("."), attributes).alias("value")
+    )
+    rows.write.text(path)
+    return genome.read_genes(v.spark, path)
+
+
+@query(
+    "band_file",
+    f"""{ctes('bands')} SELECT CASE WHEN b_chr = 21 THEN 23 WHEN b_chr = 22 THEN 24 ELSE b_chr END AS chr, band_start, band_end,
+CAST(CASE WHEN b_chr = 21 THEN 23 WHEN b_chr = 22 THEN 24 ELSE b_chr END AS string) || band AS cytoband FROM bands WHERE b_chr <> 24""",
+)
+def _(v):
+    path = v.folder("bands.tsv")
+    c = F.col("b_chr")
+    chrom = F.when(c == 21, "chrX").when(c == 22, "chrY").when(c == 24, "chr6_apd_hap1").otherwise(F.concat(F.lit("chr"), c))
+    delimited.write_table(v("bands").select(chrom.alias("#chrom"), "band_start", "band_end", "band", F.lit("gneg").alias("stain")), path, "\t")
+    return genome.read_bands(v.spark, path).select("chr", "band_start", "band_end", "cytoband")
+
+
+@query(
+    "bed_round_trip",
+    f"""{ctes('assoc')} SELECT DISTINCT 'chr' || CAST(chr AS string) AS chrom, CASE WHEN bp - 500000 < 0 THEN 1 ELSE bp - 500000 END AS s,
+bp + 500000 AS e, snp || '_' || study AS name FROM assoc""",
+)
+def _(v):
+    path = v.folder("regions.bed")
+    rows = reshape.unite(v("assoc").select("snp", "study", "chr", "bp").distinct(), "name", ["snp", "study"])
+    genome.write_bed(intervals.flank(rows), path)
+    schema = "chrom string, s bigint, e bigint, name string"
+    return v.spark.read.schema(schema).option("sep", "\t").csv(path)
+
+
+@query(
+    "nested_parquet",
+    f"""{ctes('genes')} SELECT g_chr, CAST(floor(g_start / 1000000) AS bigint) AS mb, gene_name, g_start FROM genes""",
+)
+def _(v):
+    path = v.folder("nested.parquet")
+    rows = v("genes").select("g_chr", F.floor(F.col("g_start") / 1000000).cast("long").alias("mb"), "gene_name", "g_start")
+    delimited.write_nested(reshape.nest(rows, ["g_chr", "mb"]), path, "g_chr")
+    back = v.spark.read.schema("mb bigint, data array<struct<gene_name: string, g_start: bigint>>, g_chr int").parquet(path)
+    return reshape.unnest(back, "data")

@@ -7,8 +7,12 @@ the coordinate range first, so that large keys cannot overflow.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
+from ..scale import shared_dir
+
 _BP = "({k} % 200000000) * (({k} * 7919 + 104729) % 200000000) % 200000000 + 1"
 _A1 = "CASE {k} % 4 WHEN 0 THEN 'A' WHEN 1 THEN 'C' WHEN 2 THEN 'G' ELSE 'T' END"
 _A2 = "CASE {k} % 4 WHEN 0 THEN 'G' WHEN 1 THEN 'T' WHEN 2 THEN 'A' ELSE 'C' END"
@@ -127,6 +131,20 @@ FROM part""",
 }
 
 
+class Views:
+    """Getter of stand-in views and tables, with a folder for written tables."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def __call__(self, name: str) -> DataFrame:
+        return view(self.spark, self.sf_dir, name)
+
+    def folder(self, name: str) -> str:
+        """A new path under the folder that all executors share."""
+        return f"{shared_dir(self.spark)}/tables/{uuid.uuid4().hex}/{name}"
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One stand-in view, or a plain table, over the parquet files of ``sf_dir``."""
     if name not in VIEWS:

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 # A table with at most this many rows and bytes of text may be broadcast.
@@ -71,17 +71,25 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` of text.
+def measure(
+    df: DataFrame, extra: dict[str, Column] | None = None, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> Row | None:
+    """Size and ``extra`` aggregates of a small table, None when it is not small.
 
-    Reads no more than ``max_rows + 1`` rows, whatever the size of ``df``.
+    Small means at most ``max_rows`` rows and ``max_bytes`` of text.  No more
+    than ``max_rows + 1`` rows are read, whatever the size of ``df``.
     """
     width = sum(
         (F.length(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))).cast("long") for c in df.columns),
         F.lit(8),
     )
-    n, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(width)).first()
-    return n <= max_rows and (size or 0) <= max_bytes
+    more = [c.alias(n) for n, c in (extra or {}).items()]
+    row = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("size"), *more).first()
+    return row if row["n"] <= max_rows and (row["size"] or 0) <= max_bytes else None
+
+
+def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    return measure(df, None, max_rows, max_bytes) is not None
 
 
 def lookup_join(
