@@ -1456,3 +1456,93 @@ def _(v):
     delimited.write_nested(reshape.nest(rows, ["g_chr", "mb"]), path, "g_chr")
     back = v.spark.read.schema("mb bigint, data array<struct<gene_name: string, g_start: bigint>>, g_chr int").parquet(path)
     return reshape.unnest(back, "data")
+
+
+# --- the final annotated table ---------------------------------------------------
+
+_COMBINE = f"""{ctes('assoc', 'bands', 'sites', 'genes', 'tiers', 'ann')}, {_SIG}, {_LOCI}, {_TAGGED},
+extra AS (SELECT 'FAM 22' AS snp, 19 AS chr, 45412079 AS bp, 'TT/CC' AS a1, 'TT/TT' AS a2, 0.007::double AS frq, 0.42::double AS odds_ratio, 'X' AS study
+  UNION ALL SELECT 'FAM 44', 19, 45412079, 'TT/CC', 'CC/CC', 0.028::double, 12.28::double, 'X'),
+rows_ AS (SELECT snp, chr, bp, a1, a2, frq, odds_ratio, study, order_id, line_no, supp_id FROM assoc
+  UNION ALL SELECT snp, chr, bp, a1, a2, frq, odds_ratio, study, NULL, NULL, NULL FROM extra),
+placed AS (SELECT t.snp, l.locus, CAST(b.b_chr AS string) || b.band AS cytoband, locus_ld FROM numbers t
+  LEFT JOIN loci l ON t.chr = l_chr AND t.bp <= l_end AND t.bp + 1 >= l_start
+  LEFT JOIN bands b ON t.chr = b_chr AND t.bp <= band_end AND t.bp + 1 >= band_start),
+donor AS (SELECT {{'l': locus, 'c': cytoband, 'i': locus_ld}} AS d FROM placed WHERE snp = 'rs8' ORDER BY locus NULLS FIRST, cytoband NULLS FIRST LIMIT 1),
+freq AS (SELECT id AS snp, CASE WHEN af > 0.5 THEN alt ELSE ref END AS major, CASE WHEN af > 0.9 THEN NULL WHEN af < 0.5 THEN alt ELSE ref END AS minor,
+  CASE WHEN af > 0.5 THEN 1 - af ELSE af END AS global_maf FROM sites),
+vars AS (SELECT DISTINCT snp, chr, bp, a1, a2 FROM assoc),
+pop AS (SELECT snp, CASE WHEN af > 0.5 THEN 1 - af ELSE af END AS gnomad_maf, CASE WHEN af > 0.5 THEN ref ELSE alt END AS gnomad_minor
+  FROM vars v JOIN sites s ON v.chr = s.chr AND v.bp = s.bp AND a1 = ref AND a2 = alt),
+pts AS (SELECT DISTINCT snp, chr, bp FROM assoc),
+near_ AS (SELECT snp, gene_ord, gene_name, gene_name IN (SELECT gene FROM tiers WHERE tier = 'Tier 1') AS listed,
+  CASE WHEN bp BETWEEN g_start AND g_end THEN 0 ELSE least(abs(bp - g_start), abs(bp - g_end)) END AS d FROM pts JOIN genes ON chr = g_chr),
+gen AS (SELECT snp, gene_name AS gencode_gene, CAST(d AS bigint) AS gencode_dist FROM near_ QUALIFY row_number() OVER (PARTITION BY snp ORDER BY d, gene_ord) = 1),
+gvc AS (SELECT snp, CASE WHEN d <= 500000 THEN gene_name END AS gvc_gene FROM near_ WHERE listed QUALIFY row_number() OVER (PARTITION BY snp ORDER BY d, gene_ord) = 1),
+parts AS (SELECT snp, string_split(unnest(string_split(ann, ',')), '|') AS f, generate_subscripts(string_split(ann, ','), 1) AS place FROM ann),
+cons AS (SELECT snp, f[1] AS allele, f[3] AS annotation_impact, regexp_replace(replace(replace(f[6], 'Arg', 'R'), 'Ile', 'I'), '^p\\.', '') AS h
+  FROM parts WHERE f[5] IN ('', 'protein_coding') QUALIFY row_number() OVER (PARTITION BY snp ORDER BY place) = 1),
+j AS (SELECT r.*, CASE WHEN fam THEN d.l ELSE locus END AS locus, CASE WHEN fam THEN d.c ELSE cytoband END AS cytoband,
+  CASE WHEN fam THEN d.i ELSE locus_ld END AS locus_ld, CASE WHEN fam THEN r.a1 ELSE major END AS major, CASE WHEN fam THEN r.a2 ELSE minor END AS minor,
+  global_maf, gnomad_minor, CASE WHEN fam THEN r.frq ELSE gnomad_maf END AS gnomad_maf, gencode_gene, gencode_dist, gvc_gene, allele, annotation_impact, h
+  FROM (SELECT *, snp LIKE 'FAM%' AS fam FROM rows_) r LEFT JOIN placed p ON r.snp = p.snp LEFT JOIN freq ON r.snp = freq.snp LEFT JOIN pop ON r.snp = pop.snp
+  LEFT JOIN gen ON r.snp = gen.snp LEFT JOIN gvc ON r.snp = gvc.snp LEFT JOIN cons ON r.snp = cons.snp, (SELECT d FROM donor) dd(d)),
+k AS (SELECT *, {_FLIP} AS flip, nullif(regexp_extract(h, '[0-9]+'), '') AS n FROM j)"""
+
+
+@query(
+    "combine",
+    f"""{_COMBINE} SELECT snp, chr, bp, study, order_id, line_no, supp_id, locus, cytoband, locus_ld,
+CASE WHEN flip IS NULL THEN NULL WHEN flip THEN a2 ELSE a1 END AS a1, CASE WHEN flip IS NULL THEN NULL WHEN flip THEN minor ELSE a2 END AS a2,
+round(CASE WHEN flip IS NULL THEN NULL WHEN flip THEN 1 - frq ELSE frq END, 6) AS frq,
+round(CASE WHEN flip IS NULL THEN NULL WHEN flip THEN 1 / odds_ratio ELSE odds_ratio END, 6) AS odds_ratio,
+major, minor, round(global_maf, 6) AS global_maf, gnomad_minor, round(gnomad_maf, 6) AS gnomad_maf, gencode_gene, gencode_dist, gvc_gene,
+annotation_impact, h AS hgvs_p, CASE WHEN n IS NULL THEN NULL WHEN minor = allele THEN split_part(h, n, 1) || n || split_part(h, n, 2)
+ WHEN minor <> allele THEN split_part(h, n, 2) || n || split_part(h, n, 1) END AS hgvs_p_new FROM k""",
+)
+def _(v):
+    spans = lambda d, c, s, e: d.withColumnsRenamed({c: "chr", s: "start", e: "end"})
+    assoc, sites = v("assoc").withColumn("gene", F.concat(F.lit("near "), "snp")), v("sites")
+    extra = v.spark.createDataFrame(
+        [
+            ("FAM 22", 19, 45412079, "TT/CC", "TT/TT", "FAM e2/e2", 0.007, 0.42, "X"),
+            ("FAM 44", 19, 45412079, "TT/CC", "CC/CC", "FAM e4/e4", 0.028, 12.28, "X"),
+            ("rs1", 21, 27269932, "C", "T", "OTHER", 0.0003, 0.23, "Y"),
+        ],
+        "snp string, chr int, bp bigint, a1 string, a2 string, gene string, frq double, odds_ratio double, study string",
+    )
+    points = positions(v)
+    major, minor = genetics.major_minor("af", "ref", "alt")
+    frequency = sites.select(
+        F.col("id").alias("snp"), major.alias("major"), F.when(F.col("af") <= 0.9, minor).alias("minor"),
+        genetics.fold_maf("af", "ref", "alt")[0].alias("global_maf"),
+    )
+    vars_ = assoc.select("snp", "chr", "bp", "a1", "a2").distinct()
+    population = annotate.annotate_frequency(vars_, sites).select("snp", "gnomad_minor", "gnomad_maf")
+    on = ("g_chr", "g_start", "g_end")
+    near = nearest(points, v("genes"), interval_on=on).select(
+        "snp", F.col("gene_name").alias("gencode_gene"), F.col("dist").alias("gencode_dist")
+    )
+    passing = v("tiers").filter("tier = 'Tier 1'").select(F.col("gene").alias("gene_name"))
+    listed = v("genes").join(passing, "gene_name", "left_semi")
+    near_listed = nearest(points, listed, interval_on=on, max_dist=500_000).select("snp", F.col("gene_name").alias("gvc_gene"))
+    out = annotate.combine(
+        assoc=assoc,
+        extra=extra,
+        tags=_tagged(v),
+        loci=intervals.define_loci(genetics.significant(assoc)),
+        bands=spans(v("bands"), "b_chr", "band_start", "band_end").select(
+            "chr", "start", "end", F.concat(F.col("chr"), F.col("band")).alias("cytoband")
+        ),
+        frequency=frequency,
+        population=population,
+        nearest_gene=near,
+        nearest_listed=near_listed,
+        consequence=annotate.annotate_consequence(v("ann"), _FIELDS).select("snp", "allele", "annotation_impact", "hgvs_p"),
+        family="^FAM",
+        family_source="rs8",
+    )
+    return out.select(
+        "snp", "chr", "bp", "study", *TIES, "locus", "cytoband", "locus_ld", "a1", "a2", r6("frq"), r6("odds_ratio"), "major", "minor",
+        r6("global_maf"), "gnomad_minor", r6("gnomad_maf"), "gencode_gene", "gencode_dist", "gvc_gene", "annotation_impact", "hgvs_p", "hgvs_p_new",
+    )
