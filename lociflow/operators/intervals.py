@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from ..functions.nulls import if_else
 from ..scale import BROADCAST_ROWS, measure
 from . import scans
-from .cells import explode_interval_cells, explode_point_cells, levels_used
+from .cells import explode_interval_cells, explode_point_cells, levels_for
 
 # Fixed value: half width of the region around a variant.
 FLANK = 500_000
@@ -52,7 +52,7 @@ def define_loci(df: DataFrame, w: int = FLANK, chrom: str = "chr", pos: str = "b
     return with_locus_label(merge_intervals(flank(df.select(chrom, pos), pos, w), chrom), chrom)
 
 
-def _overlap_pairs(keys: DataFrame, right: DataFrame, r, reach: int | None, small: bool) -> DataFrame:
+def _overlap_pairs(keys: DataFrame, right: DataFrame, r, reach: int | None) -> DataFrame:
     """Distinct left spans (_chr, _s, _e) with every right row that overlaps.
 
     ``reach`` is the common left length, or None when it varies; then a pair is
@@ -60,20 +60,27 @@ def _overlap_pairs(keys: DataFrame, right: DataFrame, r, reach: int | None, smal
     inside the left span after its first position, never by both.
     """
     r_chr, r_start, r_end = r
-    hint = F.broadcast if small else (lambda d: d)
-    tagged = right.withColumnsRenamed({r_chr: "_chr"})
+    tagged = right.withColumnsRenamed({r_chr: "_chr"}).filter(F.col(r_end) >= F.col(r_start) - (reach or 0))
 
-    shift = reach or 0
-    covers = explode_interval_cells(tagged, F.col(r_start) - shift, F.col(r_end))
-    points = explode_point_cells(keys, F.col("_s"), levels_used(covers))
-    pairs = points.join(hint(covers), ["_chr", "_level", "_cell"]).drop("_level", "_cell")
+    first, last = F.col(r_start) - (reach or 0), F.col(r_end)
+    levels = levels_for(tagged, first, last)
+    covers = explode_interval_cells(tagged, first, last, levels)
+    points = explode_point_cells(keys, F.col("_s"), levels)
+    pairs = points.join(covers, ["_chr", "_level", "_cell"]).drop("_level", "_cell")
     if reach is not None:
         return pairs
 
-    longer = explode_interval_cells(keys.filter("_e > _s"), F.col("_s") + 1, F.col("_e"))
-    starts = explode_point_cells(tagged.filter(F.col(r_end) >= F.col(r_start)), F.col(r_start), levels_used(longer))
-    inside = longer.join(hint(starts), ["_chr", "_level", "_cell"]).drop("_level", "_cell")
-    return pairs.unionByName(inside)
+    long = keys.filter("_e > _s")
+    first, last = F.col("_s") + 1, F.col("_e")
+    levels = levels_for(long, first, last)
+    longer = explode_interval_cells(long, first, last, levels)
+    starts = explode_point_cells(tagged, F.col(r_start), levels)
+    return pairs.unionByName(longer.join(starts, ["_chr", "_level", "_cell"]).drop("_level", "_cell"))
+
+
+def measure_spans(df: DataFrame, on: tuple[str, str, str], max_rows: int = BROADCAST_ROWS) -> Row | None:
+    """Size and mean length of a small interval table, None when it is not small."""
+    return measure(df, {"mean": F.avg(F.col(on[2]) - F.col(on[1]))}, max_rows)
 
 
 def overlap_join(
@@ -86,12 +93,14 @@ def overlap_join(
     bin_size: int | None = None,
     first_by: list[str] | None = None,
     max_rows: int = BROADCAST_ROWS,
+    size: Row | None = None,
 ) -> DataFrame:
     """Join rows whose closed intervals overlap on the same chromosome.
 
     ``left_on`` is (chr, start, end), or (chr, pos) for the point span
     [pos, pos + reach].  The right chromosome column is dropped.  ``first_by``
-    keeps one right row per left row, the least in those columns.
+    keeps one right row per left row, the least in those columns.  ``size`` is
+    the result of ``measure_spans`` for the right side when the caller has it.
 
     A right side that passes the size check is binned and broadcast, and points
     are neither shuffled nor multiplied.  Otherwise the distinct left spans are
@@ -99,13 +108,14 @@ def overlap_join(
     """
     r_chr, r_start, r_end = right_on
     point = len(left_on) == 2
-    size = measure(right, {"mean": F.avg(F.col(r_end) - F.col(r_start))}, max_rows)
-    small = size is not None
     clash = (set(left.columns) & set(right.columns)) - {r_chr}
     if clash:
         raise ValueError(f"columns on both sides: {sorted(clash)}")
 
-    if point and small and not first_by:
+    small = point and not first_by
+    if small and size is None:
+        size = measure_spans(right, right_on, max_rows)
+    if small and size is not None:
         l_chr, pos = left_on
         if bin_size is None:
             # a power of two above the mean length: at most about three bins a row
@@ -129,7 +139,7 @@ def overlap_join(
     l_end = F.col(l_start) + reach if point else F.col(left_on[2])
     spans = left.withColumns({"_chr": F.col(l_chr), "_s": F.col(l_start), "_e": l_end})
     keys = spans.select("_chr", "_s", "_e").dropna().distinct()
-    pairs = _overlap_pairs(keys, right, right_on, reach if point else None, small)
+    pairs = _overlap_pairs(keys, right, right_on, reach if point else None)
     if first_by:
         rest = [c for c in right.columns if c != r_chr]
         least = F.min(F.struct(*first_by, *[F.col(c).alias(f"_v_{c}") for c in rest])).alias("_least")

@@ -55,21 +55,17 @@ def match_sites(
 
 
 def apply_overrides(df: DataFrame, overrides: list[tuple], key: str) -> DataFrame:
-    """Manual corrections given as (key, column, value)."""
-    by_column: dict[str, list[tuple]] = {}
+    """Manual corrections given as (key, column, value).
+
+    The hand-typed list becomes one literal map per column: no join.
+    """
+    by_column: dict[str, list] = {}
     for k, column, value in overrides:
-        by_column.setdefault(column, []).append((k, value))
-    spark = df.sparkSession
-    for column, pairs in by_column.items():
-        kind = f"_key {df.schema[key].dataType.simpleString()}, _value {df.schema[column].dataType.simpleString()}"
-        fixes = spark.createDataFrame(pairs, kind)
-        # the override list was typed in by hand, so it is broadcast
-        df = (
-            df.join(F.broadcast(fixes), F.col(key) == F.col("_key"), "left")
-            .withColumn(column, F.coalesce("_value", column))
-            .drop("_key", "_value")
-        )
-    return df
+        kind = df.schema[column].dataType
+        by_column.setdefault(column, []).extend([F.lit(k), F.lit(value).cast(kind)])
+    return df.withColumns(
+        {c: F.coalesce(F.try_element_at(F.create_map(*pairs), F.col(key)), F.col(c)) for c, pairs in by_column.items()}
+    )
 
 
 def inherit_from(

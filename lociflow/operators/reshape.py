@@ -119,7 +119,7 @@ def pivot_wider(df: DataFrame, ids: list[str], names: str, value: str, levels: l
 def with_level(df: DataFrame, col: str, levels: list[str], out: str) -> DataFrame:
     """Place of a category in a listed order, null for categories not listed."""
     pairs = F.create_map(*chain.from_iterable((F.lit(v), F.lit(i + 1)) for i, v in enumerate(levels)))
-    return df.withColumn(out, F.element_at(pairs, F.col(col)))
+    return df.withColumn(out, F.try_element_at(pairs, F.col(col)))
 
 
 def append_rows(df: DataFrame, rows: list[dict], schema: str) -> DataFrame:

@@ -14,6 +14,7 @@ import tempfile
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A table with at most this many rows and bytes of text may be broadcast.
 BROADCAST_ROWS = 200_000
@@ -71,6 +72,17 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _width(c: Column, kind: T.DataType) -> Column:
+    """About how many bytes a value takes."""
+    if isinstance(kind, T.StructType):
+        return sum((_width(c[f.name], f.dataType) for f in kind.fields), F.lit(8))
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.length(c), F.lit(0)).cast("long")
+    if isinstance(kind, (T.ArrayType, T.MapType)):
+        return F.coalesce(F.length(c.cast("string")), F.lit(0)).cast("long")
+    return F.lit(8).cast("long")
+
+
 def measure(
     df: DataFrame, extra: dict[str, Column] | None = None, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
 ) -> Row | None:
@@ -79,10 +91,7 @@ def measure(
     Small means at most ``max_rows`` rows and ``max_bytes`` of text.  No more
     than ``max_rows + 1`` rows are read, whatever the size of ``df``.
     """
-    width = sum(
-        (F.length(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))).cast("long") for c in df.columns),
-        F.lit(8),
-    )
+    width = sum((_width(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields), F.lit(8))
     more = [c.alias(n) for n, c in (extra or {}).items()]
     row = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("size"), *more).first()
     return row if row["n"] <= max_rows and (row["size"] or 0) <= max_bytes else None
