@@ -55,12 +55,13 @@ def running_max_before(df: DataFrame, group: list[str], pos: str, value: str, ou
 
 def next_row(df: DataFrame, group: list[str], pos: str, value: Column, out: str) -> DataFrame:
     """``value`` of the row at the next position of the group, null for the last."""
-    after = _blocks(group).rowsBetween(1, Window.unboundedFollowing)
+    # read backwards: a frame that only grows is updated, never recomputed
+    after = Window.partitionBy(*group).orderBy(F.col("_block").desc()).rowsBetween(Window.unboundedPreceding, -1)
     df = df.withColumn("_here", value)
     carried = (
         df.groupBy(*group, "_block")
         .agg(F.min_by(F.struct(F.col("_here").alias("v")), pos).alias("_first"))
-        .withColumn("_carry", F.first("_first", ignorenulls=True).over(after))
+        .withColumn("_carry", F.last("_first", ignorenulls=True).over(after))
         .drop("_first")
     )
     inside = F.lead(F.struct(F.col("_here").alias("v"))).over(_in_block(group, pos))
@@ -94,25 +95,17 @@ def fill(
 
     known = F.col(column).isNotNull()
     pick = F.min_by if up else F.max_by
-    key = F.struct(F.col(order), *[F.col(t) for t in ties])
-    edge = (
-        df.groupBy(*group, "_block")
-        .agg(pick(F.when(known, F.col(column)), F.when(known, key)).alias("_edge"))
-    )
-    beyond = _blocks(group)
-    if up:
-        beyond, take = beyond.rowsBetween(1, Window.unboundedFollowing), F.first
-    else:
-        beyond, take = beyond.rowsBetween(Window.unboundedPreceding, -1), F.last
-    edge = edge.withColumn("_carry", take("_edge", ignorenulls=True).over(beyond)).drop("_edge")
-
-    inside = Window.partitionBy(*group, "_block").orderBy(order, *ties)
-    if up:
-        inside = inside.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    else:
-        inside = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    key = F.struct(F.col(order), *[F.col(t) for t in ties]) if ties else F.col(order)
+    edge = df.groupBy(*group, "_block").agg(pick(F.when(known, F.col(column)), F.when(known, key)).alias("_edge"))
+
+    # filling up reads backwards, so both directions look at earlier rows only
+    way = [F.col(c).desc() if up else F.col(c).asc() for c in ("_block", order, *ties)]
+    seen = Window.unboundedPreceding
+    beyond = Window.partitionBy(*group).orderBy(way[0]).rowsBetween(seen, -1)
+    edge = edge.withColumn("_carry", F.last("_edge", ignorenulls=True).over(beyond)).drop("_edge")
+    inside = Window.partitionBy(*group, "_block").orderBy(*way[1:]).rowsBetween(seen, Window.currentRow)
     return (
-        df.withColumn(column, take(column, ignorenulls=True).over(inside))
+        df.withColumn(column, F.last(column, ignorenulls=True).over(inside))
         .join(edge, [*group, "_block"])
         .withColumn(column, F.coalesce(column, "_carry"))
         .drop("_carry", "_block")

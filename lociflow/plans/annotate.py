@@ -11,6 +11,7 @@ from ..operators.intervals import overlap_join
 from ..operators.joins import inherit_from, match_sites
 from ..operators.pick import best_per, first_per
 from ..operators.reshape import explode_list, separate, stack
+from ..scale import settle
 
 # Biotypes kept when picking a variant's first transcript.
 WANTED_BIOTYPES = ["", "protein_coding"]
@@ -101,7 +102,8 @@ def combine(
     """
     spans = lambda d: d.withColumnsRenamed({"chr": "_r_chr", "start": "_start", "end": "_end"})
     on = ("_r_chr", "_start", "_end")
-    placed = overlap_join(tags.select("snp", "chr", "bp", "locus_ld"), spans(loci), right_on=on).drop("_start", "_end")
+    # the loci are read by the size check and by the join
+    placed = overlap_join(tags.select("snp", "chr", "bp", "locus_ld"), settle(spans(loci)), right_on=on).drop("_start", "_end")
     placed = overlap_join(placed, spans(bands), right_on=on).drop("_start", "_end")
     placed = placed.select("snp", "locus", "cytoband", "locus_ld")
 

@@ -16,6 +16,7 @@ from ..functions import classify, genetics, nulls, text
 from ..operators import harmonise as harm
 from ..operators import intervals, joins, ld, pick, reshape, scans, summarise
 from ..operators.nearest import nearest
+from ..scale import settle
 from ..sources import delimited, genome, variants
 from ..sources.schemas import schema_of
 from . import annotate, power, report
@@ -1511,7 +1512,7 @@ def _(v):
         ],
         "snp string, chr int, bp bigint, a1 string, a2 string, gene string, frq double, odds_ratio double, study string",
     )
-    points = positions(v)
+    points = settle(positions(v))
     major, minor = genetics.major_minor("af", "ref", "alt")
     frequency = sites.select(
         F.col("id").alias("snp"), major.alias("major"), F.when(F.col("af") <= 0.9, minor).alias("minor"),
