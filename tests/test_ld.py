@@ -1,0 +1,87 @@
+"""Linkage disequilibrium against sequential Python."""
+
+import random
+
+import pytest
+from conftest import rows
+
+from lociflow.operators import ld
+
+
+def greedy(variants, pairs, r2=0.1, maf=0.001):
+    linked = {}
+    for c, a, b, r in pairs:
+        if r is not None and r >= r2:
+            linked.setdefault((c, a), {})[b] = linked.setdefault((c, b), {})[a] = r
+    out, kept = {}, {}
+    for c, bp, snp, f in sorted(variants):
+        if f < maf:
+            out[(c, snp)] = (False, None)
+            continue
+        keeper = next((k for k in kept.get(c, []) if k in linked.get((c, snp), {})), None)
+        out[(c, snp)] = (keeper is None, keeper)
+        if keeper is None:
+            kept.setdefault(c, []).append(snp)
+    return out
+
+
+@pytest.mark.parametrize("finish", [0, 40, 10_000])
+def test_clip_equals_the_sequential_pass(spark, finish):
+    rng = random.Random(1)
+    variants, pairs = [], []
+    for c in range(1, 25):
+        n = rng.randint(1, 14)
+        names = [f"rs{c * 100 + i}" for i in range(n)]
+        variants += [(c, 10 * (i // 2), s, rng.choice([0.0, 0.2, 0.3, 0.4])) for i, s in enumerate(names)]
+        pairs += [(c, a, b, round(rng.random() * 0.25, 3)) for i, a in enumerate(names) for b in names[i + 1:] if rng.random() < 0.6]
+    pairs += [(1, "rs100", "rs_unknown", 0.9)]
+    v = spark.createDataFrame(variants, "chr int, bp bigint, snp string, maf double")
+    p = spark.createDataFrame(pairs, "chr int, snp_a string, snp_b string, r2 double")
+    got = {(r.chr, r.snp): (r.kept, r.keeper) for r in ld.ld_clip(v, p, finish_pairs=finish).collect()}
+    assert got == greedy(variants, pairs)
+
+
+def test_a_long_chain_and_equality_at_the_threshold(spark):
+    v = spark.createDataFrame([(1, i, f"rs{i}", 0.5) for i in range(9)], "chr int, bp bigint, snp string, maf double")
+    p = spark.createDataFrame([(1, f"rs{i}", f"rs{i + 1}", 0.1) for i in range(8)], "chr int, snp_a string, snp_b string, r2 double")
+    kept = rows(ld.ld_clip(v, p, finish_pairs=0).filter("kept"), "snp")
+    assert kept == [("rs0",), ("rs2",), ("rs4",), ("rs6",), ("rs8",)]
+
+
+@pytest.mark.parametrize("window", [30, 1000])
+def test_pairs_equal_direct_correlation(spark, window):
+    rng = random.Random(2)
+    dose = {(s, c, v): rng.randint(0, 2) for s in range(150) for c in (1, 2) for v in range(8) if rng.random() < 0.8}
+    rows_in = [(s, c, v * 9, f"rs{v}", d) for (s, c, v), d in dose.items()] + [(3, 1, 500, "rs_const", 1)]
+    df = spark.createDataFrame(rows_in, "sample_id bigint, chr int, bp bigint, snp string, dosage int")
+    got = {(r.chr, r.snp_a, r.snp_b): (r.n, r.r2) for r in ld.ld_pairs(df, window).filter("snp_b <> 'rs_const' AND snp_a <> 'rs_const'").collect()}
+    want = {}
+    for c in (1, 2):
+        for a in range(8):
+            for b in range(a + 1, 8):
+                if (b - a) * 9 > window:
+                    continue
+                xy = [(dose[(s, c, a)], dose[(s, c, b)]) for s in range(150) if (s, c, a) in dose and (s, c, b) in dose]
+                n = len(xy)
+                mx, my = sum(x for x, _ in xy) / n, sum(y for _, y in xy) / n
+                cov = sum((x - mx) * (y - my) for x, y in xy)
+                r2 = cov * cov / (sum((x - mx) ** 2 for x, _ in xy) * sum((y - my) ** 2 for _, y in xy))
+                want[(c, f"rs{a}", f"rs{b}")] = (n, r2)
+    assert got.keys() == want.keys()
+    for k, (n, r2) in want.items():
+        assert got[k][0] == n and got[k][1] == pytest.approx(r2, abs=1e-12)
+
+
+def test_tags_numbers_and_leads(spark):
+    clip = spark.createDataFrame(
+        [(1, 10, "rs1", "Variant kept."), (1, 20, "rs2", "Variant in LD with rs1 (R2=0.5), variant removed."), (2, 5, "rs3", "Variant MAF is 0.0, variant removed.")],
+        "chr int, bp bigint, snp string, details string",
+    )
+    listed = spark.createDataFrame([("rs1", 1, 10), ("rs2", 1, 20), ("rs3", 2, 5), ("rs0", 1, 1)], "snp string, chr int, bp bigint")
+    tags = ld.with_tags(clip, listed)
+    assert rows(tags, "snp", "tag") == [("rs0", "rs0"), ("rs1", "rs1"), ("rs2", "rs1"), ("rs3", "rs3")]
+    numbered = ld.ld_locus_id(tags)
+    # the variant absent from the panel is numbered last although it comes first
+    assert rows(numbered, "snp", "locus_ld") == [("rs0", 3), ("rs1", 1), ("rs2", 1), ("rs3", 2)]
+    assoc = spark.createDataFrame([("rs1", 1e-9), ("rs2", 1e-10), ("rs2", 1e-2), ("rs3", None)], "snp string, p double")
+    assert rows(ld.clump_leads(numbered, assoc), "snp", "tag_clump") == [("rs0", "rs0"), ("rs1", "rs2"), ("rs2", "rs2"), ("rs3", "rs3")]
