@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from ..functions.nulls import if_else
-from ..scale import BROADCAST_ROWS, measure
+from ..scale import BROADCAST_ROWS, measure, split_hot_join
 from . import scans
 from .cells import explode_interval_cells, explode_point_cells, levels_for
 
@@ -66,7 +66,8 @@ def _overlap_pairs(keys: DataFrame, right: DataFrame, r, reach: int | None) -> D
     levels = levels_for(tagged, first, last)
     covers = explode_interval_cells(tagged, first, last, levels)
     points = explode_point_cells(keys, F.col("_s"), levels)
-    pairs = points.join(covers, ["_chr", "_level", "_cell"]).drop("_level", "_cell")
+    cell = ["_chr", "_level", "_cell"]
+    pairs = split_hot_join(points, covers, cell).drop("_level", "_cell")
     if reach is not None:
         return pairs
 
@@ -75,7 +76,7 @@ def _overlap_pairs(keys: DataFrame, right: DataFrame, r, reach: int | None) -> D
     levels = levels_for(long, first, last)
     longer = explode_interval_cells(long, first, last, levels)
     starts = explode_point_cells(tagged, F.col(r_start), levels)
-    return pairs.unionByName(longer.join(starts, ["_chr", "_level", "_cell"]).drop("_level", "_cell"))
+    return pairs.unionByName(split_hot_join(longer, starts, cell).drop("_level", "_cell"))
 
 
 def measure_spans(df: DataFrame, on: tuple[str, str, str], max_rows: int = BROADCAST_ROWS) -> Row | None:

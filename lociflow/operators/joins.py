@@ -40,16 +40,25 @@ def match_sites(
     snp: str = "snp",
     keys: dict[str, str] | None = None,
     site_id: str = "id",
+    max_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Site columns for variants that match on position and both alleles.
 
-    Listed variants are looked up by identifier instead and kept even when it
-    is unknown; a listed variant that also matches exactly appears twice.
+    Listed variants are looked up by identifier instead, among the sites at
+    positions of the list, and kept even when it is unknown; a listed variant
+    that also matches exactly appears twice.  A variant list that passes the
+    size check is broadcast, so the site table streams past it unshuffled.
     """
     keys = keys or {"chr": "chr", "bp": "bp", "a1": "ref", "a2": "alt"}
-    by_key = sites.select(*[F.col(s).alias(v) for v, s in keys.items()], *take)
-    exact = variants.join(by_key, list(keys), "inner")
-    by_id = sites.filter(isin_(site_id, rescue_ids)).select(F.col(site_id).alias(snp), *take)
+    here = sites.select(*[F.col(s).alias(v) for v, s in keys.items()], F.col(site_id).alias("_id"), *take)
+    listed = F.broadcast(variants) if fits(variants, max_rows) else variants
+    exact = here.drop("_id").join(listed, list(keys), "inner").select(*variants.columns, *take)
+    place = list(keys)[:2]
+    by_id = (
+        here.filter(isin_("_id", rescue_ids))
+        .join(variants.select(*place), place, "left_semi")
+        .select(F.col("_id").alias(snp), *take)
+    )
     rescued = variants.filter(isin_(snp, rescue_ids)).join(by_id, snp, "left")
     return exact.unionByName(rescued)
 
@@ -94,8 +103,12 @@ def flag_in_set(df: DataFrame, members: DataFrame, on: str, flag: str, take: tup
 
 
 def extract_sites(sites: DataFrame, variants: DataFrame, keys=("chr", "bp"), max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Rows of a huge site table at the positions of a variant list."""
-    wanted = variants.select(*keys).distinct()
+    """Rows of a huge site table at the positions of a variant list.
+
+    The size check looks at the list as it is; taking distinct positions first
+    would shuffle a long list only to find it long.
+    """
+    wanted = variants.select(*keys)
     return sites.join(F.broadcast(wanted) if fits(wanted, max_rows) else wanted, list(keys), "left_semi")
 
 

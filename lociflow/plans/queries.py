@@ -403,8 +403,8 @@ def _(v):
     "match_sites",
     f"""{ctes('assoc', 'sites')}, vars AS (SELECT DISTINCT snp, chr, bp, a1, a2 FROM assoc)
 SELECT snp, v.chr, v.bp, a1, a2, round(af, 6) AS af FROM vars v JOIN sites s ON v.chr = s.chr AND v.bp = s.bp AND a1 = ref AND a2 = alt
-UNION ALL SELECT snp, v.chr, v.bp, a1, a2, round(af, 6) AS af FROM vars v LEFT JOIN sites ON snp = id
-WHERE snp IN ('rs3', 'rs6', 'rs7', 'rs99')""",
+UNION ALL SELECT snp, v.chr, v.bp, a1, a2, round(af, 6) AS af FROM vars v
+LEFT JOIN (SELECT * FROM sites WHERE (chr, bp) IN (SELECT (chr, bp) FROM vars)) s ON snp = id WHERE snp IN ('rs3', 'rs6', 'rs7', 'rs99')""",
 )
 def _(v):
     variants = v("assoc").select("snp", "chr", "bp", "a1", "a2").distinct()
@@ -416,7 +416,8 @@ def _(v):
     f"""{ctes('assoc', 'sites')}, vars AS (SELECT DISTINCT snp, chr, bp, a1, a2 FROM assoc),
 pop AS (SELECT *, CASE WHEN af > 0.5 THEN 1 - af ELSE af END AS maf, CASE WHEN af > 0.5 THEN ref ELSE alt END AS minor FROM sites),
 hit AS (SELECT snp, v.chr, v.bp, a1, a2, minor, af, maf FROM vars v JOIN pop s ON v.chr = s.chr AND v.bp = s.bp AND a1 = ref AND a2 = alt
-  UNION ALL SELECT snp, v.chr, v.bp, a1, a2, minor, af, maf FROM vars v LEFT JOIN pop ON snp = id WHERE snp IN ('rs3', 'rs9'))
+  UNION ALL SELECT snp, v.chr, v.bp, a1, a2, minor, af, maf FROM vars v
+  LEFT JOIN (SELECT * FROM pop WHERE (chr, bp) IN (SELECT (chr, bp) FROM vars)) s ON snp = id WHERE snp IN ('rs3', 'rs9'))
 SELECT snp, chr, bp, a1, a2, minor AS gnomad_minor, round(af, 6) AS gnomad_af, round(maf, 6) AS gnomad_maf FROM hit""",
 )
 def _(v):
@@ -1326,7 +1327,7 @@ def _(v):
 def _(v):
     path = v.folder("sumstats.tsv.gz")
     delimited.write_table(_file_rows(v), path, sep="\t", compression="gzip")
-    return delimited.read_sumstats(v.spark, path, schema_of(["SNP", "CHR", "BP", "A1", "A2", "FRQ", "OR"]), "CHR", "BP")
+    return delimited.read_sumstats(v.spark, path, schema_of(["SNP", "CHR", "BP", "A1", "A2", "FRQ", "OR"]))
 
 
 @query(

@@ -114,3 +114,29 @@ def lookup_join(
     shuffled; otherwise a plain join, where AQE splits skewed keys.
     """
     return left.join(F.broadcast(right) if fits(right, max_rows) else right, on, how)
+
+
+# Rows of one key that may meet the other side in one task.
+HOT_ROWS = 8192
+
+
+def split_hot_join(left: DataFrame, right: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Inner equi-join whose output per key may be far larger than its input.
+
+    AQE splits partitions by their size in bytes, not by what they produce.
+    Here a key with more than ``hot_rows`` rows on the right is cut into shares
+    by a hash of the whole row, and the left rows of that key go to every
+    share.  Without such keys it is a plain join.
+    """
+    hot = (
+        right.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .filter(F.col("_n") > hot_rows)
+        .select(*keys, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_shares"))
+    )
+    if hot.isEmpty():
+        return left.join(right, keys)
+    shares = F.coalesce("_shares", F.lit(1))
+    cut = right.join(hot, keys, "left").withColumn("_share", F.pmod(F.xxhash64(*right.columns), shares).cast("int"))
+    sent = left.join(hot, keys, "left").withColumn("_share", F.explode(F.sequence(F.lit(0), shares - 1)))
+    return sent.drop("_shares").join(cut.drop("_shares"), [*keys, "_share"]).drop("_share")

@@ -81,6 +81,7 @@ def test_harmonise_swaps_and_options(spark):
     assert rows(got, "snp", "a1", "a2", "frq", "beta", "odds_ratio", "matched") == [
         ("a", "A", "G", 0.8, -0.5, 0.5, True), ("b", "A", "G", 0.2, 0.5, 2.0, True), ("c", "A", "G", 0.2, 0.5, 2.0, False),
     ]
+    assert rows(harmonise.harmonise(df, sites, ["snp"], max_rows=0)) == rows(got)
     assert rows(harmonise.harmonise(df, sites, ["snp"], drop_unmatched=True, biallelic=True), "snp") == [("a",)]
     kept = harmonise.harmonise(df, sites, ["snp"], flip=False)
     assert rows(kept.filter("snp = 'a'"), "a1", "frq") == [("A", 0.2)]

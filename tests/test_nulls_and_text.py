@@ -158,10 +158,11 @@ def test_restore_override_inherit_flag(spark):
     assert rows(joins.flag_in_set(clean, members, "snp", "listed", ("tier",)), "snp", "listed", "tier") == [("a", True, "t"), ("b", False, None)]
 
 
-def test_match_sites_rescues_listed_ids(spark):
+@pytest.mark.parametrize("max_rows", [0, 100])
+def test_match_sites_rescues_listed_ids(spark, max_rows):
     v = spark.createDataFrame([("a", 1, 5, "A", "G"), ("b", 1, 6, "A", "G"), ("c", 1, 7, "A", "G")], "snp string, chr int, bp int, a1 string, a2 string")
-    s = spark.createDataFrame([("a", 1, 5, "A", "G", 0.1), ("b", 1, 6, "G", "A", 0.2)], "id string, chr int, bp int, ref string, alt string, af double")
-    assert rows(joins.match_sites(v, s, ["b", "c"]), "snp", "af") == [("a", 0.1), ("b", 0.2), ("c", None)]
+    s = spark.createDataFrame([("a", 1, 5, "A", "G", 0.1), ("b", 1, 6, "G", "A", 0.2), ("c", 1, 8, "A", "G", 0.3)], "id string, chr int, bp int, ref string, alt string, af double")
+    assert rows(joins.match_sites(v, s, ["b", "c"], max_rows=max_rows), "snp", "af") == [("a", 0.1), ("b", 0.2), ("c", None)]
 
 
 @pytest.mark.parametrize("max_values", [0, 10])

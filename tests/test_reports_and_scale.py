@@ -120,6 +120,14 @@ def test_a_hot_position_does_not_multiply_work(spark):
         assert got.count() == 22_000 and got.filter("locus IS NULL").count() == 0
 
 
+@pytest.mark.parametrize("hot_rows", [5, 1000])
+def test_a_hot_key_is_cut_into_shares(spark, hot_rows):
+    left = spark.createDataFrame([(k, i) for k in (1, 2, 3) for i in range(4)], "k int, x int")
+    right = spark.createDataFrame([(1, i) for i in range(30)] + [(2, 0), (None, 7)], "k int, y int")
+    got = scale.split_hot_join(left, right, ["k"], hot_rows)
+    assert rows(got, "k", "x", "y") == rows(left.join(right, "k"), "k", "x", "y") and got.count() == 124
+
+
 def test_checkpoints_go_where_the_session_says(spark):
     assert scale.settle(spark.range(5)).count() == 5
 
