@@ -19,7 +19,7 @@ from ..operators.nearest import nearest
 from ..scale import settle
 from ..sources import delimited, genome, variants
 from ..sources.schemas import schema_of
-from . import annotate, power, report
+from . import annotate, power, report, study
 from .standins import Views, ctes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -1460,6 +1460,78 @@ def _(v):
     return reshape.unnest(back, "data")
 
 
+# --- studies and the architecture table ------------------------------------------
+
+_PRINTED = """printed AS (SELECT snp, chr, bp, a1, a2, 'g' || snp AS gene, round(frq, 3) AS frq, round(odds_ratio, 2) AS o, round(l95, 2) AS l95, round(u95, 2) AS u95,
+  CAST(CAST(order_id % 9 + 1 AS string) || '.5e-' || CAST(CAST(supp_id % 8 + 5 AS bigint) AS string) AS double) AS p, order_id, line_no, supp_id
+  FROM assoc WHERE study = 'S2')"""
+
+
+@query(
+    "clean_study",
+    f"""{ctes('assoc', 'sites')}, {_PRINTED},
+best AS (SELECT * FROM printed WHERE p < 5e-8 QUALIFY row_number() OVER (PARTITION BY snp ORDER BY p, bp, frq, o, l95, u95) = 1),
+pairs AS (SELECT DISTINCT chr, bp, least(ref, alt) AS x, greatest(ref, alt) AS y FROM sites),
+found AS (SELECT b.* FROM best b JOIN pairs s ON b.chr = s.chr AND b.bp = s.bp AND least(a1, a2) = x AND greatest(a1, a2) = y
+  QUALIFY row_number() OVER (PARTITION BY b.chr, b.bp, x, y ORDER BY p, b.bp, frq, o, l95, u95) = 1),
+u AS (SELECT * FROM found UNION ALL SELECT * FROM best b WHERE NOT EXISTS (SELECT 1 FROM found f WHERE f.chr = b.chr AND f.bp = b.bp))
+SELECT snp, chr, bp, a1, a2, gene, frq, o AS odds_ratio, round(p * 1e9, 6) AS p_e9, round(ln(o), 6) AS beta, round((ln(o) - ln(l95)) / 1.96, 6) AS se,
+round(ln(o) / ((ln(o) - ln(l95)) / 1.96), 6) AS z FROM u""",
+)
+def _(v):
+    text_of = lambda c, n: F.round(c, n).cast("string")
+    raw = v("assoc").filter("study = 'S2'").select(
+        "snp", F.col("chr").cast("string").alias("chr"), F.col("bp").cast("string").alias("pos"), F.concat(F.lit("g"), "snp").alias("gene"),
+        F.concat_ws("/", "a1", "a2").alias("alleles"), text_of("frq", 3).alias("maf"), text_of("odds_ratio", 2).alias("or"),
+        F.concat(F.lit("("), text_of("l95", 2), F.lit("–"), text_of("u95", 2), F.lit(")")).alias("ci"),
+        F.concat(F.col("order_id") % 9 + 1, F.lit(".5 × 10−"), F.col("supp_id") % 8 + 5).alias("p"),
+    )
+    out = study.clean_study(raw, v("sites"), ["p", "bp", "frq", "odds_ratio", "l95", "u95"])
+    return out.select("snp", "chr", "bp", "a1", "a2", "gene", "frq", "odds_ratio", r6(F.col("p") * 1e9, "p_e9"), r6("beta"), r6("se"), r6("z"))
+
+
+@query(
+    "loci_list",
+    f"""{ctes('assoc', 'sites', 'study_meta')},
+best AS (SELECT a.* FROM assoc a JOIN study_meta m ON a.study = m.study
+  QUALIFY row_number() OVER (PARTITION BY chr, bp ORDER BY 4 / (1.0 / n_ca + 1.0 / n_cn) DESC, order_id, line_no, supp_id) = 1),
+pairs AS (SELECT chr AS s_chr, bp AS s_bp, least(ref, alt) AS x, greatest(ref, alt) AS y, min((ref, alt)) AS s FROM sites GROUP BY ALL),
+found AS (SELECT b.*, s[1] AS ref, s[2] AS alt FROM best b JOIN pairs ON chr = s_chr AND bp = s_bp AND least(a1, a2) = x AND greatest(a1, a2) = y)
+SELECT snp, chr, bp, ref AS a1, alt AS a2, round(CASE WHEN a1 <> ref THEN 1 / odds_ratio ELSE odds_ratio END, 6) AS odds_ratio, study, order_id FROM found
+UNION ALL SELECT snp, chr, bp, a1, a2, round(odds_ratio, 6) AS odds_ratio, study, order_id FROM best b
+WHERE NOT EXISTS (SELECT 1 FROM found f WHERE f.chr = b.chr AND f.bp = b.bp)""",
+)
+def _(v):
+    meta = v("study_meta").select("study", genetics.neff_4("n_ca", "n_cn").alias("neff"))
+    out = study.loci_list(v("assoc"), meta, v("sites"), TIES)
+    return out.select("snp", "chr", "bp", "a1", "a2", r6("odds_ratio"), "study", "order_id")
+
+
+@query(
+    "architecture_table",
+    f"""{_TRANSCRIPTS.replace(ctes('ann'), ctes('ann', 'located', 'study_meta'))}, base AS (SELECT l.*, frq / 10 AS gnomad_maf, w.annotation_impact, w.gene_name, w.hgvs_p
+  FROM located l LEFT JOIN w ON l.snp = w.snp AND w.rn = 1),
+k AS (SELECT * FROM base WHERE locus_ld IS NOT NULL UNION ALL
+  SELECT * REPLACE (-row_number() OVER (ORDER BY order_id, line_no, supp_id, snp) AS locus_ld) FROM base WHERE locus_ld IS NULL),
+lead AS (SELECT k.* FROM k JOIN study_meta m ON k.study = m.study
+  QUALIFY row_number() OVER (PARTITION BY locus_ld ORDER BY 4 / (1.0 / n_ca + 1.0 / n_cn) DESC, order_id, line_no, supp_id, snp) = 1),
+kept AS (SELECT *, gnomad_maf AS maf, CASE WHEN odds_ratio > 1 THEN odds_ratio ELSE 1 / odds_ratio END AS effect FROM lead WHERE locus IS NULL OR locus <> 'L19_9'),
+l AS (SELECT *, {_LABEL.replace("WHEN gene_name = 'Brand#5' THEN 'Five'", "")} AS label FROM kept)
+SELECT snp, study, locus, locus_ld, label, round(effect, 6) AS effect, CASE WHEN odds_ratio > 1 THEN 'risk' ELSE 'protective' END AS dir,
+(label <> 'Brand#2' AND annotation_impact IN ('HIGH', 'MODERATE', 'LOW') AND maf < 0.05 AND effect > 1.3) OR label LIKE 'Brand#7%' AS shp,
+CASE {' '.join(f"WHEN {fc} AND {ec} THEN '{fl}, {el}'" for fc, fl in [('maf > 0.05', 'Common'), ('maf BETWEEN 0.01 AND 0.05', 'Low'), ('maf BETWEEN 0.001 AND 0.01', 'Rare'), ('maf < 0.001', 'Very Rare')] for ec, el in [('effect > 3', 'High'), ('effect BETWEEN 1.5 AND 3', 'Intermediate'), ('effect BETWEEN 1.1 AND 1.5', 'Moderate'), ('effect < 1.1', 'Low')])} END AS architecture FROM l""",
+)
+def _(v):
+    change = annotate.annotate_consequence(v("ann"), _FIELDS).select(
+        "snp", "annotation_impact", "gene_name", F.col("gene_name").alias("gene"), F.col("hgvs_p").alias("hgvs_p_new")
+    )
+    rows = v("located").withColumn("gnomad_maf", F.col("frq") / 10).join(change, "snp", "left")
+    meta = v("study_meta").select("study", genetics.neff_4("n_ca", "n_cn").alias("neff"))
+    genes = ["Brand#1", "Brand#2", "Brand#13"]
+    out = study.architecture_table(rows, meta, [*TIES, "snp"], genes, "^Brand#7", ["L19_9"], ("Brand#2",))
+    return out.select("snp", "study", "locus", "locus_ld", "label", r6("effect"), "dir", "shp", "architecture")
+
+
 # --- the final annotated table ---------------------------------------------------
 
 _COMBINE = f"""{ctes('assoc', 'bands', 'sites', 'genes', 'tiers', 'ann')}, {_SIG}, {_LOCI}, {_TAGGED},

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lociflow.functions import classify, genetics
 from lociflow.operators import harmonise
-from lociflow.plans import power
+from lociflow.plans import power, study
 
 
 def test_effect_columns(spark):
@@ -84,7 +84,7 @@ def test_harmonise_swaps_and_options(spark):
     assert rows(harmonise.harmonise(df, sites, ["snp"], max_rows=0)) == rows(got)
     assert rows(harmonise.harmonise(df, sites, ["snp"], drop_unmatched=True, biallelic=True), "snp") == [("a",)]
     kept = harmonise.harmonise(df, sites, ["snp"], flip=False)
-    assert rows(kept.filter("snp = 'a'"), "a1", "frq") == [("A", 0.2)]
+    assert rows(kept.filter("snp = 'a'"), "a1", "frq", "matched") == [("G", 0.2, True)]
 
 
 def test_labels(spark):
@@ -125,3 +125,19 @@ def test_power_falls_as_samples_rise_and_curves_clean(spark):
     first = min((r.place, r["or"]) for r in curve.filter("study = 'small' AND beta IS NOT NULL").collect())[1]
     assert (1e-7, first) in got and cleaned.count() == 1499
     assert cleaned.filter("study = 'large'").count() == 0
+
+
+def test_clean_study_restores_what_the_sites_lack(spark):
+    raw = spark.createDataFrame(
+        [
+            ("rs1", "19", "5", "g", "G/A", "0.2", "1.18", "(1.14–1.22)", "5.7 × 10−24"),
+            ("rs1", "19", "5", "g", "G/A", "0.2", "1.10", "(1.05–1.15)", "5.7 × 10−9"),
+            ("rs2", "19", "6", "g", "G/A", "x", "1.18", "(1.14–1.22)", "1.0!×!10−9"),
+            ("rs3", "19", "7", "g", "G/A", "0.2", "1.18", "(1.14–1.22)", "1.0 × 10−7"),
+        ],
+        "snp string, chr string, pos string, gene string, alleles string, maf string, `or` string, ci string, p string",
+    )
+    sites = spark.createDataFrame([(19, 5, "A", "G")], "chr int, bp bigint, ref string, alt string")
+    got = study.clean_study(raw, sites, ["snp", "p"])
+    assert rows(got, "snp", "a1", "frq", "p") == [("rs1", "G", 0.2, 5.7e-24), ("rs2", "G", None, 1e-9)]
+    assert got.filter("snp = 'rs1'").first().z == pytest.approx(9.406908401400038)
