@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from ..functions.nulls import if_else
-from ..scale import BROADCAST_ROWS, measure, split_hot_join
+from ..scale import BROADCAST_ROWS, measure, settle, split_hot_join
 from . import scans
 from .cells import explode_interval_cells, explode_point_cells, levels_for
 
@@ -32,7 +32,8 @@ def merge_intervals(
     """
     known = F.col(chrom).isNotNull() & F.col(start).isNotNull() & F.col(end).isNotNull()
     spans = df.filter(known).groupBy(chrom, start).agg(F.max(end).alias("_end"))
-    spans = scans.with_block(spans, start, block)
+    # the scans read the distinct starts several times and the input only once
+    spans = settle(scans.with_block(spans, start, block))
     spans = scans.running_max_before(spans, [chrom], start, "_end", "_seen")
     heads = spans.filter(F.col("_seen").isNull() | (F.col(start) > F.col("_seen")))
     heads = scans.next_row(heads, [chrom], start, F.col("_seen"), "_island_end")

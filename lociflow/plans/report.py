@@ -96,13 +96,18 @@ def upset_table(df: DataFrame, genes: DataFrame, locus: str = "locus") -> DataFr
 
     ``df`` has study, locus, chr, bp, p; ``genes`` has locus, gene.
     """
-    grid = expand(df.select("study", locus), "study", locus)
-    cells = df.groupBy("study", locus).agg(F.count(F.lit(1)).alias("n_reports"), F.min("p").alias("p"))
-    place = df.groupBy(locus).agg(F.min("chr").alias("chr"), F.min("bp").alias("bp"))
+    # one pass over the reports; all else comes from the cells
+    cells = settle(
+        df.groupBy("study", locus).agg(
+            F.count(F.lit(1)).alias("n_reports"), F.min("p").alias("p"), F.min("chr").alias("chr"), F.min("bp").alias("bp")
+        )
+    )
+    grid = expand(cells, "study", locus)
+    place = cells.groupBy(locus).agg(F.min("chr").alias("chr"), F.min("bp").alias("bp"))
     place = number_rows(place, [F.col("chr").asc_nulls_last(), F.col("bp").asc_nulls_last(), locus], "position")
     named = genes.groupBy(locus).agg(F.min(blank_to_null("gene")).alias("gene"))
     labelled = lookup_join(place.select(locus, "position"), named, locus).withColumn("gene", F.coalesce("gene", locus))
-    table = natural_left_join(natural_left_join(grid, cells), labelled)
+    table = natural_left_join(natural_left_join(grid, cells.drop("chr", "bp")), labelled)
     return table.select(
         "study",
         locus,
