@@ -9,6 +9,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.nulls import _col
+from .joins import null_safe_join
+from .scans import number_rows
+
+# Most structs in one nested array.
+NEST_ROWS = 65_536
 
 # Header synonyms (upper case) and the standard column names.
 HEADER_SYNONYMS = {
@@ -95,10 +100,24 @@ def explode_list(df: DataFrame, col: str, sep: str = ",", ordinal: str | None =
     return out if ordinal else out.drop(place)
 
 
-def nest(df: DataFrame, keys: list[str], out: str = "data") -> DataFrame:
-    """Rows of a group as a sorted array of structs; for groups known small."""
+def nest(df: DataFrame, keys: list[str], out: str = "data", max_rows: int = NEST_ROWS) -> DataFrame:
+    """Rows of a group as a sorted array of structs.
+
+    A group of more than ``max_rows`` rows becomes several rows of at most that
+    many structs each, so no array grows with the data; ``unnest`` gives the
+    same rows back either way.
+    """
     rest = [c for c in df.columns if c not in keys]
-    return df.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(*rest))).alias(out))
+
+    def gather(rows: DataFrame, *more: str) -> DataFrame:
+        return rows.groupBy(*keys, *more).agg(F.array_sort(F.collect_list(F.struct(*rest))).alias(out)).drop(*more)
+
+    large = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_rows)
+    if large.isEmpty():
+        return gather(df)
+    numbered = number_rows(null_safe_join(df, large.drop("_n"), keys, "left_semi"), df.columns, "_at")
+    parts = numbered.withColumn("_part", F.floor((F.col("_at") - 1) / max_rows))
+    return gather(null_safe_join(df, large.drop("_n"), keys, "left_anti")).unionByName(gather(parts, "_part"))
 
 
 def unnest(df: DataFrame, col: str) -> DataFrame:

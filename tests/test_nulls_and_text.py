@@ -109,6 +109,11 @@ def test_unite_separate_explode(spark):
 def test_nest_pivot_levels(spark):
     df = spark.createDataFrame([("k", "a", 1), ("k", "b", 2), ("m", "a", 3)], "g string, n string, x int")
     assert rows(reshape.unnest(reshape.nest(df, ["g"]), "data")) == rows(df)
+    many = spark.createDataFrame([("k", i % 7) for i in range(25)] + [(None, 1)] * 12 + [("m", 3)], "g string, x int")
+    for most in (5, 100):
+        nested = reshape.nest(many, ["g"], max_rows=most)
+        assert max(len(r.data) for r in nested.collect()) <= (most if most < 25 else 25)
+        assert rows(reshape.unnest(nested, "data")) == rows(many)
     wide = reshape.pivot_wider(df, ["g"], "n", "x", ["a", "b"])
     assert rows(wide) == [("k", 1, 2), ("m", 3, None)]
     long = reshape.pivot_longer(wide, ["g"], ["a", "b"], "n", "x")
