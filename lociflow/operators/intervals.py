@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.nulls import if_else
-from ..scale import BROADCAST_ROWS, measure, settle, split_hot_join
+from ..scale import BROADCAST_ROWS, Size, measure, settle, split_hot_join
 from . import scans
 from .cells import explode_interval_cells, explode_point_cells, levels_for
 
@@ -80,9 +80,9 @@ def _overlap_pairs(keys: DataFrame, right: DataFrame, r, reach: int | None) -> D
     return pairs.unionByName(split_hot_join(longer, starts, cell).drop("_level", "_cell"))
 
 
-def measure_spans(df: DataFrame, on: tuple[str, str, str], max_rows: int = BROADCAST_ROWS) -> Row | None:
+def measure_spans(df: DataFrame, on: tuple[str, str, str], max_rows: int = BROADCAST_ROWS) -> Size | None:
     """Size and mean length of a small interval table, None when it is not small."""
-    return measure(df, {"mean": F.avg(F.col(on[2]) - F.col(on[1]))}, max_rows)
+    return measure(df, F.col(on[2]) - F.col(on[1]), max_rows)
 
 
 def overlap_join(
@@ -95,7 +95,7 @@ def overlap_join(
     bin_size: int | None = None,
     first_by: list[str] | None = None,
     max_rows: int = BROADCAST_ROWS,
-    size: Row | None = None,
+    size: Size | None = None,
 ) -> DataFrame:
     """Join rows whose closed intervals overlap on the same chromosome.
 
@@ -121,7 +121,7 @@ def overlap_join(
         l_chr, pos = left_on
         if bin_size is None:
             # a power of two above the mean length: at most about three bins a row
-            bin_size = 1 << max(int(size["mean"] or 1), 1).bit_length()
+            bin_size = 1 << max(int(size.mean or 1), 1).bit_length()
         low, at = F.col(r_start) - reach, F.col(pos)
         to_bin = lambda c: F.floor(c / F.lit(bin_size)).cast("long")
         binned = (

@@ -11,8 +11,9 @@ Rules kept by the whole package:
 from __future__ import annotations
 
 import tempfile
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -83,18 +84,30 @@ def _width(c: Column, kind: T.DataType) -> Column:
     return F.lit(8).cast("long")
 
 
-def measure(
-    df: DataFrame, extra: dict[str, Column] | None = None, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
-) -> Row | None:
-    """Size and ``extra`` aggregates of a small table, None when it is not small.
+class Size(NamedTuple):
+    """Rows of a small table and the mean of the column asked for."""
+
+    rows: int
+    mean: float | None
 
-    Small means at most ``max_rows`` rows and ``max_bytes`` of text.  No more
-    than ``max_rows + 1`` rows are read, whatever the size of ``df``.
+
+def measure(
+    df: DataFrame, average: Column | None = None, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> Size | None:
+    """Size of a small table and the mean of ``average``, None when it is not small.
+
+    Small means at most ``max_rows`` rows and ``max_bytes`` of text.  Taking the
+    widths of ``max_rows + 1`` rows stops after the first partitions that hold
+    that many, while an aggregate over a limit would move as many rows from
+    every partition to one task.
     """
     width = sum((_width(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields), F.lit(8))
-    more = [c.alias(n) for n, c in (extra or {}).items()]
-    row = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("size"), *more).first()
-    return row if row["n"] <= max_rows and (row["size"] or 0) <= max_bytes else None
+    value = F.lit(None) if average is None else average
+    taken = df.select(width.alias("w"), value.cast("double").alias("x")).limit(max_rows + 1).collect()
+    if len(taken) > max_rows or sum(r[0] for r in taken) > max_bytes:
+        return None
+    known = [r[1] for r in taken if r[1] is not None]
+    return Size(len(taken), sum(known) / len(known) if known else None)
 
 
 def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
