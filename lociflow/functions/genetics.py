@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .nulls import _col, if_else, ratio
+from .nulls import _col, if_else, isin_, ratio
 
 # Fixed value: normal quantile used for the 95% limit of a standard error.
 Z95 = 1.96
@@ -101,6 +101,13 @@ def align_to_minor(
     return df.withColumns(new)
 
 
+def flip_listed(df: DataFrame, listed: list[str], snp="snp", a1="a1", a2="a2", frq="frq", beta="beta") -> DataFrame:
+    """Swap alleles and effect of hand-listed variants; others stay."""
+    flip = isin_(snp, listed)
+    turned = {a1: F.col(a2), a2: F.col(a1), frq: 1 - F.col(frq), beta: -F.col(beta)}
+    return df.withColumns({c: F.when(flip, new).otherwise(F.col(c)) for c, new in turned.items()})
+
+
 def orient_freq(freq, reported_allele, tested_allele) -> Column:
     """Frequency of the tested allele when another allele was reported."""
     f = _col(freq)

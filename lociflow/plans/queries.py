@@ -254,6 +254,17 @@ def _(v):
     return out.select("snp", "study", r6(genetics.orient_freq("frq", "a2", "alt"), "frq"))
 
 
+@query(
+    "flip_listed",
+    f"""{ctes('assoc')}, f AS (SELECT *, snp IN ('rs1', 'rs7', 'rs42') AS flip FROM assoc)
+SELECT snp, study, CASE WHEN flip THEN a2 ELSE a1 END AS a1, CASE WHEN flip THEN a1 ELSE a2 END AS a2,
+round(CASE WHEN flip THEN 1 - frq ELSE frq END, 6) AS frq, round(CASE WHEN flip THEN -ln(odds_ratio) ELSE ln(odds_ratio) END, 6) + 0.0 AS beta FROM f""",
+)
+def _(v):
+    out = genetics.flip_listed(v("assoc").withColumn("beta", F.log("odds_ratio")), ["rs1", "rs7", "rs42"])
+    return out.select("snp", "study", "a1", "a2", r6("frq"), (F.round("beta", 6) + F.lit(0.0)).alias("beta"))
+
+
 @query(
     "harmonise",
     f"""{ctes('assoc', 'sites')},
@@ -1087,19 +1098,31 @@ def _(v):
 
 @query(
     "upset_table",
-    f"""{ctes('located', 'tiers')}, {_STRONG},
-loc AS (SELECT locus, row_number() OVER (ORDER BY chr, bp, locus NULLS FIRST) AS position FROM (SELECT locus, min(chr) AS chr, min(bp) AS bp FROM strong GROUP BY locus) t),
-named AS (SELECT replace(replace(locus, '_Brand#', '_'), 'L', '') AS k, gene FROM tiers),
-g AS (SELECT 'L' || k AS locus, min(gene) AS gene FROM named GROUP BY 1),
-cells AS (SELECT study, locus, count(*) AS n FROM strong GROUP BY 1, 2)
-SELECT s.study, loc.locus, CAST(coalesce(n, 0) AS bigint) AS n_reports, n IS NOT NULL AS significant, coalesce(gene, loc.locus) AS gene,
- CAST(position AS bigint) AS position
-FROM (SELECT DISTINCT study FROM strong) s CROSS JOIN loc
-LEFT JOIN cells c ON c.study = s.study AND c.locus IS NOT DISTINCT FROM loc.locus LEFT JOIN g ON g.locus = loc.locus""",
-)
-def _(v):
-    genes = v("tiers").select(F.concat(F.lit("L"), F.regexp_replace("locus", "_Brand#", "_")).alias("locus"), "gene")
-    return report.upset_table(_strong(v), genes)
+    f"""{ctes('located')}, {_STRONG},
+r AS (SELECT study, chr, bp, order_id, line_no, supp_id, CASE WHEN line_no = 7 THEN NULL ELSE p END AS p, CASE WHEN locus IS NOT NULL THEN
+  'chr' || CAST(chr AS string) || ':' || CAST(CAST(floor(bp / 2000000) AS bigint) * 2000000 + 12345 AS string) || '-' || CAST(CAST(floor(bp / 2000000) AS bigint) * 2000000 + 1999999 AS string) END AS locus,
+  CASE WHEN order_id % 4 = 0 THEN 'V' || CAST(chr AS string) END AS gvc_gene, 'N' || snp AS gencode_gene,
+  CASE study WHEN 'S2' THEN 1 WHEN 'S0' THEN 2 WHEN 'S1' THEN 3 WHEN 'S4' THEN 4 WHEN 'S3' THEN 5 END AS y FROM strong),
+k AS (SELECT * FROM r WHERE locus IS NOT NULL AND y IS NOT NULL),
+named AS (SELECT locus, coalesce(gvc_gene, gencode_gene) AS gene, row_number() OVER (ORDER BY chr, bp, locus) AS position FROM
+  (SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY locus ORDER BY y DESC, order_id, line_no, supp_id, bp) = 1) t),
+cells AS (SELECT study, locus, count(*) AS n, count(p) AS hits FROM k GROUP BY 1, 2),
+g AS (SELECT s.study, named.*, CASE WHEN gene = 'V7' THEN greatest(coalesce(n, 1), 1) ELSE coalesce(hits, 0) END AS n_sig,
+  string_split_regex(named.locus, '[^0-9A-Za-z]+') AS f
+  FROM (SELECT DISTINCT study FROM k) s CROSS JOIN named LEFT JOIN cells c ON c.study = s.study AND c.locus = named.locus)
+SELECT study, locus, CAST(n_sig AS bigint) AS n_sig, n_sig > 0 AS significant, gene, locus || ' (' || gene || ')' AS label,
+f[1] || ':' || regexp_replace(CAST(round_even(CAST(f[2] AS double) / 1000000, 2) AS string), '\\.0$', '') || '-' ||
+ regexp_replace(CAST(round_even(CAST(f[3] AS double) / 1000000, 2) AS string), '\\.0$', '') AS short_locus, CAST(position AS bigint) AS position FROM g""",
+)
+def _(v):
+    start = F.floor(F.col("bp") / 2000000).cast("long") * 2000000
+    place = F.concat(F.lit("chr"), "chr", F.lit(":"), start + 12345, F.lit("-"), start + 1999999)
+    rows = _strong(v).select(
+        "study", "chr", "bp", *TIES, F.when(F.col("line_no") != 7, F.col("p")).alias("p"),
+        F.when(F.col("locus").isNotNull(), place).alias("locus"),
+        F.when(F.col("order_id") % 4 == 0, F.concat(F.lit("V"), "chr")).alias("gvc_gene"), F.concat(F.lit("N"), "snp").alias("gencode_gene"),
+    )
+    return report.upset_table(rows, ["S2", "S0", "S1", "S4", "S3"], [*TIES, "bp"], always=("V7",))
 
 
 @query(
@@ -1142,11 +1165,13 @@ def _(v):
     "study_sizes",
     f"""{ctes('study_meta')}, {_META}, l AS (SELECT study || ', ' || CAST(study_year AS string) AS label, study, n, 4 / (1.0 / n_ca + 1.0 / n_cn) AS ne FROM meta)
 SELECT label, study, 'Total n' AS model, round(CAST(n AS double), 6) AS sample_size FROM l UNION ALL
-SELECT label, study, 'Effective n' AS model, round(ne, 6) AS sample_size FROM l""",
+SELECT label, study, 'Effective n' AS model, round(ne, 6) AS sample_size FROM l UNION ALL
+SELECT label, study, 'Remaining n' AS model, round(n - ne, 6) AS sample_size FROM l""",
 )
 def _(v):
     meta = v("study_meta").withColumns({"n": F.col("n_ca") + F.col("n_cn"), "neff": genetics.neff_4("n_ca", "n_cn")})
-    return report.study_sizes(meta).withColumn("sample_size", r6("sample_size"))
+    both = report.study_sizes(meta).unionByName(report.study_sizes(meta, stacked=True).filter("model = 'Remaining n'"))
+    return both.withColumn("sample_size", r6("sample_size"))
 
 
 _TIERS = f"""{ctes('tiers')}, one AS (SELECT gene, min(tier) AS tier, min(locus) AS locus FROM tiers WHERE tier IS NOT NULL GROUP BY gene)"""

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.nulls import blank_to_null, isin_, not_in_, sum_or_null
-from ..functions.text import signif
+from ..functions.nulls import isin_, not_in_, nulls_last, sum_or_null
+from ..functions.text import round_even, signif
 from ..operators.intervals import FLANK, define_loci, overlap_join
 from ..operators.joins import expand, natural_left_join, null_safe_join
 from ..operators.pick import best_per, fill_missing_group, get_dupes, span_per
@@ -91,29 +91,43 @@ def table_s1(df: DataFrame, hidden: list[str] = (), digits: int = 3) -> DataFram
     return rows.withColumns({"frq": signif("frq", digits), "odds_ratio": signif("odds_ratio", digits)})
 
 
-def upset_table(df: DataFrame, genes: DataFrame, locus: str = "locus") -> DataFrame:
-    """Study by locus grid: reports per cell, significance, gene label, position.
+def upset_table(
+    df: DataFrame, levels: list[str], ties: list[str], always: tuple[str, ...] = (), locus: str = "locus"
+) -> DataFrame:
+    """Study by locus grid: significant rows per cell, gene label and position.
 
-    ``df`` has study, locus, chr, bp, p; ``genes`` has locus, gene.
+    ``df`` has study, locus (``chr1:5-9``), chr, bp, p, gvc_gene, gencode_gene;
+    rows without a locus are left out.  A locus is named and placed by its row
+    from the last study in ``levels``, listed gene before nearest gene.  Loci
+    of the genes in ``always`` count as significant in every study.
     """
+    rows = with_level(df, "study", levels, "_rank").filter(F.col(locus).isNotNull() & F.col("_rank").isNotNull())
     # one pass over the reports; all else comes from the cells
+    first = F.min_by(F.struct("chr", "bp", "gvc_gene", "gencode_gene"), F.struct(*ties))
     cells = settle(
-        df.groupBy("study", locus).agg(
-            F.count(F.lit(1)).alias("n_reports"), F.min("p").alias("p"), F.min("chr").alias("chr"), F.min("bp").alias("bp")
+        rows.groupBy("study", "_rank", locus).agg(
+            F.count(F.lit(1)).alias("_rows"), F.count("p").alias("_hits"), first.alias("_first")
         )
     )
-    grid = expand(cells, "study", locus)
-    place = cells.groupBy(locus).agg(F.min("chr").alias("chr"), F.min("bp").alias("bp"))
-    place = number_rows(place, [F.col("chr").asc_nulls_last(), F.col("bp").asc_nulls_last(), locus], "position")
-    named = genes.groupBy(locus).agg(F.min(blank_to_null("gene")).alias("gene"))
-    labelled = lookup_join(place.select(locus, "position"), named, locus).withColumn("gene", F.coalesce("gene", locus))
-    table = natural_left_join(natural_left_join(grid, cells.drop("chr", "bp")), labelled)
-    return table.select(
+    named = cells.groupBy(locus).agg(F.max_by("_first", "_rank").alias("_f")).select(
+        locus, F.coalesce("_f.gvc_gene", "_f.gencode_gene").alias("gene"), F.col("_f.chr").alias("_c"), F.col("_f.bp").alias("_b")
+    )
+    named = number_rows(named, [*nulls_last("_c", "_b"), F.col(locus)], "position").drop("_c", "_b")
+
+    grid = natural_left_join(expand(cells, "study", locus), cells.select("study", locus, "_rows", "_hits"))
+    hits = F.when(isin_("gene", always), F.greatest(F.col("_rows"), F.lit(1))).otherwise(F.coalesce("_hits", F.lit(0)))
+    pieces = F.split(locus, "[^0-9A-Za-z]+")
+    mb = lambda i: F.regexp_replace(
+        round_even(F.get(pieces, F.lit(i)).try_cast("double") / 1_000_000, 2).cast("string"), r"\.0$", ""
+    )
+    return grid.join(named, locus).select(
         "study",
         locus,
-        F.coalesce("n_reports", F.lit(0)).cast("long").alias("n_reports"),
-        F.col("p").isNotNull().alias("significant"),
+        hits.cast("long").alias("n_sig"),
+        (hits > 0).alias("significant"),
         "gene",
+        F.concat(F.col(locus), F.lit(" ("), F.coalesce("gene", F.lit("NA")), F.lit(")")).alias("label"),
+        F.concat(F.get(pieces, F.lit(0)), F.lit(":"), mb(1), F.lit("-"), mb(2)).alias("short_locus"),
         F.col("position").cast("long").alias("position"),
     )
 
@@ -123,11 +137,17 @@ def upset_segments(df: DataFrame, levels: list[str], locus: str = "locus") -> Da
     return span_per(with_level(df, "study", levels, "_rank").filter("_rank IS NOT NULL"), [locus], "_rank", "study", "start_study", "end_study")
 
 
-def study_sizes(meta: DataFrame, total: str = "n", effective: str = "neff") -> DataFrame:
-    """Total and effective sample size in long form, with a "study, year" label."""
+def study_sizes(meta: DataFrame, total: str = "n", effective: str = "neff", stacked: bool = False) -> DataFrame:
+    """Total and effective sample size in long form, with a "study, year" label.
+
+    ``stacked`` gives the total less the effective size, for bars on top of
+    each other.
+    """
     labelled = meta.withColumn("label", F.concat_ws(", ", "study", "study_year"))
-    sized = labelled.select("label", "study", F.col(total).cast("double").alias("Total n"), F.col(effective).cast("double").alias("Effective n"))
-    return sized.unpivot(["label", "study"], ["Total n", "Effective n"], "model", "sample_size")
+    n, ne = F.col(total).cast("double"), F.col(effective).cast("double")
+    first = "Remaining n" if stacked else "Total n"
+    sized = labelled.select("label", "study", (n - ne if stacked else n).alias(first), ne.alias("Effective n"))
+    return sized.unpivot(["label", "study"], [first, "Effective n"], "model", "sample_size")
 
 
 def collapsed_loci(original: DataFrame, merged: DataFrame) -> DataFrame:

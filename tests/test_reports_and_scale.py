@@ -38,10 +38,16 @@ def test_leads_years_and_segments(spark):
 
 
 def test_upset_grid(spark):
-    df = spark.createDataFrame([("S1", "A", 1, 5, 1e-9), ("S2", "B", 1, 1, 1e-9), ("S2", "B", 1, 2, 1e-8)], "study string, locus string, chr int, bp int, p double")
-    genes = spark.createDataFrame([("A", "g2"), ("A", "g1"), ("B", "")], "locus string, gene string")
-    assert rows(report.upset_table(df, genes), "position", "study", "locus", "n_reports", "significant", "gene") == [
-        (1, "S1", "B", 0, False, "B"), (1, "S2", "B", 2, True, "B"), (2, "S1", "A", 1, True, "g1"), (2, "S2", "A", 0, False, "g1"),
+    df = spark.createDataFrame(
+        [("S1", "chr1:485377-1485377", 1, 9, 1e-9, None, "n1"), ("S2", "chr1:485377-1485377", 1, 8, None, "v2", "n2"),
+         ("S2", "chr1:5000000-6500000", 1, 5, 1e-9, None, "APOE"), ("S2", "chr1:5000000-6500000", 1, 6, 1e-8, None, "n4"),
+         ("S1", None, 1, 5, 1e-9, None, "x"), ("S9", "chr1:5000000-6500000", 1, 5, 1e-9, None, "x")],
+        "study string, locus string, chr int, bp int, p double, gvc_gene string, gencode_gene string",
+    )
+    got = report.upset_table(df, ["S1", "S2"], ["bp"], always=("APOE",))
+    assert rows(got, "position", "study", "short_locus", "gene", "n_sig", "significant") == [
+        (1, "S1", "chr1:5-6.5", "APOE", 1, True), (1, "S2", "chr1:5-6.5", "APOE", 2, True),
+        (2, "S1", "chr1:0.49-1.49", "v2", 1, True), (2, "S2", "chr1:0.49-1.49", "v2", 0, False),
     ]
 
 
