@@ -187,12 +187,12 @@ def _(v):
 
 @query(
     "neff",
-    f"""{ctes('study_meta')} SELECT study, study_year, round(4 / (1.0 / n_ca + 1.0 / n_cn), 6) AS neff,
-round((n_ca + n_cn) * (n_ca / (n_ca + n_cn)) * (1 - n_ca / (n_ca + n_cn)), 6) AS neff_power FROM study_meta""",
+    f"""{ctes('cohorts')} SELECT study, study_year, round(4 / (1.0 / n_ca + 1.0 / n_cn), 6) AS neff,
+round((n_ca + n_cn) * (n_ca / (n_ca + n_cn)) * (1 - n_ca / (n_ca + n_cn)), 6) AS neff_power FROM cohorts""",
 )
 def _(v):
     n = F.col("n_ca") + F.col("n_cn")
-    return v("study_meta").select(
+    return v("cohorts").select(
         "study", "study_year", r6(genetics.neff_4("n_ca", "n_cn"), "neff"), r6(genetics.neff_phi(n, "n_ca"), "neff_power")
     )
 
@@ -993,35 +993,35 @@ def _(v):
 # --- power -------------------------------------------------------------------
 
 _META = "meta AS (SELECT *, n_ca + n_cn AS n, (n_ca + n_cn) * (n_ca / (n_ca + n_cn)) * (1 - n_ca / (n_ca + n_cn)) AS neff FROM study_meta)"
-_CURVE = f"""{ctes('study_meta')}, {_META},
+_CURVE = f"""{ctes('study_meta', 'cohorts')}, {_META},
 grid AS (SELECT i AS place, 1e-7 + i * CAST((0.01 - 1e-7) / 999 AS double) AS maf FROM range(1000) t(i) UNION ALL
   SELECT 1000 + i, 0.01 + i * CAST(0.49 / 499 AS double) FROM range(500) t(i)),
 b AS (SELECT study, place, maf, floor(sqrt({power.detectable_ncp()!r}::double / (2 * maf * (1 - maf) * neff)) / (4.0 / 1499)::double) + 1 AS i FROM meta, grid),
 curve AS (SELECT study, place, maf, CASE WHEN i <= 1499 THEN i * (4.0 / 1499)::double END AS beta FROM b)"""
 
 
-def _curve(v):
+def _curve(v, studies: str = "study_meta"):
     n = F.col("n_ca") + F.col("n_cn")
-    return power.power_curve(v("study_meta").withColumn("neff", genetics.neff_phi(n, "n_ca")))
+    return power.power_curve(v(studies).withColumn("neff", genetics.neff_phi(n, "n_ca")))
 
 
 @query(
     "power_curve",
-    f"""{_CURVE} SELECT study, CAST(place AS int) AS place, round(maf, 9) AS maf, round(beta, 6) AS beta, round(exp(beta), 6) AS odds_ratio FROM curve""",
+    f"""{_CURVE.replace('FROM study_meta)', 'FROM cohorts)')} SELECT study, CAST(place AS int) AS place, round(maf, 9) AS maf, round(beta, 6) AS beta, round(exp(beta), 6) AS odds_ratio FROM curve""",
 )
 def _(v):
-    return _curve(v).select("study", "place", F.round("maf", 9).alias("maf"), r6("beta"), r6("or", "odds_ratio"))
+    return _curve(v, "cohorts").select("study", "place", F.round("maf", 9).alias("maf"), r6("beta"), r6("or", "odds_ratio"))
 
 
 @query(
     "clean_curve",
     f"""{_CURVE}, f AS (SELECT study, place, maf, beta, first_value(exp(beta) IGNORE NULLS) OVER (PARTITION BY study ORDER BY place
-  ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS o FROM curve WHERE study IN ('S0', 'S3', 'S5')),
+  ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS o FROM curve),
 r AS (SELECT *, row_number() OVER (PARTITION BY study, maf, o ORDER BY place) AS rn FROM f)
 SELECT study, round(maf, 9) AS maf, round(o, 6) AS odds_ratio, round(1 / exp(beta), 6) AS inv_or FROM r WHERE rn = 1""",
 )
 def _(v):
-    out = power.clean_curve(_curve(v), ["S0", "S3", "S5"])
+    out = power.clean_curve(_curve(v), STUDIES)
     return out.select("study", F.round("maf", 9).alias("maf"), r6("or", "odds_ratio"), r6("inv_or"))
 
 
@@ -1449,14 +1449,15 @@ def _(v):
 
 @query(
     "band_file",
-    f"""{ctes('bands')} SELECT CASE WHEN b_chr = 21 THEN 23 WHEN b_chr = 22 THEN 24 ELSE b_chr END AS chr, band_start, band_end,
-CAST(CASE WHEN b_chr = 21 THEN 23 WHEN b_chr = 22 THEN 24 ELSE b_chr END AS string) || band AS cytoband FROM bands WHERE b_chr <> 24""",
+    f"""{ctes('genes')} SELECT CASE WHEN g_chr = 21 THEN 23 WHEN g_chr = 22 THEN 24 ELSE g_chr END AS chr, g_start AS band_start, g_end AS band_end,
+CAST(CASE WHEN g_chr = 21 THEN 23 WHEN g_chr = 22 THEN 24 ELSE g_chr END AS string) || gene_name AS cytoband FROM genes WHERE g_chr <> 13""",
 )
 def _(v):
     path = v.folder("bands.tsv")
-    c = F.col("b_chr")
-    chrom = F.when(c == 21, "chrX").when(c == 22, "chrY").when(c == 24, "chr6_apd_hap1").otherwise(F.concat(F.lit("chr"), c))
-    delimited.write_table(v("bands").select(chrom.alias("#chrom"), "band_start", "band_end", "band", F.lit("gneg").alias("stain")), path, "\t")
+    c = F.col("g_chr")
+    chrom = F.when(c == 21, "chrX").when(c == 22, "chrY").when(c == 13, "chr6_apd_hap1").otherwise(F.concat(F.lit("chr"), c))
+    rows = v("genes").select(chrom.alias("#chrom"), "g_start", "g_end", F.col("gene_name").alias("name"), F.lit("gneg").alias("stain"))
+    delimited.write_table(rows, path, "\t")
     return genome.read_bands(v.spark, path).select("chr", "band_start", "band_end", "cytoband")
 
 

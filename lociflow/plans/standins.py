@@ -68,6 +68,14 @@ FROM lineitem""",
        CAST(count(*) * 1000 + 500 AS bigint) AS n_ca,
        CAST(count(*) * 3000 + min(s_suppkey % 6) * 700 AS bigint) AS n_cn
 FROM supplier GROUP BY 1""",
+    ),
+    # one study per supplier, so that the number of studies grows
+    "cohorts": (
+        ["supplier"],
+        """SELECT 'C' || CAST(s_suppkey AS string) AS study, CAST(2000 + s_nationkey AS int) AS study_year,
+       CAST(floor(abs(s_acctbal)) * 10 + 500 AS bigint) AS n_ca,
+       CAST(floor(abs(s_acctbal)) * 30 + s_nationkey * 700 + 900 AS bigint) AS n_cn
+FROM supplier""",
     ),
     "genes": (
         ["part"],

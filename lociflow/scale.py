@@ -27,6 +27,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
+    # a field that a variant line repeats keeps its last value
+    "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     "spark.ui.enabled": "false",
 }
 
