@@ -12,6 +12,8 @@ from .cells import explode_interval_cells, explode_point_cells, levels_for
 
 # Fixed value: half width of the region around a variant.
 FLANK = 500_000
+# Most intervals of one bin that a point may have to look at.
+BIN_ROWS = 2_048
 
 
 def flank(df: DataFrame, pos: str = "bp", w: int = FLANK, start: str = "start", end: str = "end") -> DataFrame:
@@ -85,6 +87,11 @@ def measure_spans(df: DataFrame, on: tuple[str, str, str], max_rows: int = BROAD
     return measure(df, F.col(on[2]) - F.col(on[1]), max_rows)
 
 
+def _fullest(binned: DataFrame) -> int:
+    """Rows in the fullest bin."""
+    return binned.groupBy("_chr", "_bin").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+
+
 def overlap_join(
     left: DataFrame,
     right: DataFrame,
@@ -105,8 +112,10 @@ def overlap_join(
     the result of ``measure_spans`` for the right side when the caller has it.
 
     A right side that passes the size check is binned and broadcast, and points
-    are neither shuffled nor multiplied.  Otherwise the distinct left spans are
-    matched through exact cells and joined back on their full key.
+    are neither shuffled nor multiplied.  When it does not fit, or when so many
+    of its intervals crowd one bin that points there would look at them all,
+    the distinct left spans are matched through exact cells and joined back on
+    their full key.
     """
     r_chr, r_start, r_end = right_on
     point = len(left_on) == 2
@@ -129,13 +138,14 @@ def overlap_join(
             .withColumn("_bin", F.explode(F.sequence(to_bin(low), to_bin(F.col(r_end)))))
             .withColumnRenamed(r_chr, "_chr")
         )
-        hit = (
-            (F.col(l_chr) == F.col("_chr"))
-            & (to_bin(at) == F.col("_bin"))
-            & (at >= low)
-            & (at <= F.col(r_end))
-        )
-        return left.join(F.broadcast(binned), hit, how).drop("_chr", "_bin")
+        if size.rows <= BIN_ROWS or _fullest(binned) <= BIN_ROWS:
+            hit = (
+                (F.col(l_chr) == F.col("_chr"))
+                & (to_bin(at) == F.col("_bin"))
+                & (at >= low)
+                & (at <= F.col(r_end))
+            )
+            return left.join(F.broadcast(binned), hit, how).drop("_chr", "_bin")
 
     l_chr, l_start = left_on[0], left_on[1]
     l_end = F.col(l_start) + reach if point else F.col(left_on[2])

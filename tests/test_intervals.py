@@ -71,6 +71,18 @@ def test_point_join_equals_brute_force(spark, max_rows, bin_size, how):
     assert rows(got, "chr", "bp", "s", "e") == sorted(want, key=key)
 
 
+def test_crowded_bins_take_the_exact_way(spark, monkeypatch):
+    crowd = [(1, 500 + i % 3, 500 + i % 3, i) for i in range(60)] + [(1, 0, 100_000, 99)]
+    r = spark.createDataFrame(crowd, "r_chr int, s bigint, e bigint, i int")
+    l = spark.createDataFrame([(1, 501), (1, 700), (2, 501)], "chr int, bp bigint")
+    want = rows(intervals.overlap_join(l, r, right_on=("r_chr", "s", "e")))
+    monkeypatch.setattr(intervals, "BIN_ROWS", 10)
+    crowded = intervals.overlap_join(l, r, right_on=("r_chr", "s", "e"))
+    assert rows(crowded.select("chr", "bp", "s", "e", "i")) == want and len(want) == 43
+    plan = spark._jvm.PythonSQLUtils.explainString(crowded._jdf.queryExecution(), "simple")
+    assert "_level" in plan
+
+
 def test_interval_join_equals_brute_force(spark):
     left, right = random_spans(4), random_spans(5, long=40)
     l = spark.createDataFrame(left, "chr int, ls bigint, le bigint")
