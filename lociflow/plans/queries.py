@@ -959,10 +959,10 @@ def _annotated(v):
 
 @query(
     "group_consequence",
-    f"""{_ANNOTATED} SELECT snp, CASE WHEN o < 1.3 AND o > 0.75 AND maf > 0.05 THEN 'Low effect size common variant' ELSE annotation END AS snpeff FROM q2""",
+    f"""{_ANNOTATED} SELECT snp, CASE WHEN o < 1.3 AND o > 0.75 AND maf > 0.05 THEN 'Low effect size common variant' ELSE annotation END AS consequence FROM q2""",
 )
 def _(v):
-    return _annotated(v).select("snp", classify.group_consequence("annotation", "odds_ratio", "maf").alias("snpeff"))
+    return _annotated(v).select("snp", classify.group_consequence("annotation", "odds_ratio", "maf").alias("consequence"))
 
 
 @query(
