@@ -15,6 +15,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lociflow.scale import shared_dir
 
@@ -38,6 +39,23 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores put before those that ``df`` has already (names differ by more than case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def with_fields(df: DataFrame, **kinds: str) -> T.StructType:
+    """The schema of ``df`` and more fields."""
+    return T.StructType([*df.schema.fields, *(T.StructField(n, T.DataType.fromDDL(k)) for n, k in kinds.items())])
+
+
 def training_row(doc_id: Column) -> Column:
     """Rows that may be learnt from: crc32 of the id as text is no multiple of 5."""
     return F.crc32(doc_id.cast("string")) % 5 != 0

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lociflow.llm import byte_bpe
+from lociflow.llm import boosted, byte_bpe, ppm
 from lociflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,16 @@ def _query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
     return fn
 
 
+@_query
+def op4_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.predictions(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op9_boosted_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return boosted.predictions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @_query
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"))
