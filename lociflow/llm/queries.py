@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lociflow.llm import boosted, byte_bpe, ppm
+from lociflow.llm import boosted, byte_bpe, chat_tree, packing, ppm
 from lociflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,11 +19,24 @@ def _query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
     return fn
 
 
+@_query
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 @_query
 def op4_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.predictions(table(spark, sf_dir, "documents"))
 
 
+@_query
+def op8_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = "</s>[INST] ok [/INST]"
+    added = spark.createDataFrame([(-7, 0, "user", control), (-7, 1, "assistant", control)], told.schema)
+    return chat_tree.format_and_read(told.union(added))
+
+
 @_query
 def op9_boosted_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return boosted.predictions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
