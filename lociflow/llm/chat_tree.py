@@ -42,12 +42,13 @@ from lociflow.scale import settle
 CONTROL = ("<|", "|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
 STEP = 24
 LEARNT_ROLE = "assistant"
-_ESCAPED = re.compile("|".join(map(re.escape, ("\\", *CONTROL))))
+# a backslash, or a character that a control string begins with; such strings may overlap
+_ESCAPED = re.compile(r"\\|(?=" + "|".join(map(re.escape, CONTROL)) + ").")
 _TURN = re.compile(r"<\|(.*?)\|>\n(.*?)<\|end\|>\n", re.DOTALL)
 
 
 def escape(text: str) -> str:
-    return _ESCAPED.sub(lambda m: f"{m[0][0]}\\{m[0][1:]}", text)
+    return _ESCAPED.sub(lambda m: m[0] + "\\", text)
 
 
 def unescape(text: str) -> str:
