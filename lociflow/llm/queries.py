@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lociflow.llm import boosted, byte_bpe, chat_tree, packing, ppm
+from lociflow.llm import boosted, byte_bpe, chat_tree, hnsw, packing, ppm, range_coder
 from lociflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +20,11 @@ def _query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
     return fn
 
 
+@_query
+def op1_hnsw_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 @_query
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
@@ -29,6 +35,11 @@ def op4_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.predictions(table(spark, sf_dir, "documents"))
 
 
+@_query
+def op5_range_coded_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return range_coder.read_ids(range_coder.write_ids(table(spark, sf_dir, "documents")))
+
+
 @_query
 def op8_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     told = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
