@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lociflow.llm import boosted, byte_bpe, chat_tree, hnsw, minhash, packing, ppm, range_coder
+from lociflow.llm import boosted, byte_bpe, chat_tree, hnsw, minhash, packing, phrases, ppm, range_coder
 from lociflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,11 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+@_query
+def op3_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.kept_words(table(spark, sf_dir, "documents"))
+
+
 @_query
 def op4_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.predictions(table(spark, sf_dir, "documents"))
