@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lociflow.llm import boosted, byte_bpe, chat_tree, hnsw, minhash, packing, phrases, ppm, range_coder
+from lociflow.llm import boosted, byte_bpe, chat_tree, hnsw, minhash, packing, phrases, ppm, range_coder, spotsigs
 from lociflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,11 @@ def op5_range_coded_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return range_coder.read_ids(range_coder.write_ids(table(spark, sf_dir, "documents")))
 
 
+@_query
+def op6_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.fingerprints_and_edits(table(spark, sf_dir, "documents"))
+
+
 @_query
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), n=2)
