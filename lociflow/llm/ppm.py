@@ -165,7 +165,8 @@ def grow(langs: list[str], counts: list[list[tuple[np.ndarray, np.ndarray]]]) ->
         ctx, bits = escapes(2, i)
         escape2[ctx.astype(int), i] = bits
 
-    three = np.unique(np.concatenate([counts[i][2][0] for i in range(width)]))
+    # a text's beginning is a context that ends no run of its own
+    three = np.unique(np.concatenate([*(counts[i][2][0] for i in range(width)), *(contexts(3, i)[0] for i in range(width))]))
     tri = Grams(three)
     order2 = np.zeros((len(three) + 1, width))
     order2[1:] = escape2[(three >> np.uint64(8)).astype(int)] + order1[(three & np.uint64(0xFFFF)).astype(int)]
@@ -174,8 +175,7 @@ def grow(langs: list[str], counts: list[list[tuple[np.ndarray, np.ndarray]]]) ->
         code, bits = own(2, i)
         order2[tri.of(code), i] = bits
         ctx, bits = escapes(3, i)
-        at = tri.of(ctx)
-        escape3[at[at > 0], i] = bits[at > 0]
+        escape3[tri.of(ctx), i] = bits
 
     fours = np.unique(np.concatenate([counts[i][3][0] for i in range(width)]))
     four = Grams(fours)
