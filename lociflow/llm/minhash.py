@@ -12,8 +12,9 @@ similarity is at least ``percent`` / 100.
    minimum) are far too unlike are dropped, all others are confirmed on the full
    sets.  Components of these links follow by large-star and small-star.
 3. What a bucket of three or more still holds of different components is compared
-   in blocks, member with member, so no link between two of them is lost; copies
-   of one document are one component by now and are not compared again.
+   in blocks, member with member and by full sets, so no link between two of them
+   is lost; copies of one document are one component by now and are not compared
+   again.
 
 A pair of exactly 80 % is missed by all bands with probability 3e-5 and by the
 signature check with 1e-5; a true link is lost for the components only if no
@@ -44,7 +45,7 @@ PERCENT = 80
 BANDS, ROWS = 20, 4
 #: Pairs whose signatures agree on a smaller share are not confirmed (4.5 standard deviations below the threshold).
 SLACK = 0.2
-BLOCK = 1024
+BLOCK = 512
 
 _RANDOM = np.random.default_rng(20)
 _A = _RANDOM.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -149,10 +150,12 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataF
     return with_both.select("a", "b", "x", "y").mapInArrow(run, pairs.select("a", "b").schema)
 
 
-def _rest(buckets: DataFrame, classes: DataFrame, joined: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components in buckets of three and more, their smallest member apart.
+def _rest(buckets: DataFrame, classes: DataFrame, joined: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """Links (a, b) between different components in buckets of three and more, their smallest member apart.
 
-    The bucket's smallest member has been compared with all others already.
+    The bucket's smallest member has been compared with all others already.  The
+    full sets go to the blocks, so only true links come out, and of those only
+    as many as join what was apart: fewer than a block has members.
     """
     placed = buckets.join(joined.withColumnRenamed("id", "rep"), "rep", "left")
     placed = placed.withColumn("component", F.coalesce("component", "rep"))
@@ -162,26 +165,61 @@ def _rest(buckets: DataFrame, classes: DataFrame, joined: DataFrame, percent: in
     mixed = mixed.filter("members > 2 AND low <> high").select("key", "hub", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
     held = placed.join(mixed, "key").filter("rep <> hub").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     held = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    held = held.select(
-        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "rep", "component"
-    ).join(classes.select("rep", "n", "signature"), "rep")
+    held = written(
+        held.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "rep", "component"), "blocks"
+    )
+    known = classes.join(_full_sets(held.select("rep").distinct(), docs, n), "rep").select("rep", "keys", "signature", "hashes")
     least = percent / 100 - SLACK
 
     def compare(group: pa.Table) -> pa.Table:
-        ids, comp, n, own = (np.asarray(group.column(c)) for c in ("rep", "component", "n", "own"))
+        ids, comp, own = (np.asarray(group.column(c)) for c in ("rep", "component", "own"))
         sign = np.frombuffer(b"".join(group.column("signature").to_pylist()), np.uint8).reshape(len(ids), -1)
+        full = [np.frombuffer(h, np.uint64) for h in group.column("hashes").to_pylist()]
+        size = np.array([len(h) for h in full])
+        keys = np.array(group.column("keys").to_pylist(), np.int64)
+        band = int(np.flatnonzero(keys[0] == group.column("key")[0].as_py())[0])
         i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
         left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        out = []
+        found = []
         for x in left:
             y = right[ids[right] > ids[x]] if i == j else right
-            y = y[(comp[y] != comp[x]) & (100 * np.minimum(n[y], n[x]) >= percent * np.maximum(n[y], n[x]))]
-            y = y[(sign[y] == sign[x]).mean(axis=1) >= least]
-            out.append(np.stack([np.minimum(ids[y], ids[x]), np.maximum(ids[y], ids[x])]))
-        a, b = np.concatenate(out, axis=1) if out else np.empty((2, 0), np.int64)
+            y = y[(comp[y] != comp[x]) & (100 * np.minimum(size[y], size[x]) >= percent * np.maximum(size[y], size[x]))]
+            share = (sign[y] == sign[x]).mean(axis=1)
+            # a pair that shares several bands is compared in the first
+            open_ = (share >= least) & ~(keys[y, :band] == keys[x, :band]).any(axis=1)
+            found.append(np.stack([share[open_], np.full(open_.sum(), x), y[open_]]))
+        pairs = np.concatenate(found, axis=1) if found else np.empty((3, 0))
+        top: dict[int, int] = {}
+
+        def root(c: int) -> int:
+            while c in top:
+                c = top[c]
+            return c
+
+        a, b = [], []
+        for k in np.argsort(-pairs[0], kind="stable"):  # likeliest first, so that most pairs are joined before their turn
+            x, y = int(pairs[1, k]), int(pairs[2, k])
+            p, q = root(int(comp[x])), root(int(comp[y]))
+            if p != q and linked(full[x], full[y], percent):
+                top[max(p, q)] = min(p, q)
+                a.append(min(ids[x], ids[y]))
+                b.append(max(ids[x], ids[y]))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return held.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+    return held.join(known, "rep").groupBy("key", "i", "j").applyInArrow(compare, "a long, b long")
+
+
+def _full_sets(ids: DataFrame, docs: DataFrame, n: int) -> DataFrame:
+    """(rep, hashes): the whole set of each document asked for."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            made = pa.array([shingles(t, n).tobytes() for t in column(part, "text")], pa.binary())
+            yield pa.RecordBatch.from_arrays([part.column(0), made], ["rep", "hashes"])
+
+    asked = written(ids.withColumnRenamed("rep", "doc_id"), "ids")
+    texts = docs.join(F.broadcast(asked) if fits(asked) else asked, "doc_id", "left_semi").select("doc_id", "text")
+    return texts.mapInArrow(run, "rep long, hashes binary")
 
 
 def near_duplicates(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -194,7 +232,7 @@ def near_duplicates(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) ->
     )
     classes = written(classes, "classes")
     # an id with several texts may stand for several classes
-    one = classes.dropDuplicates(["rep"]).select("rep", "n", "signature")
+    one = classes.dropDuplicates(["rep"]).select("rep", "n", "keys", "signature")
 
     buckets = classes.select("rep", F.explode("keys").alias("key"))
     hubs = buckets.groupBy("key").agg(F.min("rep").alias("hub"), F.count(F.lit(1)).alias("members")).filter("members > 1")
@@ -202,10 +240,8 @@ def near_duplicates(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) ->
     links = written(_confirmed(written(_close(stars, one, percent), "pairs"), docs, n, percent), "confirmed")
     joined = components(links)
 
-    more = written(_rest(buckets, one, joined, percent), "pairs")
-    if not more.isEmpty():
-        links = links.union(_confirmed(more, docs, n, percent))
-        joined = components(links)
+    more = written(_rest(buckets, one, joined, docs, n, percent), "confirmed")
+    joined = components(links.union(more))
 
     placed = classes.select("d1", "d2", F.col("rep")).join(joined.withColumnRenamed("id", "rep"), "rep", "left")
     placed = placed.select("d1", "d2", F.coalesce("component", "rep").alias("component"))
