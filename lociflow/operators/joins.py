@@ -28,7 +28,7 @@ def natural_left_join(left: DataFrame, right: DataFrame) -> DataFrame:
 
 def restore_dropped(clean: DataFrame, qc: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``qc`` plus the rows of ``clean`` whose key a QC step dropped."""
-    missing = clean.join(qc.select(*keys).distinct(), keys, "left_anti")
+    missing = null_safe_join(clean, qc.select(*keys).distinct(), keys, "left_anti")
     return qc.unionByName(missing, allowMissingColumns=True)
 
 
@@ -68,13 +68,16 @@ def apply_overrides(df: DataFrame, overrides: list[tuple], key: str) -> DataFram
 
     The hand-typed list becomes one literal map per column: no join.
     """
-    by_column: dict[str, list] = {}
+    # of several corrections of one cell the last holds
+    by_column: dict[str, dict] = {}
     for k, column, value in overrides:
-        kind = df.schema[column].dataType
-        by_column.setdefault(column, []).extend([F.lit(k), F.lit(value).cast(kind)])
-    return df.withColumns(
-        {c: F.coalesce(F.try_element_at(F.create_map(*pairs), F.col(key)), F.col(c)) for c, pairs in by_column.items()}
-    )
+        by_column.setdefault(column, {})[k] = value
+    new = {}
+    for c, values in by_column.items():
+        kind = df.schema[c].dataType
+        pairs = [x for k, value in values.items() for x in (F.lit(k), F.lit(value).cast(kind))]
+        new[c] = F.coalesce(F.try_element_at(F.create_map(*pairs), F.col(key)), F.col(c))
+    return df.withColumns(new)
 
 
 def inherit_from(
@@ -112,18 +115,20 @@ def extract_sites(sites: DataFrame, variants: DataFrame, keys=("chr", "bp"), max
     return sites.join(F.broadcast(wanted) if fits(wanted, max_rows) else wanted, list(keys), "left_semi")
 
 
-def expand(df: DataFrame, a: str, b: str, parts: int = 32, max_values: int = 10_000) -> DataFrame:
+# Values of the first column that one share takes.
+SHARE_VALUES = 10_000
+
+
+def expand(df: DataFrame, a: str, b: str, share_values: int = SHARE_VALUES) -> DataFrame:
     """Every combination of the distinct values of two columns.
 
-    The values of ``a`` go along as one list while they are few; otherwise both
-    sides meet in ``parts`` shares joined on the share number.
+    The values of ``a`` are dealt into shares, and each value of ``b`` meets
+    every share: at least as many shares as shuffle partitions, more when a
+    share would hold over ``share_values`` values.
     """
     firsts, seconds = df.select(a).distinct(), df.select(b).distinct()
-    if fits(firsts, max_values, max_bytes=1 << 20):
-        values = [r[0] for r in firsts.collect()]
-        kind = df.schema[a].dataType
-        listed = F.array(*[F.lit(v).cast(kind) for v in values])
-        return seconds.select(F.explode(listed).alias(a), b)
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(least, -(-firsts.count() // share_values))
     shares = firsts.withColumn("_share", F.pmod(F.xxhash64(a), F.lit(parts)).cast("int"))
     spread = seconds.withColumn("_share", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     return shares.join(spread, "_share").select(a, b)

@@ -100,24 +100,18 @@ def explode_list(df: DataFrame, col: str, sep: str = ",", ordinal: str | None =
     return out if ordinal else out.drop(place)
 
 
-def nest(df: DataFrame, keys: list[str], out: str = "data", max_rows: int = NEST_ROWS) -> DataFrame:
-    """Rows of a group as a sorted array of structs.
+def nest(df: DataFrame, keys: list[str], out: str = "data", part: str = "part", max_rows: int = NEST_ROWS) -> DataFrame:
+    """Rows of a group as sorted arrays of structs: keys, ``part``, ``out``.
 
-    A group of more than ``max_rows`` rows becomes several rows of at most that
-    many structs each, so no array grows with the data; ``unnest`` gives the
-    same rows back either way.
+    A group has a row for every ``max_rows`` of its rows, numbered from 0 by
+    ``part``, so no array grows with the data.  Counts of a group come from an
+    aggregate over its parts.
     """
     rest = [c for c in df.columns if c not in keys]
-
-    def gather(rows: DataFrame, *more: str) -> DataFrame:
-        return rows.groupBy(*keys, *more).agg(F.array_sort(F.collect_list(F.struct(*rest))).alias(out)).drop(*more)
-
-    large = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_rows)
-    if large.isEmpty():
-        return gather(df)
-    numbered = number_rows(null_safe_join(df, large.drop("_n"), keys, "left_semi"), df.columns, "_at")
-    parts = numbered.withColumn("_part", F.floor((F.col("_at") - 1) / max_rows))
-    return gather(null_safe_join(df, large.drop("_n"), keys, "left_anti")).unionByName(gather(parts, "_part"))
+    numbered = number_rows(df, [*keys, *rest], "_at")
+    first = numbered.groupBy(*keys).agg(F.min("_at").alias("_first"))
+    parts = null_safe_join(numbered, first, keys).withColumn(part, F.floor((F.col("_at") - F.col("_first")) / max_rows).cast("int"))
+    return parts.groupBy(*keys, part).agg(F.array_sort(F.collect_list(F.struct(*rest))).alias(out))
 
 
 def unnest(df: DataFrame, col: str) -> DataFrame:
@@ -130,9 +124,17 @@ def pivot_longer(df: DataFrame, ids: list[str], cols: list[str], names: str, val
     return df.unpivot(ids, cols, names, values)
 
 
-def pivot_wider(df: DataFrame, ids: list[str], names: str, value: str, levels: list) -> DataFrame:
-    """One column per level; the levels are listed, so no extra pass finds them."""
-    return df.groupBy(*ids).pivot(names, levels).agg(F.first(value, ignorenulls=True))
+def pivot_wider(
+    df: DataFrame, ids: list[str], names: str, value: str, levels: list, order: tuple[str, ...] = ()
+) -> DataFrame:
+    """One column per level; the levels are listed, so no extra pass finds them.
+
+    Of several values for one cell the first in ``order`` is taken, and of those
+    that ``order`` leaves equal the smallest.
+    """
+    cell = F.when(F.col(value).isNotNull(), F.struct(*order, F.col(value).alias("_value")))
+    wide = df.groupBy(*ids).pivot(names, levels).agg(F.min(cell))
+    return wide.select(*ids, *[F.col(f"`{v}`._value").alias(str(v)) for v in levels])
 
 
 def with_level(df: DataFrame, col: str, levels: list[str], out: str) -> DataFrame:
@@ -158,7 +160,3 @@ def stack(frames: list[DataFrame]) -> DataFrame:
 def sort_genomic(df: DataFrame, chrom: str = "chr", pos: str = "bp", *more: str) -> DataFrame:
     """Sort by chromosome and position with missing last; meant for sinks."""
     return df.orderBy(*[F.col(c).asc_nulls_last() for c in (chrom, pos, *more)])
-
-
-def locus_label(*cols, sep: str = ", ") -> Column:
-    return F.concat_ws(sep, *[_col(c) for c in cols])

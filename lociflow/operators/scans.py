@@ -8,6 +8,8 @@ a block window sees at most ``block`` rows however the data are skewed.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -79,37 +81,27 @@ def fill(
     order: str,
     direction: str = "down",
     ties: tuple[str, ...] = (),
-    blocks: int = 64,
 ) -> DataFrame:
     """Fill missing values from the nearest earlier (down) or later (up) row.
 
-    ``order`` is numeric.  Each group is cut at quantiles of ``order``; the cut
-    points are a short list, and every block window is a share of the group.
+    The rows are range-sorted once; each partition of the sort fills what it
+    can, and one row per partition and group carries what crosses its edge.
+    Tasks are as large as the sort's partitions, however large a group is.
     """
-    up = direction == "up"
-    shares = [i / blocks for i in range(1, blocks)]
-    splits = sorted(set(df.approxQuantile(order, shares, 0.005))) if blocks > 1 else []
-    cuts = F.array(*[F.lit(float(s)) for s in splits]) if splits else F.array().cast("array<double>")
-    at = F.col(order).cast("double")
-    df = df.withColumn("_block", F.size(F.filter(cuts, lambda s: s < at)))
-
-    known = F.col(column).isNotNull()
-    pick = F.min_by if up else F.max_by
-    key = F.struct(F.col(order), *[F.col(t) for t in ties]) if ties else F.col(order)
-    edge = df.groupBy(*group, "_block").agg(pick(F.when(known, F.col(column)), F.when(known, key)).alias("_edge"))
-
     # filling up reads backwards, so both directions look at earlier rows only
-    way = [F.col(c).desc() if up else F.col(c).asc() for c in ("_block", order, *ties)]
+    way = [F.col(c).desc() if direction == "up" else F.col(c).asc() for c in (order, *ties)]
+    at = F.monotonically_increasing_id()
+    placed = settle(df.orderBy(*group, *way).withColumn("_at", at).withColumn("_part", F.shiftright("_at", 33)))
     seen = Window.unboundedPreceding
-    beyond = Window.partitionBy(*group).orderBy(way[0]).rowsBetween(seen, -1)
-    edge = edge.withColumn("_carry", F.last("_edge", ignorenulls=True).over(beyond)).drop("_edge")
-    inside = Window.partitionBy(*group, "_block").orderBy(*way[1:]).rowsBetween(seen, Window.currentRow)
-    return (
-        df.withColumn(column, F.last(column, ignorenulls=True).over(inside))
-        .join(edge, [*group, "_block"])
-        .withColumn(column, F.coalesce(column, "_carry"))
-        .drop("_carry", "_block")
-    )
+    known = F.col(column).isNotNull()
+    edges = placed.groupBy(*group, "_part").agg(F.max_by(F.when(known, F.col(column)), F.when(known, F.col("_at"))).alias("_edge"))
+    before = Window.partitionBy(*group).orderBy("_part").rowsBetween(seen, -1)
+    edges = edges.withColumn("_carry", F.last("_edge", ignorenulls=True).over(before)).drop("_edge")
+    inside = Window.partitionBy(*group, "_part").orderBy("_at").rowsBetween(seen, Window.currentRow)
+    filled = placed.withColumn(column, F.last(column, ignorenulls=True).over(inside))
+    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in (*group, "_part")]
+    met = filled.alias("l").join(edges.alias("r"), reduce(lambda a, b: a & b, same))
+    return met.select(*[F.coalesce(f"l.{c}", "r._carry").alias(c) if c == column else F.col(f"l.{c}") for c in df.columns])
 
 
 def number_rows(df: DataFrame, order: list, out: str = "row_number") -> DataFrame:

@@ -460,14 +460,15 @@ def _(v):
 
 @query(
     "restore_dropped",
-    f"""{ctes('assoc', 'sites')}, clean AS (SELECT DISTINCT snp, chr, bp FROM assoc),
-qc AS (SELECT id AS snp, chr, bp, round(af, 6) AS af FROM sites)
+    f"""{ctes('assoc', 'sites')}, clean AS (SELECT DISTINCT snp, CASE WHEN chr = 9 THEN NULL ELSE chr END AS chr, bp FROM assoc),
+qc AS (SELECT id AS snp, CASE WHEN chr = 9 THEN NULL ELSE chr END AS chr, bp, round(af, 6) AS af FROM sites)
 SELECT snp, chr, bp, af FROM qc UNION ALL
-SELECT snp, chr, bp, NULL AS af FROM clean c WHERE NOT EXISTS (SELECT 1 FROM qc WHERE qc.chr = c.chr AND qc.bp = c.bp)""",
+SELECT snp, chr, bp, NULL AS af FROM clean c WHERE NOT EXISTS (SELECT 1 FROM qc WHERE qc.chr IS NOT DISTINCT FROM c.chr AND qc.bp IS NOT DISTINCT FROM c.bp)""",
 )
 def _(v):
-    qc = v("sites").select(F.col("id").alias("snp"), "chr", "bp", r6("af"))
-    return joins.restore_dropped(positions(v), qc, ["chr", "bp"])
+    known = F.when(F.col("chr") != 9, F.col("chr")).alias("chr")
+    qc = v("sites").select(F.col("id").alias("snp"), known, "bp", r6("af"))
+    return joins.restore_dropped(positions(v).select("snp", known, "bp"), qc, ["chr", "bp"])
 
 
 @query(
@@ -483,12 +484,9 @@ def _(v):
 
 @query(
     "inherit_locus",
-    f"""{ctes('located')}, src AS (SELECT min({{'l': locus, 'i': locus_ld}}) AS s FROM located WHERE snp = 'rs8')
+    f"""{ctes('located')}, src AS (SELECT {{'l': locus, 'i': locus_ld}} AS s FROM located WHERE snp = 'rs8' ORDER BY locus NULLS FIRST, locus_ld NULLS FIRST LIMIT 1)
 SELECT snp, study, order_id, line_no, supp_id, CASE WHEN snp LIKE 'rs10%' THEN s.l ELSE locus END AS locus,
-CASE WHEN snp LIKE 'rs10%' THEN s.i ELSE locus_ld END AS locus_ld FROM located, src""".replace(
-        "min({'l': locus, 'i': locus_ld}) AS s FROM located WHERE snp = 'rs8'",
-        "{'l': locus, 'i': locus_ld} AS s FROM located WHERE snp = 'rs8' ORDER BY locus NULLS FIRST, locus_ld NULLS FIRST LIMIT 1",
-    ),
+CASE WHEN snp LIKE 'rs10%' THEN s.i ELSE locus_ld END AS locus_ld FROM located, src""",
 )
 def _(v):
     rows = v("located").select("snp", "study", *TIES, "locus", "locus_ld")
@@ -519,10 +517,10 @@ def _(v):
 @query(
     "extract_sites",
     f"""{ctes('assoc', 'sites')} SELECT id, chr, bp, ref, alt, round(af, 6) AS af FROM sites s
-WHERE EXISTS (SELECT 1 FROM assoc a WHERE p < 1e-12 AND a.chr = s.chr AND a.bp = s.bp)""",
+WHERE EXISTS (SELECT 1 FROM assoc a WHERE p < 5e-8 AND a.chr = s.chr AND a.bp = s.bp)""",
 )
 def _(v):
-    wanted = genetics.significant(v("assoc"), alpha=1e-12)
+    wanted = genetics.significant(v("assoc"))
     return joins.extract_sites(v("sites"), wanted).withColumn("af", r6("af"))
 
 
@@ -609,7 +607,7 @@ def _(v):
     "sum_or_null",
     f"""{ctes('located')} SELECT study, line_no, CASE WHEN count(*) = count(locus_ld) THEN CAST(sum(locus_ld) AS bigint) END AS strict,
 CAST(coalesce(sum(locus_ld), 0) AS bigint) AS lenient, CAST(sum(coalesce(locus_ld, 0) + line_no) AS bigint) AS across FROM located
-WHERE order_id < 100 GROUP BY study, line_no""".replace("WHERE order_id < 100 ", ""),
+GROUP BY study, line_no""",
 )
 def _(v):
     return v("located").groupBy("study", "line_no").agg(
@@ -748,11 +746,7 @@ CASE WHEN o_orderpriority LIKE '%NOT%' THEN 'SPECIFIED' END AS third FROM orders
 def _(v):
     rows = v("orders").select("o_orderkey", "o_orderpriority")
     halves = reshape.separate(rows, "o_orderpriority", ["rank", "word"], "-", regex=False, keep=True)
-    return (
-        reshape.separate(halves, "o_orderpriority", ["first", "second", "third"])
-        .withColumn("third", F.col("third"))
-        .select("o_orderkey", "rank", "word", "third")
-    )
+    return reshape.separate(halves, "o_orderpriority", ["first", "second", "third"]).select("o_orderkey", "rank", "word", "third")
 
 
 @query(
@@ -899,8 +893,9 @@ ON k.g_chr = c.g_chr AND k.mb = c.mb""",
 )
 def _(v):
     rows = v("genes").select("g_chr", F.floor(F.col("g_start") / 1000000).cast("long").alias("mb"), "gene_name", "g_start")
-    nested = reshape.nest(rows, ["g_chr", "mb"]).withColumn("n", F.size("data"))
-    return reshape.unnest(nested, "data")
+    nested = reshape.nest(rows, ["g_chr", "mb"], max_rows=3)
+    sizes = nested.groupBy("g_chr", "mb").agg(F.sum(F.size("data")).cast("int").alias("n"))
+    return reshape.unnest(nested.drop("part").join(sizes, ["g_chr", "mb"]), "data")
 
 
 # --- classes and labels -------------------------------------------------------
@@ -1037,37 +1032,30 @@ def _(v):
 
 # --- reports -----------------------------------------------------------------
 
-_STRONG = "strong AS (SELECT * FROM located WHERE p < 1e-12)"
-
-
-def _strong(v):
-    return genetics.significant(v("located"), alpha=1e-12)
-
-
 @query(
     "novel_loci",
-    f"""{ctes('located')}, {_STRONG} SELECT locus, string_agg(DISTINCT CASE WHEN study IN ('S4', 'S5') THEN study END, '&' ORDER BY CASE WHEN study IN ('S4', 'S5') THEN study END) AS found_by
-FROM strong GROUP BY locus HAVING NOT bool_or(study NOT IN ('S4', 'S5'))""",
+    f"""{ctes('located')}, SELECT locus, string_agg(DISTINCT CASE WHEN study IN ('S4', 'S5') THEN study END, '&' ORDER BY CASE WHEN study IN ('S4', 'S5') THEN study END) AS found_by
+FROM located GROUP BY locus HAVING NOT bool_or(study NOT IN ('S4', 'S5'))""",
 )
 def _(v):
-    return report.novel_loci(_strong(v), ["S4", "S5"])
+    return report.novel_loci(v("located"), ["S4", "S5"]).select("locus", "found_by")
 
 
 @query(
     "novel_loci_by_study",
-    f"""{ctes('located')}, {_STRONG}, nov AS (SELECT locus FROM strong GROUP BY locus HAVING NOT bool_or(study NOT IN ('S4', 'S5')))
-SELECT study, CAST(count(*) AS bigint) AS n FROM (SELECT DISTINCT s.study, s.locus FROM strong s JOIN nov ON s.locus IS NOT DISTINCT FROM nov.locus) t GROUP BY study""",
+    f"""{ctes('located')}, nov AS (SELECT locus FROM located GROUP BY locus HAVING NOT bool_or(study NOT IN ('S4', 'S5')))
+SELECT study, CAST(count(*) AS bigint) AS n FROM (SELECT DISTINCT s.study, s.locus FROM located s JOIN nov ON s.locus IS NOT DISTINCT FROM nov.locus) t GROUP BY study""",
 )
 def _(v):
-    return report.novel_loci_by_study(_strong(v), ["S4", "S5"])
+    return report.novel_loci_by_study(v("located"), ["S4", "S5"])
 
 
 @query(
     "shared_loci",
-    f"""{ctes('located')}, {_STRONG} SELECT DISTINCT locus FROM strong WHERE study = 'S4' INTERSECT SELECT locus FROM strong WHERE study = 'S5'""",
+    f"""{ctes('located')}, SELECT DISTINCT locus FROM located WHERE study = 'S4' INTERSECT SELECT locus FROM located WHERE study = 'S5'""",
 )
 def _(v):
-    return report.shared_loci(_strong(v), ["S4", "S5"])
+    return report.shared_loci(v("located"), ["S4", "S5"])
 
 
 @query(
@@ -1087,37 +1075,34 @@ def _(v):
 
 @query(
     "discovery_year",
-    f"""{ctes('located', 'study_meta')}, r AS (SELECT l.*, study_year, row_number() OVER (PARTITION BY locus_ld ORDER BY study_year, order_id, line_no, supp_id, snp) AS rn
-  FROM located l JOIN study_meta m ON l.study = m.study WHERE locus_ld IS NOT NULL)
+    f"""{ctes('located', 'study_meta')}, k AS (SELECT * FROM located WHERE locus_ld IS NOT NULL UNION ALL
+  SELECT * REPLACE (-row_number() OVER (ORDER BY order_id, line_no, supp_id, snp) AS locus_ld) FROM located WHERE locus_ld IS NULL),
+r AS (SELECT k.*, study_year, row_number() OVER (PARTITION BY locus_ld ORDER BY study_year, order_id, line_no, supp_id, snp) AS rn
+  FROM k JOIN study_meta m ON k.study = m.study)
 SELECT locus_ld, snp, study, study_year FROM r WHERE rn = 1""",
 )
 def _(v):
-    rows = v("located").filter("locus_ld IS NOT NULL")
-    return report.discovery_year(rows, v("study_meta"), [*TIES, "snp"]).select("locus_ld", "snp", "study", "study_year")
+    return report.discovery_year(v("located"), v("study_meta"), [*TIES, "snp"]).select("locus_ld", "snp", "study", "study_year")
 
 
-@query(
-    "upset_table",
-    f"""{ctes('located')}, {_STRONG},
+_UPSET = f"""{ctes('located')},
 r AS (SELECT study, chr, bp, order_id, line_no, supp_id, CASE WHEN line_no = 7 THEN NULL ELSE p END AS p, CASE WHEN locus IS NOT NULL THEN
   'chr' || CAST(chr AS string) || ':' || CAST(CAST(floor(bp / 2000000) AS bigint) * 2000000 + 12345 AS string) || '-' || CAST(CAST(floor(bp / 2000000) AS bigint) * 2000000 + 1999999 AS string) END AS locus,
   CASE WHEN order_id % 4 = 0 THEN 'V' || CAST(chr AS string) END AS gvc_gene, 'N' || snp AS gencode_gene,
-  CASE study WHEN 'S2' THEN 1 WHEN 'S0' THEN 2 WHEN 'S1' THEN 3 WHEN 'S4' THEN 4 WHEN 'S3' THEN 5 END AS y FROM strong),
+  CASE study WHEN 'S2' THEN 1 WHEN 'S0' THEN 2 WHEN 'S1' THEN 3 WHEN 'S4' THEN 4 WHEN 'S3' THEN 5 END AS y FROM located),
 k AS (SELECT * FROM r WHERE locus IS NOT NULL AND y IS NOT NULL),
 named AS (SELECT locus, coalesce(gvc_gene, gencode_gene) AS gene, row_number() OVER (ORDER BY chr, bp, locus) AS position FROM
   (SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY locus ORDER BY y DESC, order_id, line_no, supp_id, bp) = 1) t),
 cells AS (SELECT study, locus, count(*) AS n, count(p) AS hits FROM k GROUP BY 1, 2),
 g AS (SELECT s.study, named.*, CASE WHEN gene = 'V7' THEN greatest(coalesce(n, 1), 1) ELSE coalesce(hits, 0) END AS n_sig,
   string_split_regex(named.locus, '[^0-9A-Za-z]+') AS f
-  FROM (SELECT DISTINCT study FROM k) s CROSS JOIN named LEFT JOIN cells c ON c.study = s.study AND c.locus = named.locus)
-SELECT study, locus, CAST(n_sig AS bigint) AS n_sig, n_sig > 0 AS significant, gene, locus || ' (' || gene || ')' AS label,
-f[1] || ':' || regexp_replace(CAST(round_even(CAST(f[2] AS double) / 1000000, 2) AS string), '\\.0$', '') || '-' ||
- regexp_replace(CAST(round_even(CAST(f[3] AS double) / 1000000, 2) AS string), '\\.0$', '') AS short_locus, CAST(position AS bigint) AS position FROM g""",
-)
-def _(v):
+  FROM (SELECT DISTINCT study FROM k) s CROSS JOIN named LEFT JOIN cells c ON c.study = s.study AND c.locus = named.locus)"""
+
+
+def _upset(v):
     start = F.floor(F.col("bp") / 2000000).cast("long") * 2000000
     place = F.concat(F.lit("chr"), "chr", F.lit(":"), start + 12345, F.lit("-"), start + 1999999)
-    rows = _strong(v).select(
+    rows = v("located").select(
         "study", "chr", "bp", *TIES, F.when(F.col("line_no") != 7, F.col("p")).alias("p"),
         F.when(F.col("locus").isNotNull(), place).alias("locus"),
         F.when(F.col("order_id") % 4 == 0, F.concat(F.lit("V"), "chr")).alias("gvc_gene"), F.concat(F.lit("N"), "snp").alias("gencode_gene"),
@@ -1125,13 +1110,23 @@ def _(v):
     return report.upset_table(rows, ["S2", "S0", "S1", "S4", "S3"], [*TIES, "bp"], always=("V7",))
 
 
+@query(
+    "upset_table",
+    f"""{_UPSET} SELECT study, locus, CAST(n_sig AS bigint) AS n_sig, n_sig > 0 AS significant, gene, locus || ' (' || gene || ')' AS label,
+f[1] || ':' || regexp_replace(CAST(round_even(CAST(f[2] AS double) / 1000000, 2) AS string), '\\.0$', '') || '-' ||
+ regexp_replace(CAST(round_even(CAST(f[3] AS double) / 1000000, 2) AS string), '\\.0$', '') AS short_locus, CAST(position AS bigint) AS position FROM g""",
+)
+def _(v):
+    return _upset(v)
+
+
 @query(
     "upset_segments",
-    f"""{ctes('located')}, {_STRONG}, k AS (SELECT locus, study, CASE study WHEN 'S3' THEN 1 WHEN 'S1' THEN 2 WHEN 'S5' THEN 3 WHEN 'S0' THEN 4 END AS r FROM strong)
-SELECT locus, arg_min(study, r) AS start_study, arg_max(study, r) AS end_study FROM k WHERE r IS NOT NULL GROUP BY locus""",
+    f"""{_UPSET}, seg AS (SELECT locus, study, CASE study WHEN 'S3' THEN 1 WHEN 'S1' THEN 2 WHEN 'S2' THEN 3 WHEN 'S0' THEN 4 END AS r FROM g WHERE n_sig > 0)
+SELECT locus, arg_min(study, r) AS start_study, arg_max(study, r) AS end_study FROM seg WHERE r IS NOT NULL GROUP BY locus""",
 )
 def _(v):
-    return report.upset_segments(_strong(v), ["S3", "S1", "S5", "S0"])
+    return report.upset_segments(_upset(v), ["S3", "S1", "S2", "S0"])
 
 
 @query(
@@ -1235,6 +1230,15 @@ def _(v):
     return report.cohort_totals(rows).select("data", "stage", "cases").join(strict, ["data", "stage"])
 
 
+@query(
+    "global_totals",
+    """SELECT CAST(sum(p_size) AS bigint) AS cases, CAST(sum(p_size) FILTER (p_size < 49) AS bigint) AS controls FROM part""",
+)
+def _(v):
+    size = F.col("p_size").cast("long")
+    return report.cohort_totals(v("part").select(size.alias("cases"), F.when(size < 49, size).alias("controls")), by=())
+
+
 # --- linkage disequilibrium -----------------------------------------------------
 
 _LD = f"""{ctes('dosage')},
@@ -1262,14 +1266,19 @@ clip AS (SELECT p.chr, p.bp, p.snp, maf, coalesce(list_contains(l.kept, p.snp),
   FROM panel p LEFT JOIN last l ON p.chr = l.chr LEFT JOIN queue q ON q.chr = p.chr AND q.snp = p.snp)"""
 
 
+# pairs further apart than this are not looked at
+_WINDOW = 1_000_000
+
+
 def _clip(v):
     dosage = v("dosage")
-    return ld.ld_clip(ld.allele_maf(dosage), ld.ld_pairs(dosage))
+    pairs = ld.ld_pairs(dosage, _WINDOW, min_r2=ld.R2_THRESHOLD, min_maf=ld.MAF_THRESHOLD)
+    return ld.ld_clip(ld.allele_maf(dosage), pairs)
 
 
 @query("ld_pairs", f"{_LD} SELECT chr, snp_a, bp_a, snp_b, bp_b, n, round(r2, 6) AS r2 FROM pairs")
 def _(v):
-    return ld.ld_pairs(v("dosage")).withColumn("r2", r6("r2"))
+    return ld.ld_pairs(v("dosage"), _WINDOW).withColumn("r2", r6("r2"))
 
 
 @query("ld_maf", f"{_LD} SELECT chr, bp, snp, round(maf, 6) AS maf FROM panel")
@@ -1481,7 +1490,7 @@ def _(v):
 def _(v):
     path = v.folder("nested.parquet")
     rows = v("genes").select("g_chr", F.floor(F.col("g_start") / 1000000).cast("long").alias("mb"), "gene_name", "g_start")
-    delimited.write_nested(reshape.nest(rows, ["g_chr", "mb"]), path, "g_chr")
+    delimited.write_nested(reshape.nest(rows, ["g_chr", "mb"]).drop("part"), path, "g_chr")
     back = v.spark.read.schema("mb bigint, data array<struct<gene_name: string, g_start: bigint>>, g_chr int").parquet(path)
     return reshape.unnest(back, "data")
 
@@ -1490,30 +1499,30 @@ def _(v):
 
 _PRINTED = """printed AS (SELECT snp, chr, bp, a1, a2, 'g' || snp AS gene, round(frq, 3) AS frq, round(odds_ratio, 2) AS o, round(l95, 2) AS l95, round(u95, 2) AS u95,
   CAST(CAST(order_id % 9 + 1 AS string) || '.5e-' || CAST(CAST(supp_id % 8 + 5 AS bigint) AS string) AS double) AS p, order_id, line_no, supp_id
-  FROM assoc WHERE study = 'S2')"""
+  , study FROM assoc)"""
 
 
 @query(
     "clean_study",
     f"""{ctes('assoc', 'sites')}, {_PRINTED},
-best AS (SELECT * FROM printed WHERE p < 5e-8 QUALIFY row_number() OVER (PARTITION BY snp ORDER BY p, bp, frq, o, l95, u95) = 1),
+best AS (SELECT * FROM printed WHERE p < 5e-8 QUALIFY row_number() OVER (PARTITION BY study, snp ORDER BY p, bp, frq, o, l95, u95) = 1),
 pairs AS (SELECT DISTINCT chr, bp, least(ref, alt) AS x, greatest(ref, alt) AS y FROM sites),
 found AS (SELECT b.* FROM best b JOIN pairs s ON b.chr = s.chr AND b.bp = s.bp AND least(a1, a2) = x AND greatest(a1, a2) = y
-  QUALIFY row_number() OVER (PARTITION BY b.chr, b.bp, x, y ORDER BY p, b.bp, frq, o, l95, u95) = 1),
-u AS (SELECT * FROM found UNION ALL SELECT * FROM best b WHERE NOT EXISTS (SELECT 1 FROM found f WHERE f.chr = b.chr AND f.bp = b.bp))
-SELECT snp, chr, bp, a1, a2, gene, frq, o AS odds_ratio, round(p * 1e9, 6) AS p_e9, round(ln(o), 6) AS beta, round((ln(o) - ln(l95)) / 1.96, 6) AS se,
+  QUALIFY row_number() OVER (PARTITION BY study, b.chr, b.bp, x, y ORDER BY p, b.bp, frq, o, l95, u95) = 1),
+u AS (SELECT * FROM found UNION ALL SELECT * FROM best b WHERE NOT EXISTS (SELECT 1 FROM found f WHERE f.study = b.study AND f.chr = b.chr AND f.bp = b.bp))
+SELECT study, snp, chr, bp, a1, a2, gene, frq, o AS odds_ratio, round(p * 1e9, 6) AS p_e9, round(ln(o), 6) AS beta, round((ln(o) - ln(l95)) / 1.96, 6) AS se,
 round(ln(o) / ((ln(o) - ln(l95)) / 1.96), 6) AS z FROM u""",
 )
 def _(v):
     text_of = lambda c, n: F.round(c, n).cast("string")
-    raw = v("assoc").filter("study = 'S2'").select(
-        "snp", F.col("chr").cast("string").alias("chr"), F.col("bp").cast("string").alias("pos"), F.concat(F.lit("g"), "snp").alias("gene"),
+    raw = v("assoc").select(
+        "study", "snp", F.col("chr").cast("string").alias("chr"), F.col("bp").cast("string").alias("pos"), F.concat(F.lit("g"), "snp").alias("gene"),
         F.concat_ws("/", "a1", "a2").alias("alleles"), text_of("frq", 3).alias("maf"), text_of("odds_ratio", 2).alias("or"),
         F.concat(F.lit("("), text_of("l95", 2), F.lit("–"), text_of("u95", 2), F.lit(")")).alias("ci"),
         F.concat(F.col("order_id") % 9 + 1, F.lit(".5 × 10−"), F.col("supp_id") % 8 + 5).alias("p"),
     )
     out = study.clean_study(raw, v("sites"), ["p", "bp", "frq", "odds_ratio", "l95", "u95"])
-    return out.select("snp", "chr", "bp", "a1", "a2", "gene", "frq", "odds_ratio", r6(F.col("p") * 1e9, "p_e9"), r6("beta"), r6("se"), r6("z"))
+    return out.select("study", "snp", "chr", "bp", "a1", "a2", "gene", "frq", "odds_ratio", r6(F.col("p") * 1e9, "p_e9"), r6("beta"), r6("se"), r6("z"))
 
 
 @query(

@@ -32,7 +32,7 @@ def loci_per_study(assoc: DataFrame, w: int = FLANK) -> DataFrame:
 
 
 def novel_loci(df: DataFrame, new: list[str], locus: str = "locus") -> DataFrame:
-    """Loci some new study reports and no older one does, with their new studies.
+    """Loci some new study reports and no older one does, with their new studies as a list and as text.
 
     One grouped pass instead of an anti-join, so a locus with very many rows
     costs no more than its partial counts.
@@ -45,14 +45,14 @@ def novel_loci(df: DataFrame, new: list[str], locus: str = "locus") -> DataFrame
             F.array_sort(F.collect_set(F.when(is_new, F.col("study")))).alias("_by"),
         )
         .filter(~F.col("_known") & (F.size("_by") > 0))
-        .select(locus, F.array_join("_by", "&").alias("found_by"))
+        .select(locus, F.array_join("_by", "&").alias("found_by"), F.col("_by").alias("studies"))
     )
 
 
 def novel_loci_by_study(df: DataFrame, new: list[str], locus: str = "locus") -> DataFrame:
     """Novel loci counted for each new study."""
     found = novel_loci(df, new, locus)
-    return found.select(F.explode(F.split("found_by", "&")).alias("study")).groupBy("study").agg(F.count(F.lit(1)).alias("n"))
+    return found.select(F.explode("studies").alias("study")).groupBy("study").agg(F.count(F.lit(1)).alias("n"))
 
 
 def shared_loci(df: DataFrame, studies: list[str], locus: str = "locus") -> DataFrame:
@@ -80,8 +80,8 @@ def lead_variants(
 
 
 def discovery_year(df: DataFrame, meta: DataFrame, order: list, group: str = "locus_ld", year: str = "study_year") -> DataFrame:
-    """The first study, by year, to report each LD locus."""
-    rows = lookup_join(df, meta.select("study", year), "study")
+    """The first study, by year, to report each LD locus; a row without one stands alone."""
+    rows = lookup_join(fill_missing_group(df, group, order), meta.select("study", year), "study")
     return best_per(rows, [group], year, order)
 
 
@@ -132,9 +132,13 @@ def upset_table(
     )
 
 
-def upset_segments(df: DataFrame, levels: list[str], locus: str = "locus") -> DataFrame:
-    """First and last study of each locus in the listed order."""
-    return span_per(with_level(df, "study", levels, "_rank").filter("_rank IS NOT NULL"), [locus], "_rank", "study", "start_study", "end_study")
+def upset_segments(grid: DataFrame, levels: list[str], locus: str = "locus") -> DataFrame:
+    """First and last study, in the listed order, among the significant cells of each locus.
+
+    ``grid`` is from ``upset_table``, so loci that are always shown span all of its studies.
+    """
+    cells = with_level(grid.filter("significant"), "study", levels, "_rank").filter("_rank IS NOT NULL")
+    return span_per(cells, [locus], "_rank", "study", "start_study", "end_study")
 
 
 def study_sizes(meta: DataFrame, total: str = "n", effective: str = "neff", stacked: bool = False) -> DataFrame:
@@ -159,7 +163,7 @@ def collapsed_loci(original: DataFrame, merged: DataFrame) -> DataFrame:
     return get_dupes(both, ["locus"])
 
 
-def cohort_totals(df: DataFrame, strict: bool = False) -> DataFrame:
-    """Cases and controls summed; ``strict`` gives null when any is missing."""
+def cohort_totals(df: DataFrame, strict: bool = False, by: tuple[str, ...] = ("data", "stage")) -> DataFrame:
+    """Cases and controls summed, over all rows when ``by`` is empty; ``strict`` gives null when any is missing."""
     add = sum_or_null if strict else F.sum
-    return df.groupBy("data", "stage").agg(add("cases").alias("cases"), add("controls").alias("controls"))
+    return df.groupBy(*by).agg(add("cases").alias("cases"), add("controls").alias("controls"))

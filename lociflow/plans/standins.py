@@ -44,7 +44,7 @@ VIEWS: dict[str, tuple[list[str], str]] = {
 FROM lineitem""",
     ),
     # reports already placed in a locus and an LD locus, either of them missing
-    # at times
+    # at times; one stretch in five is reported by the two newest studies only
     "located": (
         ["lineitem"],
         f"""SELECT 'rs' || CAST(l_partkey AS string) AS snp,
@@ -57,7 +57,8 @@ FROM lineitem""",
        l_quantity / 51.0 AS frq,
        exp((l_discount - 0.05) * 30) AS odds_ratio,
        power(10.0, -(l_extendedprice / 8000.0)) AS p,
-       {_STUDY.format(k='l_suppkey')} AS study,
+       CASE WHEN floor(({_L['bp']}) / 2000000) % 5 = 0 THEN 'S' || CAST(4 + l_suppkey % 2 AS string)
+            ELSE {_STUDY.format(k='l_suppkey')} END AS study,
        l_orderkey AS order_id, l_linenumber AS line_no, l_suppkey AS supp_id
 FROM lineitem""",
     ),
@@ -69,11 +70,11 @@ FROM lineitem""",
        CAST(count(*) * 3000 + min(s_suppkey % 6) * 700 AS bigint) AS n_cn
 FROM supplier GROUP BY 1""",
     ),
-    # one study per supplier, so that the number of studies grows
+    # one study per supplier, so that the number of studies grows; some have no cases
     "cohorts": (
         ["supplier"],
         """SELECT 'C' || CAST(s_suppkey AS string) AS study, CAST(2000 + s_nationkey AS int) AS study_year,
-       CAST(floor(abs(s_acctbal)) * 10 + 500 AS bigint) AS n_ca,
+       CASE WHEN s_suppkey % 9 = 4 THEN 0 ELSE CAST(floor(abs(s_acctbal)) * 10 + 500 AS bigint) END AS n_ca,
        CAST(floor(abs(s_acctbal)) * 30 + s_nationkey * 700 + 900 AS bigint) AS n_cn
 FROM supplier""",
     ),

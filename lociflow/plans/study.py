@@ -26,6 +26,7 @@ def parse_printed(raw: DataFrame) -> DataFrame:
     bare = raw.withColumn("ci", F.regexp_replace("ci", r"[()]", ""))
     split = separate(separate(bare, "ci", ["l95", "u95"], "–", regex=False), "alleles", ["a1", "a2"], "/", regex=False)
     return split.select(
+        *[c for c in ("study",) if c in raw.columns],
         "snp",
         to_number("chr", "int").alias("chr"),
         to_number("pos", "bigint").alias("bp"),
@@ -41,14 +42,16 @@ def parse_printed(raw: DataFrame) -> DataFrame:
 
 
 def clean_study(raw: DataFrame, sites: DataFrame, ties: list, alpha: float = GENOME_WIDE) -> DataFrame:
-    """Significant variants of one study, the lowest P of each, harmonised.
+    """Significant variants of each study, the lowest P of each, harmonised.
 
+    ``raw`` may have a ``study`` column; without one it is a single study.
     Variants that the site table lacks were dropped by the harmonising step and
     come back as they were.
     """
-    clean = best_per(with_effect_cols(significant(parse_printed(raw), alpha=alpha)), ["snp"], "p", ties)
-    found = harmonise(clean, sites, ties, flip=False, drop_unmatched=True).drop("matched")
-    return restore_dropped(clean, found, ["chr", "bp"]).withColumn("z", ratio("beta", "se"))
+    by = [c for c in ("study",) if c in raw.columns]
+    clean = best_per(with_effect_cols(significant(parse_printed(raw), alpha=alpha)), [*by, "snp"], "p", ties)
+    found = harmonise(clean, sites, ties, flip=False, drop_unmatched=True, by=by).drop("matched")
+    return restore_dropped(clean, found, [*by, "chr", "bp"]).withColumn("z", ratio("beta", "se"))
 
 
 def loci_list(assoc: DataFrame, meta: DataFrame, sites: DataFrame, ties: list) -> DataFrame:

@@ -11,6 +11,7 @@ Rules kept by the whole package:
 from __future__ import annotations
 
 import tempfile
+import warnings
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,8 +28,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
-    # a field that a variant line repeats keeps its last value
-    "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
+    # checkpoints go when nothing refers to them any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
 }
 
@@ -49,6 +50,16 @@ def local_session(cores: str = "*", app: str = "lociflow", **conf: str) -> Spark
     return spark
 
 
+def prepare(spark: SparkSession) -> SparkSession:
+    """Set on a cluster's session what this package counts on; settings fixed at its start are checked instead."""
+    for key, value in SESSION_CONF.items():
+        if key.startswith("spark.sql.") and key != "spark.sql.session.timeZone":
+            spark.conf.set(key, value)
+    if spark.conf.get("spark.cleaner.referenceTracking.cleanCheckpoints", "false") != "true":
+        warnings.warn("without spark.cleaner.referenceTracking.cleanCheckpoints checkpoints are never removed", stacklevel=2)
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder for checkpoints and written tables.
 

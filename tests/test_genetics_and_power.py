@@ -101,6 +101,11 @@ def chi2_power(ncp, q):
     return cdf(math.sqrt(ncp) - math.sqrt(q)) + cdf(-math.sqrt(ncp) - math.sqrt(q))
 
 
+def test_a_study_without_cases_has_no_curve(spark):
+    got = power.power_curve(spark.createDataFrame([("x", 0.0), ("y", None)], "study string, neff double")).collect()
+    assert len(got) == 3000 and all(r.beta is None for r in got)
+
+
 def test_power_curve_equals_a_grid_search(spark):
     q = NormalDist().inv_cdf(1 - 5e-8 / 2) ** 2
     assert q == pytest.approx(29.71678548976) and power.detectable_ncp() == pytest.approx(39.60098902112)

@@ -139,16 +139,16 @@ def test_nearest_on_another_chromosome_is_ignored(spark):
 
 
 @pytest.mark.parametrize("direction", ["down", "up"])
-@pytest.mark.parametrize("blocks", [1, 5])
-def test_fill_equals_a_loop(spark, direction, blocks):
+@pytest.mark.parametrize("groups", [1, 5])
+def test_fill_equals_a_loop(spark, direction, groups):
     rng = random.Random(8)
-    data = [(g, o, rng.choice([None, None, rng.randint(0, 9)])) for g in range(5) for o in range(40)]
-    df = spark.createDataFrame(data, "g int, o int, x int")
+    data = [(g, o, rng.choice([None, None, rng.randint(0, 9)])) for g in range(groups) for o in range(40)]
+    df = spark.createDataFrame(data, "g int, o int, x int").repartition(5)
     want = {}
     for g, o, x in sorted(data, key=lambda t: t[:2], reverse=direction == "up"):
         before = want.get((g, o + (1 if direction == "up" else -1)))
         want[(g, o)] = x if x is not None else before
-    got = {(r.g, r.o): r.x for r in scans.fill(df, "x", ["g"], "o", direction, blocks=blocks).collect()}
+    got = {(r.g, r.o): r.x for r in scans.fill(df, "x", ["g"], "o", direction).collect()}
     assert got == want
 
 

@@ -77,6 +77,8 @@ def test_tags_numbers_and_leads(spark):
         [(1, 10, "rs1", "Variant kept."), (1, 20, "rs2", "Variant in LD with rs1 (R2=0.5), variant removed."), (2, 5, "rs3", "Variant MAF is 0.0, variant removed.")],
         "chr int, bp bigint, snp string, details string",
     )
+    other = spark.createDataFrame([(1, 20, "1:20:A:G", "1:10:A:G", "LD"), (1, 10, "1:10:A:G", None, "kept")], "chr int, bp bigint, snp string, keeper string, details string")
+    assert rows(ld.with_tags(other, other.select("snp", "chr", "bp")), "snp", "tag") == [("1:10:A:G", "1:10:A:G"), ("1:20:A:G", "1:10:A:G")]
     listed = spark.createDataFrame([("rs1", 1, 10), ("rs2", 1, 20), ("rs3", 2, 5), ("rs0", 1, 1)], "snp string, chr int, bp bigint")
     tags = ld.with_tags(clip, listed)
     assert rows(tags, "snp", "tag") == [("rs0", "rs0"), ("rs1", "rs1"), ("rs2", "rs1"), ("rs3", "rs3")]

@@ -108,14 +108,20 @@ def test_unite_separate_explode(spark):
 
 def test_nest_pivot_levels(spark):
     df = spark.createDataFrame([("k", "a", 1), ("k", "b", 2), ("m", "a", 3)], "g string, n string, x int")
-    assert rows(reshape.unnest(reshape.nest(df, ["g"]), "data")) == rows(df)
+    assert rows(reshape.unnest(reshape.nest(df, ["g"]).drop("part"), "data")) == rows(df)
     many = spark.createDataFrame([("k", i % 7) for i in range(25)] + [(None, 1)] * 12 + [("m", 3)], "g string, x int")
     for most in (5, 100):
         nested = reshape.nest(many, ["g"], max_rows=most)
-        assert max(len(r.data) for r in nested.collect()) <= (most if most < 25 else 25)
-        assert rows(reshape.unnest(nested, "data")) == rows(many)
+        assert nested.columns == ["g", "part", "data"]
+        sizes = {(r.g, r.part): len(r.data) for r in nested.collect()}
+        whole = {"k": 25, None: 12, "m": 1}
+        assert sizes == {(g, i): min(most, n - i * most) for g, n in whole.items() for i in range(-(-n // most))}
+        assert rows(reshape.unnest(nested.drop("part"), "data")) == rows(many)
     wide = reshape.pivot_wider(df, ["g"], "n", "x", ["a", "b"])
     assert rows(wide) == [("k", 1, 2), ("m", 3, None)]
+    twice = spark.createDataFrame([("k", "a", 5, 1), ("k", "a", 4, 2), ("k", "a", None, 0)], "g string, n string, x int, o int")
+    assert rows(reshape.pivot_wider(twice, ["g"], "n", "x", ["a"])) == [("k", 4)]
+    assert rows(reshape.pivot_wider(twice, ["g"], "n", "x", ["a"], ("o",))) == [("k", 5)]
     long = reshape.pivot_longer(wide, ["g"], ["a", "b"], "n", "x")
     assert rows(long) == [("k", "a", 1), ("k", "b", 2), ("m", "a", 3), ("m", "b", None)]
     assert rows(reshape.with_level(df, "n", ["b"], "lv"), "n", "lv") == [("a", None), ("a", None), ("b", 1)]
@@ -156,6 +162,8 @@ def test_restore_override_inherit_flag(spark):
     clean = spark.createDataFrame([("a", 1), ("b", 2)], "snp string, bp int")
     qc = spark.createDataFrame([("a", 1, 0.5)], "snp string, bp int, af double")
     assert rows(joins.restore_dropped(clean, qc, ["snp"])) == [("a", 1, 0.5), ("b", 2, None)]
+    blank = spark.createDataFrame([(None, 3), ("a", 1)], "snp string, bp int")
+    assert rows(joins.restore_dropped(blank, blank, ["snp"])) == [(None, 3), ("a", 1)]
     assert rows(joins.apply_overrides(clean, [("b", "bp", 7), ("zz", "bp", 8)], "snp")) == [("a", 1), ("b", 7)]
     got = joins.inherit_from(clean, clean, "^b", "a", ["bp"])
     assert rows(got) == [("a", 1), ("b", 1)]
@@ -170,10 +178,10 @@ def test_match_sites_rescues_listed_ids(spark, max_rows):
     assert rows(joins.match_sites(v, s, ["b", "c"], max_rows=max_rows), "snp", "af") == [("a", 0.1), ("b", 0.2), ("c", None)]
 
 
-@pytest.mark.parametrize("max_values", [0, 10])
-def test_expand(spark, max_values):
+@pytest.mark.parametrize("share_values", [1, 10])
+def test_expand(spark, share_values):
     df = spark.createDataFrame([("s", "x"), ("t", "y"), (None, "x")], "a string, b string")
-    got = rows(joins.expand(df, "a", "b", max_values=max_values), "a", "b")
+    got = rows(joins.expand(df, "a", "b", share_values=share_values), "a", "b")
     assert got == [(None, "x"), (None, "y"), ("s", "x"), ("s", "y"), ("t", "x"), ("t", "y")]
 
 

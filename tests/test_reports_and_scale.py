@@ -21,7 +21,7 @@ def located(spark):
 
 def test_novel_and_shared_loci(spark):
     df = located(spark)
-    assert rows(report.novel_loci(df, ["S2", "S3"])) == [(None, "S3"), ("B", "S2&S3"), ("C", "S2")]
+    assert rows(report.novel_loci(df, ["S2", "S3"]), "locus", "found_by") == [(None, "S3"), ("B", "S2&S3"), ("C", "S2")]
     assert rows(report.novel_loci_by_study(df, ["S2", "S3"])) == [("S2", 2), ("S3", 2)]
     assert rows(report.shared_loci(df, ["S2", "S3"])) == [("B",)]
     assert rows(summarise.count_distinct_per(df, "study", "locus")) == [("S1", 1), ("S2", 3), ("S3", 2)]
@@ -33,8 +33,12 @@ def test_leads_years_and_segments(spark):
     got = report.lead_variants(df, meta, ["snp"], exclude=["C"])
     assert rows(got, "locus_ld", "study") == [(-2, "S3"), (-1, "S2"), (1, "S2"), (2, "S3")]
     assert rows(report.discovery_year(df.filter("locus_ld = 1"), meta, ["snp"]), "study", "study_year") == [("S1", 2013)]
-    seg = report.upset_segments(df, ["S3", "S2", "S1"])
-    assert rows(seg) == [(None, "S3", "S3"), ("A", "S2", "S1"), ("B", "S3", "S2"), ("C", "S2", "S2")]
+    assert rows(report.discovery_year(df, meta, ["snp"]), "locus_ld", "study_year") == [(-2, 2019), (-1, 2022), (1, 2013), (2, 2019), (4, 2022), (5, 2022)]
+    both = spark.createDataFrame([("A&B", "x"), ("C", "x")], "study string, locus string")
+    assert rows(report.novel_loci_by_study(both, ["A&B", "C"])) == [("A&B", 1), ("C", 1)]
+    grid = df.select("study", "locus").distinct().withColumn("significant", ~((F.col("study") == "S3") & F.col("locus").eqNullSafe("B")))
+    seg = report.upset_segments(grid, ["S3", "S2", "S1"])
+    assert rows(seg) == [(None, "S3", "S3"), ("A", "S2", "S1"), ("B", "S2", "S2"), ("C", "S2", "S2")]
 
 
 def test_upset_grid(spark):
@@ -65,6 +69,7 @@ def test_sets_members_tiers_cohorts(spark):
     data = spark.createDataFrame([("NGS", "d", 1, 2), ("NGS", "d", 3, None)], "data string, stage string, cases int, controls int")
     assert rows(report.cohort_totals(data), "cases", "controls") == [(4, 2)]
     assert rows(report.cohort_totals(data, strict=True), "cases", "controls") == [(4, None)]
+    assert rows(report.cohort_totals(data, by=())) == [(4, 2)]
 
 
 def test_many_members_are_made_in_many_tasks(spark, monkeypatch):
@@ -154,7 +159,7 @@ def test_checkpoints_go_where_the_session_says(spark):
 
 
 def test_queries_read_no_python_rows(spark):
-    df = ld.ld_pairs(spark.createDataFrame([(1, 1, 5, "a", 1), (1, 1, 6, "b", 2)], "sample_id bigint, chr int, bp bigint, snp string, dosage int"))
+    df = ld.ld_pairs(spark.createDataFrame([(1, 1, 5, "a", 1), (1, 1, 6, "b", 2)], "sample_id bigint, chr int, bp bigint, snp string, dosage int"), 10)
     assert "Python" not in plan(df)
     covers = cells.explode_interval_cells(spark.range(3), F.col("id"), F.col("id") + 9, 3)
     assert "lambda" not in plan(covers)
