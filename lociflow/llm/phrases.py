@@ -5,6 +5,9 @@ a window that covers it has the same words as one that starts earlier: in a
 document with a smaller id, or earlier in its own.  Windows are judged on the
 input, not on what is left.
 
+Documents that have the words of an earlier one are copies and go as a whole;
+the rest works on the first of them.
+
 1. Each window names an anchor: of its phrases of `PHRASE` words the one with the
    least hash (the first of equals).  Equal windows name the same phrase at the
    same place, so a repeated window has an anchor phrase that occurs twice.
@@ -33,6 +36,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -44,6 +48,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lociflow.llm.common import batches, column, fresh, mix, rolling, with_fields, word_hashes, words, written
+from lociflow.scale import fits
 
 WINDOW = 20
 PHRASE = 6
@@ -169,7 +174,7 @@ def _judge(group: pa.Table, window: int) -> pa.Table:
     """One shard: for each passage that holds a recurring window, the earliest place of each of its windows."""
     numbers: dict[bytes, int] = {}
     passages = [
-        tuple(numbers.setdefault(w, len(numbers)) for w in p.encode("utf-8", "surrogatepass").split())
+        [numbers.setdefault(w, len(numbers)) for w in p.encode("utf-8", "surrogatepass").split()]
         for p in group.column("passage").to_pylist()
     ]
     at, n = group.column("anchor").to_pylist(), group.column("n").to_pylist()
@@ -177,7 +182,7 @@ def _judge(group: pa.Table, window: int) -> pa.Table:
     # phrases that recur, by their words
     seen: dict[tuple[int, ...], int] = {}
     for p, a, times in zip(passages, at, n, strict=True):
-        phrase = p[a : a + PHRASE]
+        phrase = tuple(p[a : a + PHRASE])
         seen[phrase] = seen.get(phrase, 0) + times
     automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
     for phrase, times in seen.items():
@@ -188,45 +193,61 @@ def _judge(group: pa.Table, window: int) -> pa.Table:
         return _VERDICT.empty_table()
     automaton.make_automaton()
     located = []
-    earliest: dict[tuple, int] = {}
-    recurs: set[tuple] = set()
+    # windows as runs of four-byte word numbers
+    earliest: dict[bytes, int] = {}
+    recurs: set[bytes] = set()
+    size = 4 * window
     for i, (p, a) in enumerate(zip(passages, at, strict=True)):
         end = a + PHRASE - 1
-        if not any(stop == end for stop, _ in automaton.iter(p)):
+        if not any(stop == end for stop, _ in automaton.iter(tuple(p))):
             continue
-        located.append(i)
+        data, place, again = array("i", p).tobytes(), places[i], n[i] > 1
+        located.append((i, data))
         for j in range(len(p) - window + 1):
-            w = p[j : j + window]
-            place = places[i] + j
+            w = data[4 * j : 4 * j + size]
             held = earliest.get(w)
-            if held is not None or n[i] > 1:
+            if held is None:
+                earliest[w] = place + j
+                if again:
+                    recurs.add(w)
+            else:
                 recurs.add(w)
-            if held is None or place < held:
-                earliest[w] = place
+                if place + j < held:
+                    earliest[w] = place + j
     out = []
     d1, d2 = group.column("d1").to_pylist(), group.column("d2").to_pylist()
-    for i in located:
-        p = passages[i]
-        own = [p[j : j + window] for j in range(len(p) - window + 1)]
-        if any(w in recurs for w in own):
-            ids, starts = zip(*(divmod(earliest[w], _PLACE) for w in own), strict=True)
+    for i, data in located:
+        own = [data[k : k + size] for k in range(0, len(data) - size + 1, 4)]
+        if not recurs.isdisjoint(own):
+            ids, starts = zip(*[divmod(earliest[w], _PLACE) for w in own], strict=True)
             out.append((d1[i], d2[i], ids, starts))
     return pa.Table.from_batches(batches(out, _VERDICT, 1 << 16), schema=_VERDICT)
 
 
 class Repeats(NamedTuple):
     found: DataFrame
+    copies: DataFrame
     held: DataFrame
     removed: DataFrame
 
 
 def repeats(docs: DataFrame, window: int = WINDOW) -> Repeats:
-    """The rows' words counted, the documents with recurring phrases, and (id, th, starts): the windows to remove."""
+    """What a corpus repeats.
+
+    The rows' words counted; the rows that have the words of a document with a
+    smaller id; the other documents with recurring phrases; and of those (id,
+    th, starts), the windows to remove.
+    """
     found = written(phrases(docs, window), "phrases")
-    counted = found.select(F.explode("phrases").alias("phrase")).groupBy("phrase").agg(F.count(F.lit(1)).alias("n"))
+    # all windows of a copy stand in the first document with its words already
+    first = found.filter(F.col("n_words") >= window).groupBy("sha256").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
+    copies = found.select("id", "th", "sha256").join(first.filter("n > 1").drop("n"), "sha256").filter("id <> first")
+    copies = written(copies.select("id", "th").distinct(), "copies")
+    own = found.join(F.broadcast(copies) if fits(copies) else copies, ["id", "th"], "left_anti")
+    counted = own.select(F.explode("phrases").alias("phrase")).groupBy("phrase").agg(F.count(F.lit(1)).alias("n"))
     recurring = written(counted.filter("n > 1"), "recurring")
     shards = max(1, -(-recurring.count() // SHARD_PHRASES))
-    held = written(holders(docs, found, recurring, window), "holders")
+    held = written(holders(docs, own, recurring, window), "holders")
 
     place = F.col("id").cast("decimal(20,0)") * F.lit(_PLACE).cast("decimal(11,0)") + F.col("low")
     passages = _passages(held, window, shards, texts=True).withColumn("place", place.cast("decimal(38,0)"))
@@ -242,7 +263,7 @@ def repeats(docs: DataFrame, window: int = WINDOW) -> Repeats:
     )
     starts = judged.select("id", "th", F.transform(later, lambda j: F.col("low") + j).alias("starts")).filter(F.size("starts") > 0)
     removed = starts.groupBy("id", "th").agg(F.flatten(F.collect_list("starts")).alias("starts"))
-    return Repeats(found, held, written(removed, "removed"))
+    return Repeats(found, copies, held, written(removed, "removed"))
 
 
 def _covered(n: int, starts: list[int], window: int) -> np.ndarray:
@@ -256,7 +277,7 @@ def _covered(n: int, starts: list[int], window: int) -> np.ndarray:
 
 def kept_words(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256) of every row."""
-    found, held, removed = repeats(docs, window)
+    found, copies, held, removed = repeats(docs, window)
     schema = pa.schema([("n_removed", pa.int64()), ("kept_sha256", pa.string())])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -272,12 +293,13 @@ def kept_words(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     cut = held.dropDuplicates(["id", "th"]).select("id", "th", "text").join(removed, ["id", "th"])
     cut = cut.mapInArrow(run, "id long, th long, n_removed long, kept_sha256 string")
-    whole = found.select("id", "th", "doc_id", "n_words", "sha256")
-    return whole.join(cut, ["id", "th"], "left").select(
+    gone = copies.withColumn("copy", F.lit(True))
+    whole = found.select("id", "th", "doc_id", "n_words", "sha256").join(gone, ["id", "th"], "left").join(cut, ["id", "th"], "left")
+    return whole.select(
         "doc_id",
         "n_words",
-        F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
-        F.coalesce("kept_sha256", "sha256").alias("kept_sha256"),
+        F.when(F.col("copy"), F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
+        F.when(F.col("copy"), F.sha2(F.lit(""), 256)).otherwise(F.coalesce("kept_sha256", "sha256")).alias("kept_sha256"),
     )
 
 
@@ -286,7 +308,10 @@ _TOKEN = re.compile(rb"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*")
 
 def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` with repeated words, and the white space after them, cut out of the text."""
-    removed = repeats(docs, window).removed
+    found, copies, _, removed = repeats(docs, window)
+    # of a copy, all windows go
+    every = F.sequence(F.lit(0), (F.col("n_words") - window).cast("int")).alias("starts")
+    removed = removed.union(found.select("id", "th", "n_words").distinct().join(copies, ["id", "th"]).select("id", "th", every))
     id_, th, starts = fresh(docs, "id", "th", "starts")
     keyed = docs.select("*", *(c.alias(n) for c, n in zip(_key(docs), (id_, th), strict=True)))
     right = removed.toDF("_r_id", "_r_th", starts)
