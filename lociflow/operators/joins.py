@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.nulls import isin_
-from ..scale import BROADCAST_ROWS, fits, lookup_join
+from ..scale import BROADCAST_ROWS, fits, lookup_join, settle
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
@@ -47,18 +47,19 @@ def match_sites(
     Listed variants are looked up by identifier instead, among the sites at
     positions of the list, and kept even when it is unknown; a listed variant
     that also matches exactly appears twice.  A variant list that passes the
-    size check is broadcast, so the site table streams past it unshuffled.
+    size check is broadcast, so the site table streams past it unshuffled; it is
+    scanned once, and what lies at listed positions is settled for the rescue.
     """
     keys = keys or {"chr": "chr", "bp": "bp", "a1": "ref", "a2": "alt"}
     here = sites.select(*[F.col(s).alias(v) for v, s in keys.items()], F.col(site_id).alias("_id"), *take)
+    place = list(keys)[:2]
     listed = F.broadcast(variants) if fits(variants, max_rows) else variants
+    if rescue_ids:
+        here = settle(here.join(listed.select(*place), place, "left_semi"))
     exact = here.drop("_id").join(listed, list(keys), "inner").select(*variants.columns, *take)
-    place = list(keys)[:2]
-    by_id = (
-        here.filter(isin_("_id", rescue_ids))
-        .join(variants.select(*place), place, "left_semi")
-        .select(F.col("_id").alias(snp), *take)
-    )
+    if not rescue_ids:
+        return exact
+    by_id = here.filter(isin_("_id", rescue_ids)).select(F.col("_id").alias(snp), *take)
     rescued = variants.filter(isin_(snp, rescue_ids)).join(by_id, snp, "left")
     return exact.unionByName(rescued)
 

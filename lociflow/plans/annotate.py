@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.genetics import align_to_minor, fold_maf, major_minor
@@ -86,6 +86,7 @@ def combine(
     consequence: DataFrame,
     family: str,
     family_source: str,
+    repairs: dict[str, Column] | None = None,
 ) -> DataFrame:
     """The final annotated table, one row per association.
 
@@ -98,7 +99,8 @@ def combine(
     consequence:   snp, allele, hgvs_p, ...
 
     Rows of ``extra`` whose gene matches ``family`` are added and take the
-    locus of variant ``family_source``.
+    locus of variant ``family_source``.  ``repairs`` are corrections of joined
+    columns by hand, made before the alleles are aligned.
     """
     spans = lambda d: d.withColumnsRenamed({"chr": "_r_chr", "start": "_start", "end": "_end"})
     on = ("_r_chr", "_start", "_end")
@@ -124,5 +126,5 @@ def combine(
             "minor": F.when(is_member, F.col("a2")).otherwise(F.col("minor")),
         }
     )
-    return with_protein_change(align_to_minor(out))
+    return with_protein_change(align_to_minor(out.withColumns(repairs or {})))
 

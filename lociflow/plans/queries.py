@@ -1309,9 +1309,9 @@ numbered AS (SELECT tag, CAST(row_number() OVER (ORDER BY place, tag) AS bigint)
 numbers AS (SELECT t.*, locus_ld FROM tagged t JOIN numbered n ON t.tag = n.tag)"""
 
 
-def _tagged(v):
+def _tagged(v, points: DataFrame | None = None):
     k = F.substr("snp", F.lit(3)).cast("long")
-    rows = positions(v).withColumns({"tag": F.concat(F.lit("rs"), k - k % 3), "in_panel": k % 10 != 3})
+    rows = (points or positions(v)).withColumns({"tag": F.concat(F.lit("rs"), k - k % 3), "in_panel": k % 10 != 3})
     return ld.ld_locus_id(rows).withColumn("locus_ld", F.col("locus_ld").cast("long"))
 
 
@@ -1584,16 +1584,18 @@ vars AS (SELECT DISTINCT snp, chr, bp, a1, a2 FROM assoc),
 pop AS (SELECT snp, CASE WHEN af > 0.5 THEN 1 - af ELSE af END AS gnomad_maf, CASE WHEN af > 0.5 THEN ref ELSE alt END AS gnomad_minor
   FROM vars v JOIN sites s ON v.chr = s.chr AND v.bp = s.bp AND a1 = ref AND a2 = alt),
 pts AS (SELECT DISTINCT snp, chr, bp FROM assoc),
-near_ AS (SELECT snp, gene_ord, gene_name, gene_name IN (SELECT gene FROM tiers WHERE tier = 'Tier 1') AS listed,
+near_ AS (SELECT snp, bp, g_end, gene_ord, gene_name, gene_name IN (SELECT gene FROM tiers WHERE tier = 'Tier 1') AS listed,
   CASE WHEN bp BETWEEN g_start AND g_end THEN 0 ELSE least(abs(bp - g_start), abs(bp - g_end)) END AS d FROM pts JOIN genes ON chr = g_chr),
-gen AS (SELECT snp, gene_name AS gencode_gene, CAST(d AS bigint) AS gencode_dist FROM near_ QUALIFY row_number() OVER (PARTITION BY snp ORDER BY d, gene_ord) = 1),
-gvc AS (SELECT snp, CASE WHEN d <= 500000 THEN gene_name END AS gvc_gene FROM near_ WHERE listed QUALIFY row_number() OVER (PARTITION BY snp ORDER BY d, gene_ord) = 1),
+gen AS (SELECT snp, gene_name AS gencode_gene, CAST(d AS bigint) AS gencode_dist,
+  CASE WHEN d = 0 THEN 'intragenic' WHEN bp > g_end THEN 'downstream' ELSE 'upstream' END AS direction FROM near_ QUALIFY row_number() OVER (PARTITION BY snp ORDER BY d, gene_ord) = 1),
+gvc AS (SELECT snp, CASE WHEN d <= 500000 THEN gene_name END AS gvc_gene, CAST(CASE WHEN d <= 500000 THEN d END AS bigint) AS gvc_dist FROM near_ WHERE listed QUALIFY row_number() OVER (PARTITION BY snp ORDER BY d, gene_ord) = 1),
 parts AS (SELECT snp, string_split(unnest(string_split(ann, ',')), '|') AS f, generate_subscripts(string_split(ann, ','), 1) AS place FROM ann),
 cons AS (SELECT snp, f[1] AS allele, f[3] AS annotation_impact, regexp_replace(replace(replace(f[6], 'Arg', 'R'), 'Ile', 'I'), '^p\\.', '') AS h
   FROM parts WHERE f[5] IN ('', 'protein_coding') QUALIFY row_number() OVER (PARTITION BY snp ORDER BY place) = 1),
 j AS (SELECT r.*, CASE WHEN fam THEN d.l ELSE locus END AS locus, CASE WHEN fam THEN d.c ELSE cytoband END AS cytoband,
-  CASE WHEN fam THEN d.i ELSE locus_ld END AS locus_ld, CASE WHEN fam THEN r.a1 ELSE major END AS major, CASE WHEN fam THEN r.a2 ELSE minor END AS minor,
-  global_maf, gnomad_minor, CASE WHEN fam THEN r.frq ELSE gnomad_maf END AS gnomad_maf, gencode_gene, gencode_dist, gvc_gene, allele, annotation_impact, h
+  CASE WHEN fam THEN d.i ELSE locus_ld END AS locus_ld, CASE WHEN fam THEN r.a1 ELSE major END AS major, CASE WHEN fam THEN r.a2 WHEN r.snp IN ('rs7', 'rs16') THEN gnomad_minor ELSE minor END AS minor,
+  global_maf, gnomad_minor, CASE WHEN fam THEN r.frq WHEN r.snp = 'rs5' THEN 0.3829 ELSE gnomad_maf END AS gnomad_maf,
+  gencode_gene, gencode_dist, direction, gvc_gene, gvc_dist, allele, annotation_impact, h
   FROM (SELECT *, snp LIKE 'FAM%' AS fam FROM rows_) r LEFT JOIN placed p ON r.snp = p.snp LEFT JOIN freq ON r.snp = freq.snp LEFT JOIN pop ON r.snp = pop.snp
   LEFT JOIN gen ON r.snp = gen.snp LEFT JOIN gvc ON r.snp = gvc.snp LEFT JOIN cons ON r.snp = cons.snp, (SELECT d FROM donor) dd(d)),
 k AS (SELECT *, {_FLIP} AS flip, nullif(regexp_extract(h, '[0-9]+'), '') AS n FROM j)"""
@@ -1605,7 +1607,7 @@ k AS (SELECT *, {_FLIP} AS flip, nullif(regexp_extract(h, '[0-9]+'), '') AS n FR
 CASE WHEN flip IS NULL THEN NULL WHEN flip THEN a2 ELSE a1 END AS a1, CASE WHEN flip IS NULL THEN NULL WHEN flip THEN minor ELSE a2 END AS a2,
 round(CASE WHEN flip IS NULL THEN NULL WHEN flip THEN 1 - frq ELSE frq END, 6) AS frq,
 round(CASE WHEN flip IS NULL THEN NULL WHEN flip THEN 1 / odds_ratio ELSE odds_ratio END, 6) AS odds_ratio,
-major, minor, round(global_maf, 6) AS global_maf, gnomad_minor, round(gnomad_maf, 6) AS gnomad_maf, gencode_gene, gencode_dist, gvc_gene,
+major, minor, round(global_maf, 6) AS global_maf, gnomad_minor, round(gnomad_maf, 6) AS gnomad_maf, gencode_gene, gencode_dist, direction, gvc_gene, gvc_dist,
 annotation_impact, h AS hgvs_p, CASE WHEN n IS NULL THEN NULL WHEN minor = allele THEN split_part(h, n, 1) || n || split_part(h, n, 2)
  WHEN minor <> allele THEN split_part(h, n, 2) || n || split_part(h, n, 1) END AS hgvs_p_new FROM k""",
 )
@@ -1620,25 +1622,27 @@ def _(v):
         ],
         "snp string, chr int, bp bigint, a1 string, a2 string, gene string, frq double, odds_ratio double, study string",
     )
-    points = settle(positions(v))
+    vars_ = settle(assoc.select("snp", "chr", "bp", "a1", "a2").distinct())
+    points = settle(vars_.select("snp", "chr", "bp").distinct())
     major, minor = genetics.major_minor("af", "ref", "alt")
     frequency = sites.select(
         F.col("id").alias("snp"), major.alias("major"), F.when(F.col("af") <= 0.9, minor).alias("minor"),
         genetics.fold_maf("af", "ref", "alt")[0].alias("global_maf"),
     )
-    vars_ = assoc.select("snp", "chr", "bp", "a1", "a2").distinct()
     population = annotate.annotate_frequency(vars_, sites).select("snp", "gnomad_minor", "gnomad_maf")
     on = ("g_chr", "g_start", "g_end")
     near = nearest(points, v("genes"), interval_on=on).select(
-        "snp", F.col("gene_name").alias("gencode_gene"), F.col("dist").alias("gencode_dist")
+        "snp", F.col("gene_name").alias("gencode_gene"), F.col("dist").alias("gencode_dist"), "direction"
     )
     passing = v("tiers").filter("tier = 'Tier 1'").select(F.col("gene").alias("gene_name"))
     listed = v("genes").join(passing, "gene_name", "left_semi")
-    near_listed = nearest(points, listed, interval_on=on, max_dist=500_000).select("snp", F.col("gene_name").alias("gvc_gene"))
+    near_listed = nearest(points, listed, interval_on=on, max_dist=500_000).select(
+        "snp", F.col("gene_name").alias("gvc_gene"), F.col("dist").alias("gvc_dist")
+    )
     out = annotate.combine(
         assoc=assoc,
         extra=extra,
-        tags=_tagged(v),
+        tags=_tagged(v, points),
         loci=intervals.define_loci(genetics.significant(assoc)),
         bands=spans(v("bands"), "b_chr", "band_start", "band_end").select(
             "chr", "start", "end", F.concat(F.col("chr"), F.col("band")).alias("cytoband")
@@ -1650,8 +1654,12 @@ def _(v):
         consequence=annotate.annotate_consequence(v("ann"), _FIELDS).select("snp", "allele", "annotation_impact", "hgvs_p"),
         family="^FAM",
         family_source="rs8",
+        repairs={
+            "minor": F.when(F.col("snp").isin("rs7", "rs16"), F.col("gnomad_minor")).otherwise(F.col("minor")),
+            "gnomad_maf": F.when(F.col("snp") == "rs5", F.lit(0.3829)).otherwise(F.col("gnomad_maf")),
+        },
     )
     return out.select(
         "snp", "chr", "bp", "study", *TIES, "locus", "cytoband", "locus_ld", "a1", "a2", r6("frq"), r6("odds_ratio"), "major", "minor",
-        r6("global_maf"), "gnomad_minor", r6("gnomad_maf"), "gencode_gene", "gencode_dist", "gvc_gene", "annotation_impact", "hgvs_p", "hgvs_p_new",
+        r6("global_maf"), "gnomad_minor", r6("gnomad_maf"), "gencode_gene", "gencode_dist", "direction", "gvc_gene", "gvc_dist", "annotation_impact", "hgvs_p", "hgvs_p_new",
     )

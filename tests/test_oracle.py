@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import difference, duck
+from lociflow.plans import queries as registered
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test tables")
@@ -16,11 +17,14 @@ def con():
     return duck(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query(spark, con, name):
-    sql = entry.oracle_sql().get(name)
     df = entry.queries()[name](spark, SF_DIR)
-    assert sql is not None and difference(df, con, sql) is None
+    assert difference(df, con, entry.oracle_sql()[name]) is None
+
+
+def test_every_query_of_the_library_has_its_sql():
+    assert set(registered.QUERIES) == set(registered.SQL)
 
 
 def test_entry_gives_rows(spark):
