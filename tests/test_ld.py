@@ -25,8 +25,8 @@ def greedy(variants, pairs, r2=0.1, maf=0.001):
     return out
 
 
-@pytest.mark.parametrize("finish", [0, 6, 40, 10_000])
-def test_clip_equals_the_sequential_pass(spark, finish):
+@pytest.mark.parametrize("block", [7, 30, 10_000])
+def test_clip_equals_the_sequential_pass(spark, block):
     rng = random.Random(1)
     variants, pairs = [], []
     for c in range(1, 25):
@@ -37,17 +37,29 @@ def test_clip_equals_the_sequential_pass(spark, finish):
     pairs += [(1, "rs100", "rs_unknown", 0.9)]
     v = spark.createDataFrame(variants, "chr int, bp bigint, snp string, maf double")
     p = spark.createDataFrame(pairs, "chr int, snp_a string, snp_b string, r2 double")
-    got = {(r.chr, r.snp): (r.kept, r.keeper) for r in ld.ld_clip(v, p, finish_pairs=finish).collect()}
+    got = {(r.chr, r.snp): (r.kept, r.keeper) for r in ld.ld_clip(v, p, block=block).collect()}
     assert got == greedy(variants, pairs)
 
 
 def test_a_long_chain_and_equality_at_the_threshold(spark):
     v = spark.createDataFrame([(1, i, f"rs{i}", 0.5) for i in range(9)], "chr int, bp bigint, snp string, maf double")
     p = spark.createDataFrame([(1, f"rs{i}", f"rs{i + 1}", 0.1) for i in range(8)], "chr int, snp_a string, snp_b string, r2 double")
-    kept = rows(ld.ld_clip(v, p, finish_pairs=0).filter("kept"), "snp")
+    kept = rows(ld.ld_clip(v, p, block=100).filter("kept"), "snp")
     assert kept == [("rs0",), ("rs2",), ("rs4",), ("rs6",), ("rs8",)]
 
 
+def test_rounds_follow_blocks_and_not_chains(spark, monkeypatch):
+    rounds = []
+    once = ld._sweep
+    monkeypatch.setattr(ld, "_sweep", lambda nodes: rounds.append(1) or once(nodes))
+    for n in (20, 40):
+        v = spark.createDataFrame([(1, i, f"rs{i:02d}", 0.5) for i in range(n)], "chr int, bp bigint, snp string, maf double")
+        p = spark.createDataFrame([(1, f"rs{i:02d}", f"rs{i + 1:02d}", 0.1) for i in range(n - 1)], "chr int, snp_a string, snp_b string, r2 double")
+        clip = ld.ld_clip(v, p, block=1000)
+        assert clip.filter("kept").count() == n // 2 and "Python" not in clip._jdf.queryExecution().toString()
+    assert len(rounds) == 2
+
+
 @pytest.mark.parametrize("window,hot_rows", [(30, 1000), (1000, 1000), (1000, 3)])
 def test_pairs_equal_direct_correlation(spark, window, hot_rows):
     rng = random.Random(2)
