@@ -188,14 +188,20 @@ def grow(langs: list[str], counts: list[list[tuple[np.ndarray, np.ndarray]]]) ->
 
 
 def _sample(docs: DataFrame, sample_docs: int, sample_bytes: int) -> DataFrame:
-    """At most so many texts of each language, and of those the ones that begin within so many bytes."""
+    """At most so many texts of each language, and of those the ones that begin within so many bytes.
+
+    Ids and lengths are ranked, and only the chosen texts are read.
+    """
     usable = docs.filter(training_row(F.col("doc_id")) & F.col("lang").isNotNull() & (F.length("text") > 0))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64(F.col("doc_id")), F.xxhash64(F.col("text")))
-    first = usable.select("doc_id", "lang", "text").withColumn("_row", F.row_number().over(order))
-    first = first.filter(F.col("_row") <= sample_docs)
-    before = F.sum(F.octet_length("text")).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    first = first.withColumn("_before", F.coalesce(before, F.lit(0)))
-    return first.filter(F.col("_before") < sample_bytes).select("lang", "text")
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "th")
+    first = usable.select("doc_id", "lang", F.xxhash64("text").alias("th"), F.octet_length("text").alias("n"))
+    first = first.withColumn("_row", F.row_number().over(order)).filter(F.col("_row") <= sample_docs)
+    before = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    first = first.withColumn("_before", F.coalesce(before, F.lit(0))).filter(F.col("_before") < sample_bytes)
+    # sample_docs rows a language at most, so it may be sent to every task
+    chosen = first.select("doc_id", "lang", "th").distinct()
+    texts = docs.select("doc_id", "lang", "text", F.xxhash64("text").alias("th"))
+    return texts.join(F.broadcast(chosen), ["doc_id", "lang", "th"]).dropDuplicates(["doc_id", "lang", "th"]).select("lang", "text")
 
 
 def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_bytes: int = SAMPLE_BYTES) -> Trees | None:
