@@ -61,7 +61,8 @@ def test_rounds_follow_blocks_and_not_chains(spark, monkeypatch):
 
 
 @pytest.mark.parametrize("window,hot_rows", [(30, 1000), (1000, 1000), (1000, 3)])
-def test_pairs_equal_direct_correlation(spark, window, hot_rows):
+def test_pairs_equal_direct_correlation(spark, monkeypatch, window, hot_rows):
+    monkeypatch.setattr(ld, "RUN_WORDS", 2 if window == 1000 else 1024)
     rng = random.Random(2)
     dose = {(s, c, v): rng.randint(0, 2) for s in range(150) for c in (1, 2) for v in range(8) if rng.random() < 0.8}
     rows_in = [(s, c, v * 9, f"rs{v}", d) for (s, c, v), d in dose.items()] + [(3, 1, 500, "rs_const", 1)]
@@ -84,6 +85,20 @@ def test_pairs_equal_direct_correlation(spark, window, hot_rows):
         assert got[k][0] == n and got[k][1] == pytest.approx(r2, abs=1e-12)
 
 
+def test_pairs_of_many_samples(spark):
+    rng = random.Random(3)
+    n = 12_000
+    first = [rng.randint(0, 2) for _ in range(n)]
+    second = [x if rng.random() < 0.7 else rng.randint(0, 2) for x in first]
+    data = [(s, 1, 10 * k, f"v{k}", x[s]) for k, x in enumerate((first, second)) for s in range(n)]
+    df = spark.createDataFrame(data, "sample_id bigint, chr int, bp bigint, snp string, dosage int")
+    (got,) = ld.ld_pairs(df, 100).collect()
+    mx, my = sum(first) / n, sum(second) / n
+    cov = sum((x - mx) * (y - my) for x, y in zip(first, second))
+    r2 = cov * cov / (sum((x - mx) ** 2 for x in first) * sum((y - my) ** 2 for y in second))
+    assert got.n == n and got.r2 == pytest.approx(r2, abs=1e-12)
+
+
 def test_tags_numbers_and_leads(spark):
     clip = spark.createDataFrame(
         [(1, 10, "rs1", "Variant kept."), (1, 20, "rs2", "Variant in LD with rs1 (R2=0.5), variant removed."), (2, 5, "rs3", "Variant MAF is 0.0, variant removed.")],
