@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lociflow.llm.common import column, fresh, held_out, rolling, training_row, with_fields, word_hashes
+from lociflow.llm.common import column, fresh, held_out, rolling, slices, training_row, with_fields, word_hashes
 
 SAMPLE_ROWS = 20_000
 BINS = 64
@@ -162,7 +162,7 @@ def _features(docs: DataFrame, extra: list[str]) -> DataFrame:
     """(*extra, x): the statistics of every text."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in slices(parts):
             x = pa.array([statistics(t) for t in column(part, "text")], pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([*part.columns[1:], x], [*extra, "x"])
 
@@ -188,7 +188,7 @@ def scored(docs: DataFrame, forest: Forest, name: str = "score") -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(forest)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in slices(parts):
             texts = column(part, "text")
             x = np.array([statistics(t) for t in texts]).reshape(len(texts), len(FEATURES))
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(sent.value.score(x), pa.float64())], [*part.schema.names, name])

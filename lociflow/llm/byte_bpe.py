@@ -27,7 +27,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from sentencepiece import sentencepiece_model_pb2 as model_pb2
 
-from lociflow.llm.common import column
+from lociflow.llm.common import column, slices
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Pre-tokens whose ids a Python worker remembers; the memory is emptied when full.
@@ -116,7 +116,7 @@ def encode(
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path, pattern)
-        for part in parts:
+        for part in slices(parts):
             ids = pa.array([c.encode(t) for t in column(part, text)], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([part.column(0), ids], ["key", "ids"])
 
@@ -130,7 +130,7 @@ def decode(coded: DataFrame, key: str = "doc_id", ids: str = "ids", path: str |
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path, public_tokenizers.PATTERN)
-        for part in parts:
+        for part in slices(parts):
             made = pa.array([c.decode(x or []) for x in column(part, ids)], pa.binary())
             yield pa.RecordBatch.from_arrays([part.column(0), made], ["key", "bytes"])
 
@@ -144,7 +144,7 @@ def round_trip(docs: DataFrame, path: str | None = None, pattern: str | None = N
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path, pattern)
-        for part in parts:
+        for part in slices(parts):
             counts, sums, back = [], [], []
             for text in column(part, "text"):
                 ids, line = c.encode_with_line(text)

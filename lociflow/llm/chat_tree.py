@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lociflow.llm import byte_bpe
-from lociflow.llm.common import batches, column, written
+from lociflow.llm.common import batches, column, slices, written
 from lociflow.scale import settle
 
 CONTROL = ("<|", "|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
@@ -83,7 +83,7 @@ def _turns(convs: DataFrame) -> DataFrame:
     """(path, role, text) of every turn of every conversation, so one for each node and conversation."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in slices(parts):
             found = (
                 (path, t["role"], t["text"])
                 for turns in column(part, "turns")
@@ -98,7 +98,7 @@ def leaves(convs: DataFrame) -> DataFrame:
     """(conv_id, path): the last node of each conversation."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in slices(parts):
             last = [paths([(t["role"], t["text"]) for t in turns])[-1] for turns in column(part, "turns")]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(last, pa.string())], ["conv_id", "path"])
 
@@ -120,7 +120,7 @@ def _tokens(nodes: DataFrame, vocabulary: str) -> DataFrame:
             learnt = role == LEARNT_ROLE
             return path, ids, len(head) if learnt else 0, len(head) + len(body) if learnt else 0
 
-        for part in parts:
+        for part in slices(parts):
             yield from batches(map(made, *(column(part, c) for c in ("path", "role", "text"))), schema, 512)
 
     return nodes.select("path", "role", "text").mapInArrow(run, "path string, ids binary, loss_from long, loss_to long")
@@ -140,7 +140,7 @@ def _ends(nodes: DataFrame) -> DataFrame:
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stack: list[tuple[str, int, int]] = []
         total = 0
-        for part in parts:
+        for part in slices(parts):
             for path, ids in zip(column(part, "path"), part.column(part.schema.get_field_index("ids")), strict=True):
                 n = len(ids.as_buffer()) // 4
                 _open(stack, path).append((path, total, total + n))
@@ -188,7 +188,7 @@ def stream(convs: DataFrame, vocabulary: str | None = None) -> DataFrame:
             at += n
             return row
 
-        for part in parts:
+        for part in slices(parts):
             yield from batches(map(made, *(column(part, c) for c in ("path", "ids", "loss_from", "loss_to"))), schema, 512)
 
     return coded.mapInArrow(run, _STREAM)
@@ -226,7 +226,7 @@ def read_back(tree: DataFrame, last: DataFrame, vocabulary: str | None = None) -
             said = "".join(f"{r}\n{t}\n" for r, t in turns)
             return path, len(turns), _sha(said), len(loss), _sha(loss), len(formatted)
 
-        for part in batches_:
+        for part in slices(batches_):
             yield from batches(map(made, column(part, "path"), column(part, "nodes")), schema)
 
     read = whole.mapInArrow(run, "path string, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")

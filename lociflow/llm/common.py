@@ -73,7 +73,7 @@ def words(text: str | None) -> list[bytes]:
 class WordHashes(dict):
     """64-bit hashes of words, kept for the words seen; emptied when full, so memory is bounded."""
 
-    LIMIT = 400_000
+    LIMIT = 200_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:
@@ -134,5 +134,12 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     )
 
 
+def slices(parts: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that a task holds few of them as Python objects."""
+    for part in parts:
+        for start in range(0, part.num_rows, rows):
+            yield part.slice(start, rows)
+
+
 def column(batch: pa.RecordBatch, name: str) -> list:
     return batch.column(batch.schema.get_field_index(name)).to_pylist()

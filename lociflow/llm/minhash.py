@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lociflow.llm.common import MULTIPLIER, column, fresh, mix, rolling, word_hashes, written
+from lociflow.llm.common import MULTIPLIER, column, fresh, mix, rolling, slices, word_hashes, written
 from lociflow.llm.components import components
 from lociflow.scale import fits
 
@@ -92,7 +92,7 @@ def sets(docs: DataFrame, n: int) -> DataFrame:
     schema = [("n_shingles", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("keys", pa.list_(pa.int64())), ("signature", pa.binary())]
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in slices(parts):
             out: list[list] = [[] for _ in schema]
             for text in column(part, "text"):
                 h = shingles(text, n)
@@ -116,7 +116,7 @@ def _close(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     least = percent / 100 - SLACK
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in slices(parts):
             x, y = (np.frombuffer(b"".join(column(part, c)), np.uint8).reshape(part.num_rows, -1) for c in ("x", "y"))
             keep = (x == y).mean(axis=1) >= least
             yield part.select(["a", "b"]).filter(pa.array(keep))
@@ -138,7 +138,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataF
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: tuple[str | None, np.ndarray] = None, np.empty(0, np.uint64)
-        for part in parts:
+        for part in slices(parts):
             keep = []
             for x, y in zip(part.column(2), part.column(3), strict=True):
                 text = x.as_py()
@@ -213,7 +213,7 @@ def _full_sets(ids: DataFrame, docs: DataFrame, n: int) -> DataFrame:
     """(rep, hashes): the whole set of each document asked for."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in slices(parts):
             made = pa.array([shingles(t, n).tobytes() for t in column(part, "text")], pa.binary())
             yield pa.RecordBatch.from_arrays([part.column(0), made], ["rep", "hashes"])
 

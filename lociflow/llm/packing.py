@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lociflow.llm.common import column, words
+from lociflow.llm.common import column, slices, words
 
 CAPACITY = 2048
 SHARD_DOCS = 20_000
@@ -114,7 +114,7 @@ def _pack(group: pa.Table, capacity: int) -> pa.Table:
 def word_counts(docs: DataFrame, *columns: str) -> DataFrame:
     """(*columns, length): how many words each text has."""
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in slices(parts):
             n = pa.array([len(words(t)) for t in column(part, "text")], pa.int32())
             yield pa.RecordBatch.from_arrays([*part.columns[1:], n], [*part.schema.names[1:], "length"])
 

@@ -47,12 +47,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lociflow.llm.common import batches, column, fresh, mix, rolling, with_fields, word_hashes, words, written
+from lociflow.llm.common import batches, column, fresh, mix, rolling, slices, with_fields, word_hashes, words, written
 from lociflow.scale import fits
 
 WINDOW = 20
 PHRASE = 6
-SHARD_PHRASES = 40_000
+SHARD_PHRASES = 20_000
 HOT_ROWS = 50_000
 _LAST = (1 << 63) - 1
 _PLACE = 1 << 32
@@ -90,7 +90,7 @@ def phrases(docs: DataFrame, window: int) -> DataFrame:
     schema = [("n_words", pa.int64()), ("sha256", pa.string()), ("phrases", pa.list_(pa.int64()))]
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in slices(parts):
             counts, sums, named = [], [], []
             for text in column(part, "text"):
                 ws = words(text)
@@ -117,7 +117,7 @@ def holders(docs: DataFrame, found: DataFrame, recurring: DataFrame, window: int
     kinds = {"at": pa.int32(), "low": pa.int32(), "high": pa.int32(), "phrase": pa.int64(), "hot": pa.bool_()}
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in slices(parts):
             out: dict[str, list] = {name: [] for name in kinds}
             for text, known, hot in zip(column(part, "text"), column(part, "phrases"), column(part, "hot"), strict=True):
                 a = anchors(word_hashes(words(text)), window)
@@ -160,7 +160,7 @@ def _passages(held: DataFrame, window: int, shards: int, texts: bool) -> DataFra
                         else:
                             yield id_, th, first, d1, d2
 
-        for part in parts:
+        for part in slices(parts):
             yield from batches(rows(part), schema)
 
     kinds = ", ".join(f"{f.name} {dict(int32='int', int64='long', string='string')[str(f.type)]}" for f in schema)
@@ -281,7 +281,7 @@ def kept_words(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     schema = pa.schema([("n_removed", pa.int64()), ("kept_sha256", pa.string())])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in slices(parts):
             out = []
             for text, starts in zip(column(part, "text"), column(part, "starts"), strict=True):
                 ws = words(text)
@@ -318,7 +318,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     joined = keyed.join(right, (keyed[id_] == right["_r_id"]) & (keyed[th] == right["_r_th"]), "left").select(*docs.columns, starts)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in slices(parts):
             i = part.schema.get_field_index("text")
             texts = []
             for text, at in zip(column(part, "text"), column(part, starts), strict=True):

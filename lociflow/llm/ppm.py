@@ -29,7 +29,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lociflow.llm.common import column, fresh, held_out, training_row, with_fields
+from lociflow.llm.common import column, fresh, held_out, slices, training_row, with_fields
 
 SAMPLE_DOCS = 400
 SAMPLE_BYTES = 1_500_000
@@ -260,7 +260,7 @@ def identify(docs: DataFrame, trees: Trees | None, names: list[str] | None = Non
     sent = docs.sparkSession.sparkContext.broadcast(trees)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in slices(parts):
             texts = column(part, "text")
             found = score(sent.value, texts) if sent.value else (["und"] * len(texts), [0.0] * len(texts), [0.0] * len(texts))
             kinds = (pa.string(), pa.float64(), pa.float64())

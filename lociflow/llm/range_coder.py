@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lociflow.llm.common import batches, column, written
+from lociflow.llm.common import batches, column, slices, written
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
@@ -310,7 +310,7 @@ def write_ids(docs: DataFrame, path: str | None = None, end_id: int = END_ID, bl
             ])
             return next(batches([(part, block, ahead, names, lengths, frame)], schema))
 
-        for rows in parts:
+        for rows in slices(parts):
             id_type = rows.schema.field(0).type
             for name, text in zip(column(rows, "doc_id"), column(rows, "text"), strict=True):
                 ids = encoder.encode(text) + end
