@@ -111,10 +111,11 @@ def overlap_join(
     keeps one right row per left row, the least in those columns.  ``size`` is
     the result of ``measure_spans`` for the right side when the caller has it.
 
-    A right side that passes the size check is binned and broadcast, and points
-    are neither shuffled nor multiplied.  When it does not fit, or when so many
-    of its intervals crowd one bin that points there would look at them all,
-    the distinct left spans are matched through exact cells and joined back on
+    A right side that passes the size check is broadcast, and the left side is
+    neither shuffled nor, with ``first_by``, multiplied: points look up their bin,
+    spans their chromosome.  When it does not fit, or when so many of its
+    intervals crowd one bin or chromosome that a row would look at them all, the
+    distinct left spans are matched through exact cells and joined back on
     their full key.
     """
     r_chr, r_start, r_end = right_on
@@ -123,29 +124,40 @@ def overlap_join(
     if clash:
         raise ValueError(f"columns on both sides: {sorted(clash)}")
 
-    small = point and not first_by
-    if small and size is None:
+    if size is None:
         size = measure_spans(right, right_on, max_rows)
-    if small and size is not None:
-        l_chr, pos = left_on
-        if bin_size is None:
-            # a power of two above the mean length: at most about three bins a row
-            bin_size = 1 << max(int(size.mean or 1), 1).bit_length()
-        low, at = F.col(r_start) - reach, F.col(pos)
-        to_bin = lambda c: F.floor(c / F.lit(bin_size)).cast("long")
-        binned = (
-            right.filter(F.col(r_end) >= low)
-            .withColumn("_bin", F.explode(F.sequence(to_bin(low), to_bin(F.col(r_end)))))
-            .withColumnRenamed(r_chr, "_chr")
-        )
-        if size.rows <= BIN_ROWS or _fullest(binned) <= BIN_ROWS:
-            hit = (
-                (F.col(l_chr) == F.col("_chr"))
-                & (to_bin(at) == F.col("_bin"))
-                & (at >= low)
-                & (at <= F.col(r_end))
+    if size is not None:
+        l_chr, at = left_on[0], F.col(left_on[1])
+        if point:
+            if bin_size is None:
+                # a power of two above the mean length: at most about three bins a row
+                bin_size = 1 << max(int(size.mean or 1), 1).bit_length()
+            low = lambda start: start - reach
+            to_bin = lambda c: F.floor(c / F.lit(bin_size)).cast("long")
+            binned = right.filter(F.col(r_end) >= low(F.col(r_start))).withColumn(
+                "_bin", F.explode(F.sequence(to_bin(low(F.col(r_start))), to_bin(F.col(r_end))))
             )
-            return left.join(F.broadcast(binned), hit, how).drop("_chr", "_bin")
+            here, meets = to_bin(at), lambda start, end: (at >= low(start)) & (at <= end)
+        else:
+            stop = F.col(left_on[2])
+            binned = right.filter(F.col(r_end) >= F.col(r_start)).withColumn("_bin", F.lit(0).cast("long"))
+            here = F.lit(0).cast("long")
+            meets = lambda start, end: ((at >= start) & (at <= end)) | ((start > at) & (start <= stop))
+        binned = binned.withColumnRenamed(r_chr, "_chr")
+        if size.rows <= BIN_ROWS or _fullest(binned) <= BIN_ROWS:
+            same = (F.col(l_chr) == F.col("_chr")) & (here == F.col("_bin"))
+            if not first_by:
+                met = meets(F.col(r_start), F.col(r_end))
+                return left.join(F.broadcast(binned), same & met, how).drop("_chr", "_bin")
+            rest = [c for c in right.columns if c != r_chr]
+            row = F.struct(*first_by, *[F.col(c).alias(f"_v_{c}") for c in rest])
+            table = binned.groupBy("_chr", "_bin").agg(F.collect_list(row).alias("_all"))
+            found = left.join(F.broadcast(table), same, "left")
+            least = F.array_min(F.filter("_all", lambda x: meets(x[f"_v_{r_start}"], x[f"_v_{r_end}"])))
+            found = found.withColumn("_least", least)
+            if how == "inner":
+                found = found.filter(F.col("_least").isNotNull())
+            return found.select(*left.columns, *[F.col(f"_least._v_{c}").alias(c) for c in rest])
 
     l_chr, l_start = left_on[0], left_on[1]
     l_end = F.col(l_start) + reach if point else F.col(left_on[2])

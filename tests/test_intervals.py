@@ -162,3 +162,20 @@ def test_liftover(spark):
     df = spark.createDataFrame([("a", 1, 15), ("b", 1, 35), ("c", 1, 99)], "snp string, chr int, bp bigint")
     seg = spark.createDataFrame([(1, 10, 19, 2, 110, "+"), (1, 30, 39, 1, 230, "-")], "src_chr int, src_start bigint, src_end bigint, dst_chr int, dst_start bigint, strand string")
     assert rows(intervals.liftover(df, seg), "snp", "lifted_chr", "lifted_bp") == [("a", 2, 115), ("b", 1, 234), ("c", None, None)]
+
+
+def test_small_right_sides_leave_the_left_unshuffled(spark):
+    spans = spark.range(50).selectExpr("1 AS chr", "id * 7 AS s", "id * 7 + 20 AS e")
+    right = spark.range(30).selectExpr("1 AS r_chr", "id * 11 AS start", "id * 11 + 5 AS end", "id AS ord")
+    on = ("r_chr", "start", "end")
+    for got in (
+        intervals.overlap_join(spans, right, ("chr", "s", "e"), on),
+        intervals.overlap_join(spans, right, ("chr", "s", "e"), on, first_by=["ord"]),
+        intervals.overlap_join(spans, right, ("chr", "s"), on, first_by=["ord"]),
+    ):
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    for first_by in (None, ["ord"]):
+        want = intervals.overlap_join(spans, right, ("chr", "s", "e"), on, first_by=first_by, max_rows=0)
+        got = intervals.overlap_join(spans, right, ("chr", "s", "e"), on, first_by=first_by)
+        assert rows(got, "s", "e", "start", "ord") == rows(want, "s", "e", "start", "ord")
