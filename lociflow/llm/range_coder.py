@@ -35,7 +35,6 @@ from functools import lru_cache
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -111,10 +110,17 @@ class Model:
 
 def _settle(low: np.ndarray, range_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Which states put out a word now, and their ranges, cut short where a carry threatens."""
-    same = (low ^ (low + range_)) < _TOP
-    tight = ~same & (range_ < _BOTTOM)
-    range_ = np.where(tight, _BOTTOM - (low & (_BOTTOM - np.uint64(1))), range_)
-    return same | tight, range_
+    out = (low ^ (low + range_)) < _TOP
+    tight = (range_ < _BOTTOM) & ~out
+    if tight.any():
+        range_ = np.where(tight, _BOTTOM - (low & (_BOTTOM - np.uint64(1))), range_)
+        out |= tight
+    return out, range_
+
+
+def _positions(at: np.ndarray | slice, chosen: np.ndarray) -> np.ndarray:
+    """The lanes of ``at`` (all from 0 on, if a slice) that are chosen."""
+    return np.flatnonzero(chosen) if isinstance(at, slice) else at[chosen]
 
 
 class _Writer:
@@ -122,19 +128,19 @@ class _Writer:
         self.low, self.range = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 48) - 1, np.uint64)
         self.words, self.used = np.zeros((lanes, 5 * steps + 8), np.uint16), np.zeros(lanes, np.int64)
 
-    def put(self, at: np.ndarray, start: np.ndarray, freq: np.ndarray, total: np.uint64) -> None:
-        low, range_ = self.low[at], self.range[at]
-        unit = range_ // total
-        self.low[at] = low + unit * start
-        self.range[at] = unit * freq
-        while len(at):
-            low, range_ = self.low[at], self.range[at]
+    def put(self, at: np.ndarray | slice, start: np.ndarray, freq: np.ndarray, total: np.uint64) -> None:
+        unit = self.range[at] // total
+        low, range_ = self.low[at] + unit * start, unit * freq
+        self.low[at], self.range[at] = low, range_
+        while True:
             out, range_ = _settle(low, range_)
-            at, low, range_ = at[out], low[out], range_[out]
+            at, low, range_ = _positions(at, out), low[out], range_[out]
+            if not len(at):
+                return
             self.words[at, self.used[at]] = (low >> _32).astype(np.uint16)
             self.used[at] += 1
-            self.low[at] = (low & _LOW32) << _16
-            self.range[at] = range_ << _16
+            low, range_ = (low & _LOW32) << _16, range_ << _16
+            self.low[at], self.range[at] = low, range_
 
     def close(self) -> bytes:
         at = np.arange(len(self.low))
@@ -160,20 +166,21 @@ class _Reader:
         self.next[at] += 1
         return word
 
-    def look(self, at: np.ndarray, total: np.uint64) -> np.ndarray:
+    def look(self, at: np.ndarray | slice, total: np.uint64) -> np.ndarray:
         self.unit = self.range[at] // total
         return np.minimum((self.code[at] - self.low[at]) // self.unit, total - np.uint64(1))
 
-    def drop(self, at: np.ndarray, start: np.ndarray, freq: np.ndarray) -> None:
-        self.low[at] += self.unit * start
-        self.range[at] = self.unit * freq
-        while len(at):
-            low = self.low[at]
-            out, range_ = _settle(low, self.range[at])
-            at, low, range_ = at[out], low[out], range_[out]
+    def drop(self, at: np.ndarray | slice, start: np.ndarray, freq: np.ndarray) -> None:
+        low, range_ = self.low[at] + self.unit * start, self.unit * freq
+        self.low[at], self.range[at] = low, range_
+        while True:
+            out, range_ = _settle(low, range_)
+            at, low, range_ = _positions(at, out), low[out], range_[out]
+            if not len(at):
+                return
             self.code[at] = ((self.code[at] & _LOW32) << _16) | self._take(at)
-            self.low[at] = (low & _LOW32) << _16
-            self.range[at] = range_ << _16
+            low, range_ = (low & _LOW32) << _16, range_ << _16
+            self.low[at], self.range[at] = low, range_
 
 
 def _lanes(n: int) -> tuple[int, int]:
@@ -198,8 +205,8 @@ def encode_block(ids: np.ndarray, space: int) -> bytes:
         x = table[:m, t]
         model.predict(before2[:m], before1[:m])
         outcome = model.outcomes(x)
-        at = np.arange(m)
-        writer.put(at, model.start[model.context, outcome], model.freq[model.context, outcome], _MIX)
+        cell = model.context * 3 + outcome
+        writer.put(slice(0, m), model.start.take(cell), model.freq.take(cell), _MIX)
         at = np.flatnonzero(outcome == 2)
         c = model.cumulated
         writer.put(at, c[x[at]], c[x[at] + 1] - c[x[at]], c[-1])
@@ -225,11 +232,11 @@ def decode_block(frame: bytes) -> np.ndarray:
     for t in range(steps):
         m = lanes - int((lanes - 1) * steps + t >= n)
         model.predict(before2[:m], before1[:m])
-        at = np.arange(m)
-        mark = reader.look(at, _MIX)
+        mark = reader.look(slice(0, m), _MIX)
         start = model.start[model.context]
         outcome = (mark >= start[:, 1]).astype(np.int64) + (mark >= start[:, 2])
-        reader.drop(at, model.start[model.context, outcome], model.freq[model.context, outcome])
+        cell = model.context * 3 + outcome
+        reader.drop(slice(0, m), model.start.take(cell), model.freq.take(cell))
         x = np.where(outcome == 0, model.first, model.second).astype(np.int64)
         at = np.flatnonzero(outcome == 2)
         c = model.cumulated
@@ -250,16 +257,21 @@ def decode_block(frame: bytes) -> np.ndarray:
 
 
 class _Encoder:
-    """Ids as bytes: each pre-token is encoded once and remembered; one encoder a Python worker."""
+    """Ids as bytes; one encoder a Python worker.
 
-    REMEMBERED = 400_000
+    A text is cut before its spaces, where the tokenizer's own pattern begins a
+    new token whenever a character that is no space follows; each piece is
+    encoded by the tokenizer once and remembered.  Texts in which white space
+    follows a space are encoded whole.
+    """
+
+    REMEMBERED = 800_000
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.space = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.split = regex.compile(public_tokenizers.PATTERN).findall
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes | None] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
@@ -267,15 +279,21 @@ class _Encoder:
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if any(a in text for a in self.added):  # the tokenizer finds its added tokens before it splits
+        head, *pieces = text.split(" ")
+        # added tokens are found before the text is split
+        if any(a in text for a in self.added):
             return self._ids([text])[0]
-        tokens = self.split(text)
         if len(self.known) > self.REMEMBERED:
             self.known.clear()
-        new = list({t for t in tokens if t not in self.known})
+        known = self.known
+        new = list({p for p in pieces if p not in known})
         if new:
-            self.known.update(zip(new, self._ids(new), strict=True))
-        return b"".join([self.known[t] for t in tokens])
+            known.update(zip(new, self._ids([f" {p}" for p in new]), strict=True))
+            known.update((p, None) for p in new if not p or p[0].isspace())
+        found = [known[p] for p in pieces]
+        if None in found:
+            return self._ids([text])[0]
+        return b"".join([*(self._ids([head]) if head else ()), *found])
 
 
 @lru_cache(maxsize=2)

@@ -97,6 +97,14 @@ def test_token_files(odd, odd_rows):
     assert ids == sorted(ids) and by_start[0][1] is None
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet=st.one_of(st.sampled_from(" \n\t\u00a0\u2028\x1c\x85aZ9'.,é"), st.characters(exclude_categories=("Cs",))), max_size=30))
+def test_ids_of_pieces_are_those_of_the_text(text):
+    encoder = range_coder._encoder(P.path(range_coder.TOKENIZER))
+    whole = encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(encoder.encode(text), "<u4").tolist() == whole
+
+
 def test_token_files_of_no_rows(none):
     assert range_coder.read_ids(range_coder.write_ids(none)).count() == 0
 
