@@ -165,8 +165,8 @@ def test_liftover(spark):
 
 
 def test_small_right_sides_leave_the_left_unshuffled(spark):
-    spans = spark.range(50).selectExpr("1 AS chr", "id * 7 AS s", "id * 7 + 20 AS e")
-    right = spark.range(30).selectExpr("1 AS r_chr", "id * 11 AS start", "id * 11 + 5 AS end", "id AS ord")
+    spans = spark.range(50).selectExpr("id % 2 AS chr", "id * 7 AS s", "id * 7 + 20 AS e")
+    right = spark.range(30).selectExpr("id % 3 AS r_chr", "id * 11 AS start", "id * 11 + 5 AS end", "id AS ord")
     on = ("r_chr", "start", "end")
     for got in (
         intervals.overlap_join(spans, right, ("chr", "s", "e"), on),
