@@ -52,7 +52,7 @@ from lociflow.scale import fits
 
 WINDOW = 20
 PHRASE = 6
-SHARD_PHRASES = 20_000
+SHARD_PHRASES = 4_000
 HOT_ROWS = 50_000
 _LAST = (1 << 63) - 1
 _PLACE = 1 << 32
