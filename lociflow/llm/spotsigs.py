@@ -78,10 +78,8 @@ def jaccard(a: Column, b: Column, least: float = 0.0) -> Column:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """(k, th, doc_id, text): what orders the documents, and tells those with the same id apart."""
-    return docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(_FIRST)).alias("k"), F.xxhash64("text").alias("th"), "doc_id", "text"
-    )
+    """(k, th, text): what orders the documents, what tells those with the same id apart."""
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_FIRST)).alias("k"), F.xxhash64("text").alias("th"), "text")
 
 
 def neighbours(marked: DataFrame) -> DataFrame:
@@ -115,7 +113,8 @@ def fingerprints_and_edits(docs: DataFrame) -> DataFrame:
     order = written(neighbours(prints.select("k", "th", "n")), "doc-ring")
     # repeated rows have equal fingerprints
     once = prints.groupBy("k", "th").agg(F.first("spots").alias("spots"))
-    texts = keyed.select("k", "th", "doc_id", whole.alias("text")).join(once, ["k", "th"])
+    # read twice with the same columns, so the texts are shuffled once
+    texts = keyed.select("k", "th", whole.alias("text")).join(once, ["k", "th"])
     told = texts.join(order, ["k", "th"])
     sent = told.groupBy(F.col("prev_k").alias("k"), F.col("prev_th").alias("th")).agg(
         F.first(F.expr("substring(text, 1, cast(prev_n div 3 as int))")).alias("begin"), F.first("spots").alias("next_spots")
@@ -123,7 +122,8 @@ def fingerprints_and_edits(docs: DataFrame) -> DataFrame:
     met = texts.join(sent, ["k", "th"])
     n = F.length("text")
     edited = F.concat(F.expr("substring(text, 1, length(text) - cast(length(text) div 3 as int))"), F.col("begin"))
-    made = met.select("doc_id", n.cast("long").alias("n_chars"), "spots", "next_spots", edited.alias("edited"))
+    doc_id = F.when(F.col("k") != _FIRST, F.col("k")).cast(docs.schema["doc_id"].dataType).alias("doc_id")
+    made = met.select(doc_id, n.cast("long").alias("n_chars"), "spots", "next_spots", edited.alias("edited"))
     made = made.select(
         "doc_id", "n_chars", "spots", "next_spots", F.sha2("edited", 256).alias("edited_sha256"), signatures(F.col("edited")).alias("edited_spots")
     )
