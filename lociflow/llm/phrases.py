@@ -134,37 +134,44 @@ def holders(docs: DataFrame, found: DataFrame, recurring: DataFrame, window: int
     return joined.select("id", "th", "text", "phrases", "hot").mapInArrow(run, schema)
 
 
+_PLACES = pa.schema([("id", pa.int64()), ("th", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("lows", pa.list_(pa.int32()))])
 _PASSAGE = pa.schema([
-    ("id", pa.int64()), ("th", pa.int64()), ("low", pa.int32()), ("d1", pa.int64()), ("d2", pa.int64()),
+    ("id", pa.int64()), ("low", pa.int32()), ("d1", pa.int64()), ("d2", pa.int64()), ("times", pa.int32()),
     ("shard", pa.int32()), ("anchor", pa.int32()), ("passage", pa.string()),
 ])
 
 
 def _passages(held: DataFrame, window: int, shards: int, texts: bool) -> DataFrame:
-    """A row for each recurring anchor (each window of a hot one): its place, digest, shard and, if wanted, words."""
-    names = _PASSAGE.names if texts else _PASSAGE.names[:5]
-    schema = pa.schema([_PASSAGE.field(n) for n in names])
+    """A row for each passage of a document (window of a hot anchor): its places, or its first place, times and words."""
+    schema = _PASSAGE if texts else _PLACES
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows(part: pa.RecordBatch) -> Iterator[tuple]:
             for id_, th, text, *lists in zip(*(column(part, c) for c in part.schema.names), strict=True):
                 ws = words(text)
+                found: dict[bytes, tuple] = {}
                 for at, low, high, phrase, hot in zip(*lists, strict=True):
                     for first, last in ((k, k) for k in range(low, high + 1)) if hot else ((low, high),):
                         passage = b" ".join(ws[first : last + window])
                         # the anchor's place belongs to what is compared
                         digest = xxhash.xxh3_128_digest(passage, seed=at - first)
-                        d1, d2 = int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)
-                        if texts:
-                            yield id_, th, first, d1, d2, (d1 if hot else phrase) % shards, at - first, passage.decode("utf-8", "surrogatepass")
+                        if digest in found:
+                            found[digest][0].append(first)
                         else:
-                            yield id_, th, first, d1, d2
+                            found[digest] = [first], phrase, hot, at - first, passage
+                for digest, (lows, phrase, hot, anchor, passage) in found.items():
+                    d1, d2 = int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)
+                    if texts:
+                        shard = (d1 if hot else phrase) % shards
+                        yield id_, lows[0], d1, d2, len(lows), shard, anchor, passage.decode("utf-8", "surrogatepass")
+                    else:
+                        yield id_, th, d1, d2, lows
 
         for part in slices(parts):
             yield from batches(rows(part), schema)
 
-    kinds = ", ".join(f"{f.name} {dict(int32='int', int64='long', string='string')[str(f.type)]}" for f in schema)
-    return held.mapInArrow(run, kinds)
+    names = {"int32": "int", "int64": "long", "string": "string", "list<item: int32>": "array<int>"}
+    return held.mapInArrow(run, ", ".join(f"{f.name} {names[str(f.type)]}" for f in schema))
 
 
 _VERDICT = pa.schema([("d1", pa.int64()), ("d2", pa.int64()), ("ids", pa.list_(pa.int64())), ("places", pa.list_(pa.int32()))])
@@ -251,17 +258,20 @@ def repeats(docs: DataFrame, window: int = WINDOW) -> Repeats:
 
     place = F.col("id").cast("decimal(20,0)") * F.lit(_PLACE).cast("decimal(11,0)") + F.col("low")
     passages = _passages(held, window, shards, texts=True).withColumn("place", place.cast("decimal(38,0)"))
-    distinct = passages.groupBy("shard", "anchor", "d1", "d2", "passage").agg(F.min("place").alias("place"), F.count(F.lit(1)).alias("n"))
+    distinct = passages.groupBy("shard", "anchor", "d1", "d2", "passage").agg(F.min("place").alias("place"), F.sum("times").alias("n"))
     verdicts = distinct.groupBy("shard").applyInArrow(
         lambda group: _judge(group, window), "d1 long, d2 long, ids array<long>, places array<int>"
     )
     places = _passages(held, window, shards, texts=False)
     judged = places.join(verdicts, ["d1", "d2"])
-    later = F.filter(
-        F.sequence(F.lit(0), F.size("ids") - 1),
-        lambda j: (F.get("ids", j) != F.col("id")) | (F.get("places", j) != F.col("low") + j),
-    )
-    starts = judged.select("id", "th", F.transform(later, lambda j: F.col("low") + j).alias("starts")).filter(F.size("starts") > 0)
+    def later(low: Column) -> Column:
+        repeated = F.filter(
+            F.sequence(F.lit(0), F.size("ids") - 1),
+            lambda j: (F.get("ids", j) != F.col("id")) | (F.get("places", j) != low + j),
+        )
+        return F.transform(repeated, lambda j: low + j)
+
+    starts = judged.select("id", "th", F.flatten(F.transform("lows", later)).alias("starts")).filter(F.size("starts") > 0)
     removed = starts.groupBy("id", "th").agg(F.flatten(F.collect_list("starts")).alias("starts"))
     return Repeats(found, copies, held, written(removed, "removed"))
 
