@@ -3,8 +3,11 @@
 A signature is a common word, the anchor, with the chain of the first `CHAIN` words
 among the next `REACH` that are no anchors themselves.  One more anchor stands
 before the first word, so every text with a word that is no anchor has a
-signature; a text with signs but without words is its own signature.  The fingerprint
-is the sorted set of the signatures' hashes.
+signature; a text with signs but without words is its own signature.  Where `REACH`
+or more words pass out of an anchor's reach (those before the first anchor are in
+no anchor's), each of them stands in for an anchor, and so does each word of a text
+without anchors; so no long part of a text goes without signatures, whatever its
+language.  The fingerprint is the sorted set of the signatures' hashes.
 
 Fingerprints are compared by Jaccard similarity.  `near_duplicates` partitions
 them by length so that two alike ones lie in the same or in neighbouring
@@ -56,11 +59,27 @@ def signatures(text: Column) -> Column:
     def signature(anchor: Column, ws: Column, start: Column) -> Column:
         return _with(chain(ws, start), lambda c: F.when(F.size(c) > 0, F.hash(anchor, c)))
 
-    def of(ws: Column) -> Column:
-        spots = F.transform(ws, lambda w, i: F.when(w.isin(_ANCHORS), signature(w, ws, i + 2)))
-        all_ = F.concat(F.array(signature(F.lit(""), F.filter(ws, lambda w: ~w.isin(_ANCHORS)), F.lit(1))), spots)
+    def stand_ins(ws: Column, places: Column) -> Column:
+        def run(before: Column, end: Column) -> Column:
+            start = before + REACH + 1
+            here = (end - start >= REACH) | ((F.size(places) == 0) & (end > start))
+            each = F.transform(F.sequence(start, end - 1), lambda i: F.hash(F.get(ws, i - 1), chain(ws, i + 1)))
+            return F.when(here, each)
+
+        ends = F.concat(places, F.array(F.size(ws) + 1))
+        begins = F.concat(F.array(F.lit(-REACH)), places)
+        return F.flatten(F.filter(F.zip_with(begins, ends, run), lambda r: r.isNotNull()))
+
+    def found(ws: Column, places: Column) -> Column:
+        first = F.array(signature(F.lit(""), F.filter(ws, lambda w: ~w.isin(_ANCHORS)), F.lit(1)))
+        spots = F.transform(places, lambda i: signature(F.get(ws, i - 1), ws, i + 1))
+        all_ = F.concat(first, spots, stand_ins(ws, places))
         return F.array_sort(F.array_distinct(F.filter(all_, lambda s: s.isNotNull())))
 
+    def of(ws: Column) -> Column:
+        places = F.filter(F.transform(ws, lambda w, i: F.when(w.isin(_ANCHORS), i + 1)), lambda i: i.isNotNull())
+        return _with(places, lambda at: found(ws, at))
+
     words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
     made = _with(words, of)
     return F.when((F.size(made) == 0) & (text != ""), F.array(F.hash(text))).otherwise(made)

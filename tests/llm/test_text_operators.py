@@ -258,6 +258,29 @@ def test_fingerprints_of_odd_rows(odd, odd_rows, none):
     assert spotsigs.fingerprints_and_edits(none).count() == 0
 
 
+def test_words_out_of_an_anchors_reach_enter_the_fingerprint(spark):
+    long = prose(5, 120).split()
+    far = [*long[:100], "other", *long[101:]]
+    filled = [f"kala{j}" for j in range(16)]
+    texts = [
+        " ".join(long), " ".join(far), " ".join([*long[:2], *prose(6, 118).split()]), "kala vesi maa", "kala vesi tuli",
+        " ".join(["the", *filled, "of", "cat"]), " ".join(["the", *filled[:-1], "x", "of", "cat"]), " ".join(["the", *filled[:-1], "of", "cat"]),
+    ]
+    frame = spark.createDataFrame(list(enumerate(texts)), "i long, text string").select("i", spotsigs.signatures(F.col("text")).alias("s"))
+    got = {r["i"]: set(r["s"]) for r in frame.collect()}
+
+    def grams(ws):
+        return {tuple(ws[i : i + 3]) for i in range(len(ws))}
+
+    assert len(got[0]) == len(grams(long)) + 1
+    a, b = grams(long), grams(far)
+    assert len(got[0] & got[1]) == len(a & b) + 1 and len(got[0] | got[1]) == len(a | b) + 1
+    assert len(got[0] & got[2]) < 0.1 * len(got[0] | got[2])
+    assert got[3] != got[4]
+    assert got[5] != got[6] and len(got[5]) == 3 + 8
+    assert len(got[7]) == 3  # the first words, and the two anchors
+
+
 def test_alike_fingerprints_meet(spark):
     def text(k, changed=()):
         return " ".join(f"the word{k}x{j}{'q' if j in changed else ''} of thing{k}x{j}" for j in range(60))
