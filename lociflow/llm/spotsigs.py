@@ -29,6 +29,8 @@ from lociflow.llm.components import components
 
 CHAIN = 2
 REACH = 8
+#: Buckets are compared in blocks of about so many members.
+BLOCK = 512
 #: Common words of English, German, French and Spanish.
 ANCHORS = (
     "a an and are as at be but by for from had has have he her his i in is it its not of on or our she that the their "
@@ -162,13 +164,23 @@ def digest(spots: Column) -> Column:
     return F.concat_ws("-", F.size(spots).cast("string"), F.md5(F.array_join(F.transform(spots, lambda s: s.cast("string")), " ")))
 
 
+def _blocks(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The members (d, rep, c, bucket, blocks) of buckets as left and right sides by (bucket, i, j): each pair of a bucket meets once."""
+    placed = members.withColumn("own", F.pmod(F.xxhash64("d"), F.col("blocks")).cast("int"))
+    last = F.col("blocks") - 1
+    left = placed.select("bucket", F.col("own").alias("i"), F.explode(F.sequence("own", last)).alias("j"), F.col("d").alias("x"), F.col("rep").alias("a"), "c")
+    right = placed.select("bucket", F.explode(F.sequence(F.lit(0), "own")).alias("i"), F.col("own").alias("j"), F.col("d").alias("y"), F.col("rep").alias("b"), F.col("c").alias("f"))
+    return left, right
+
+
 def near_duplicates(docs: DataFrame, least: float = 0.8) -> DataFrame:
     """(doc_id, n_spots, component_id) of every row: documents whose fingerprints reach ``least``, and chains of such.
 
     Equal fingerprints are one class.  A set shares one of its rarest signatures
     (its prefix) with every set alike enough; in each bucket of signature and
     length partition the members meet the smallest one, and then, across what are
-    still different components, one another.
+    still different components, one another, block by block; only true links
+    come out of a block.
     """
     spots = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), signatures(F.col("text")).alias("spots")), "spots")
     usable = spots.filter("doc_id IS NOT NULL AND size(spots) > 0").withColumn("d", digest(F.col("spots")))
@@ -195,9 +207,13 @@ def near_duplicates(docs: DataFrame, least: float = 0.8) -> DataFrame:
     joined = components(links)
     placed = buckets.join(joined.withColumnRenamed("id", "rep"), "rep", "left").withColumn("c", F.coalesce("component", "rep"))
     mixed = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"), F.min("c").alias("lo"), F.max("c").alias("hi"), F.min("d").alias("hub"))
-    open_ = placed.join(mixed.filter("m > 2 AND lo <> hi").select("bucket", "hub"), "bucket").filter("d <> hub").select("bucket", "d", "c")
-    across = open_.join(open_.toDF("bucket", "e", "f"), "bucket").filter("d < e AND c <> f").select(F.col("d").alias("x"), F.col("e").alias("y"))
-    more = written(alike(across.distinct()), "spot-links")
+    mixed = mixed.filter("m > 2 AND lo <> hi").select("bucket", "hub", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
+    open_ = placed.join(mixed, "bucket").filter("d <> hub").select("bucket", "blocks", "d", "rep", "c")
+    left, right = _blocks(written(open_, "open-buckets"))
+    left = left.join(classes.select(F.col("d").alias("x"), F.col("spots").alias("p")), "x")
+    right = right.join(classes.select(F.col("d").alias("y"), F.col("spots").alias("q")), "y")
+    met = left.join(right, ["bucket", "i", "j"]).filter("c <> f AND (i < j OR x < y)")
+    more = written(met.filter(jaccard(F.col("p"), F.col("q"), least) >= least - 1e-12).select("a", "b"), "spot-links")
     joined = components(links.union(more))
     of_class = classes.join(joined.withColumnRenamed("id", "rep"), "rep", "left").select("d", F.coalesce("component", "rep").alias("component"))
     named = spots.withColumn("d", F.when(F.size("spots") > 0, digest(F.col("spots"))))

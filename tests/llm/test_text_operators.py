@@ -297,6 +297,25 @@ def test_alike_fingerprints_meet(spark):
     assert got == comp
 
 
+def test_open_buckets_are_compared_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(spotsigs, "BLOCK", 4)
+    members = spark.createDataFrame([(7, 10, f"d{k}", k, k % 3) for k in range(40)], "bucket long, blocks int, d string, rep long, c long")
+    left, right = spotsigs._blocks(members)
+    assert max(r["count"] for side in (left, right) for r in side.groupBy("bucket", "i", "j").count().collect()) < 20
+    met = left.join(right, ["bucket", "i", "j"]).filter("i < j OR x < y").collect()
+    assert len(met) == 40 * 39 // 2 == len({frozenset((r["a"], r["b"])) for r in met})
+
+    # one rare signature in all, so they share a bucket; its smallest member is like none of the others
+    def text(k):
+        return "the rare pair " + " ".join(f"of word{k // 2}x{j} in thing{k // 2}x{j}" for j in range(9)) + f" the last{k}"
+
+    data = [(k, text(k)) for k in range(1, 31)]
+    got = {r["doc_id"]: r["component_id"] for r in spotsigs.near_duplicates(spark.createDataFrame(data, "doc_id long, text string"), 0.8).collect()}
+    sets_ = {i: _spots(t) for i, t in data}
+    assert got == {i: min(j for j in sets_ if len(sets_[i] & sets_[j]) >= 0.8 * len(sets_[i] | sets_[j])) for i in sets_}
+    assert len(set(got.values())) < len(got)
+
+
 # --- packing
 
 
