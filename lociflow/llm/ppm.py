@@ -8,8 +8,10 @@ distinct, gives a symbol seen c times c / (n + d) and its escape d / (n + d));
 below the empty context all 256 bytes are alike.  A text goes to the language
 that codes it shortest.
 
-The trees are learnt from a bounded sample, `SAMPLE_DOCS` texts and about
-`SAMPLE_BYTES` bytes a language, taken in the order of a hash of the key.  All
+The trees are learnt from a bounded sample, at most `SAMPLE_DOCS` texts and
+`SAMPLE_BYTES` bytes a language, taken in the order of a hash of the key.  No text
+gives more than its first `SAMPLE_BYTES` / `TEXT_SHARE` characters to it, so none
+rules a language's counts, and a language of long texts alone is learnt, too.  All
 texts are scored whole, in one pass over the rows without a shuffle.
 
 Null texts and texts without a letter are ``und`` with score 0; so is every text
@@ -33,6 +35,8 @@ from lociflow.llm.common import column, fresh, held_out, slices, training_row, w
 
 SAMPLE_DOCS = 400
 SAMPLE_BYTES = 1_500_000
+#: The sample takes no more characters of a text than this part of its bytes.
+TEXT_SHARE = 100
 #: Texts are scored together until they have so many bytes.
 CHUNK = 1 << 18
 START = b"\n\n\n"
@@ -188,19 +192,21 @@ def grow(langs: list[str], counts: list[list[tuple[np.ndarray, np.ndarray]]]) ->
 
 
 def _sample(docs: DataFrame, sample_docs: int, sample_bytes: int) -> DataFrame:
-    """At most so many texts of each language, and of those the ones that begin within so many bytes.
+    """At most so many texts of each language, and of those the ones that end within so many bytes.
 
-    Ids and lengths are ranked, and only the chosen texts are read.
+    Long texts give their beginning only, never more than 4 / `TEXT_SHARE` of the
+    bytes.  Ids and lengths are ranked, and only the chosen texts are read.
     """
+    begin = F.substring("text", 1, max(1, sample_bytes // TEXT_SHARE))
     usable = docs.filter(training_row(F.col("doc_id")) & F.col("lang").isNotNull() & (F.length("text") > 0))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "th")
-    first = usable.select("doc_id", "lang", F.xxhash64("text").alias("th"), F.octet_length("text").alias("n"))
+    first = usable.select("doc_id", "lang", F.xxhash64("text").alias("th"), F.octet_length(begin).alias("n"))
     first = first.withColumn("_row", F.row_number().over(order)).filter(F.col("_row") <= sample_docs)
-    before = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    first = first.withColumn("_before", F.coalesce(before, F.lit(0))).filter(F.col("_before") < sample_bytes)
+    upto = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    first = first.withColumn("_upto", upto).filter(F.col("_upto") <= sample_bytes)
     # sample_docs rows a language at most, so it may be sent to every task
     chosen = first.select("doc_id", "lang", "th").distinct()
-    texts = docs.select("doc_id", "lang", "text", F.xxhash64("text").alias("th"))
+    texts = docs.select("doc_id", "lang", begin.alias("text"), F.xxhash64("text").alias("th"))
     return texts.join(F.broadcast(chosen), ["doc_id", "lang", "th"]).dropDuplicates(["doc_id", "lang", "th"]).select("lang", "text")
 
 

@@ -168,6 +168,14 @@ def test_language_of_odd_rows(odd, odd_rows, none):
     assert {r["lang_pred"] for r in ppm.predictions(odd.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
+def test_no_text_rules_the_learning_sample(spark):
+    data = [(i, "kala vesi " * (50_000 if i % 3 else 3), "fi") for i in range(60)] + [(100 + i, "\u65e5\u672c" * 9_000, "ja") for i in range(60)]
+    sample = ppm._sample(spark.createDataFrame(data, "doc_id long, text string, lang string"), 40, 20_000).collect()
+    for lang in ("fi", "ja"):
+        sizes = [len(r["text"].encode()) for r in sample if r["lang"] == lang]
+        assert sum(sizes) <= 20_000 and len(sizes) >= 20 and max(sizes) <= 4 * 20_000 // ppm.TEXT_SHARE
+
+
 # --- quality
 
 
