@@ -7,11 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lociflow.llm import boosted, byte_bpe, chat_tree, hnsw, minhash, packing, phrases, ppm, range_coder, spotsigs
+from lociflow.llm import bitmask_codes, boosted, byte_bpe, chat_tree, hnsw, minhash, packing, personal, phrases, ppm, range_coder, spelling, spotsigs
 from lociflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-#: No operator here has an exact SQL form that is quick on whole tables; each is tested against brute force instead.
+#: Only op12 has an exact SQL form that is quick on whole tables; the others are tested against brute force instead.
 SQL: dict[str, str] = {}
 
 
@@ -71,3 +71,57 @@ def op9_boosted_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op12_bitmask_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitmask_codes.compressed(table(spark, sf_dir, "embeddings"))
+
+
+@_query
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.personal_data(table(spark, sf_dir, "documents"))
+
+
+def _codes_sql(parts: int = bitmask_codes.PARTS, entries: int = bitmask_codes.ENTRIES, rounds: int = bitmask_codes.ROUNDS) -> str:
+    """Plain comparison with every entry, for vectors of one length."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+away{r} AS MATERIALIZED (
+  SELECT c.row_id, c.part, b.entry, sum((c.v - b.v) * (c.v - b.v))::BIGINT AS d
+  FROM cells c JOIN book{r} b ON c.part = b.part AND c.pos = b.pos GROUP BY ALL),
+near{r} AS MATERIALIZED (
+  SELECT row_id, part, entry, d FROM away{r}
+  QUALIFY row_number() OVER (PARTITION BY row_id, part ORDER BY d, entry) = 1)""")
+        if r < rounds:
+            steps.append(f"""
+mean{r} AS (
+  SELECT part, entry, pos, sum(v)::BIGINT AS s, count(*) AS n FROM cells JOIN near{r} USING (row_id, part) GROUP BY ALL),
+book{r + 1} AS MATERIALIZED (
+  SELECT part, entry, pos, CASE WHEN m.n IS NULL THEN b.v ELSE (m.s - ((m.s % m.n) + m.n) % m.n) // m.n END AS v
+  FROM book{r} b LEFT JOIN mean{r} m USING (part, entry, pos))""")
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS row_id, vec_id, label, embedding FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+cells AS MATERIALIZED (
+  SELECT row_id, (i - 1) // (len(embedding) // {parts}) AS part, (i - 1) % (len(embedding) // {parts}) AS pos,
+    floor(256 * embedding[i]::DOUBLE)::BIGINT AS v
+  FROM (SELECT *, unnest(range(1, len(embedding) + 1)) AS i FROM kept)),
+book0 AS MATERIALIZED (SELECT part, row_id - 1 AS entry, pos, v FROM cells WHERE row_id <= {entries}),
+{",".join(steps)},
+coded AS (
+  SELECT row_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM near{rounds} GROUP BY row_id)
+SELECT k.vec_id, c.code, c.error, (sum(c.error) OVER (PARTITION BY k.label))::BIGINT AS label_error,
+  (SELECT sha256(string_agg(v::VARCHAR, ',' ORDER BY part, entry, pos)) FROM book{rounds}) AS codebooks_sha256
+FROM coded c JOIN kept k USING (row_id)
+"""
+
+
+SQL["op12_bitmask_codes"] = _codes_sql()
