@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lociflow.llm.common import column, fresh, held_out, rolling, slices, training_row, with_fields, word_hashes
+from lociflow.llm.common import column, fresh, held_out, mapped, own, rolling, slices, training_row, with_fields, word_hashes
 
 SAMPLE_ROWS = 20_000
 BINS = 64
@@ -193,7 +193,7 @@ def scored(docs: DataFrame, forest: Forest, name: str = "score") -> DataFrame:
             x = np.array([statistics(t) for t in texts]).reshape(len(texts), len(FEATURES))
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(sent.value.score(x), pa.float64())], [*part.schema.names, name])
 
-    return docs.mapInArrow(run, with_fields(docs, **{name: "double"}))
+    return mapped(docs, run, with_fields(docs, **{name: "double"}))
 
 
 def predictions(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -207,4 +207,4 @@ def predictions(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that score at least ``threshold``."""
     (name,) = fresh(docs, "score")
-    return scored(docs, learn(docs, labels), name).filter(F.col(name) >= threshold).select(*docs.columns)
+    return scored(docs, learn(docs, labels), name).filter(F.col(name) >= threshold).select(*own(docs))

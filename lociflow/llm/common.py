@@ -8,7 +8,7 @@ says otherwise.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -51,11 +51,24 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def own(df: DataFrame) -> list[Column]:
+    """The columns of ``df`` by name, whatever characters the names have."""
+    return [F.col("`{}`".format(c.replace("`", "``"))) for c in df.columns]
+
+
 def with_fields(df: DataFrame, **kinds: str) -> T.StructType:
     """The schema of ``df`` and more fields."""
     return T.StructType([*df.schema.fields, *(T.StructField(n, T.DataType.fromDDL(k)) for n, k in kinds.items())])
 
 
+def mapped(df: DataFrame, run: Callable, schema: T.StructType) -> DataFrame:
+    """``df.mapInArrow`` for columns of any name: those with a dot or a backtick travel under plain names."""
+    odd = [c for c in df.columns if "." in c or "`" in c]
+    plain = dict(zip(odd, fresh(df, *(f"column_{i}" for i in range(len(odd)))), strict=True))
+    kinds = T.StructType([T.StructField(plain.get(f.name, f.name), f.dataType) for f in schema.fields])
+    return df.toDF(*(plain.get(c, c) for c in df.columns)).mapInArrow(run, kinds).toDF(*schema.names)
+
+
 def training_row(doc_id: Column) -> Column:
     """Rows that may be learnt from: crc32 of the id as text is no multiple of 5."""
     return F.crc32(doc_id.cast("string")) % 5 != 0

@@ -22,8 +22,13 @@ other path joins the two.  Groups of any size are split: classes and buckets are
 aggregated before the shuffle, pairs are joined by sort-merge, which may split a
 hot key, and blocks have at most `BLOCK` members.
 
+A class is known by the digest of its set and not by an id, so an id with several
+texts stands in several classes and loses no link; ids come back at the end, when
+each component takes the smallest one of its members.
+
 Nulls: a null text has an empty set; rows without id are linked with nothing and
-kept.  Repeated rows have the same class.  An empty table gives an empty result.
+kept.  Repeated rows have the same class.  Of an id with several texts each row is
+judged by its own text.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -87,28 +92,34 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
+def _hashed(docs: DataFrame) -> DataFrame:
+    """(doc_id, th, text): rows with a hash of the text, which tells the texts of one id apart."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
+
+
 def sets(docs: DataFrame, n: int) -> DataFrame:
-    """(doc_id, n_shingles, d1, d2, keys, signature) of every row; nulls where the set is empty."""
-    schema = [("n_shingles", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("keys", pa.list_(pa.int64())), ("signature", pa.binary())]
+    """(doc_id, th, n_shingles, cls, keys, signature) of every row of `_hashed`; nulls where the set is empty.
+
+    ``cls`` is a 128-bit digest of the set.
+    """
+    schema = [("n_shingles", pa.int64()), ("cls", pa.binary()), ("keys", pa.list_(pa.int64())), ("signature", pa.binary())]
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(parts):
             out: list[list] = [[] for _ in schema]
             for text in column(part, "text"):
                 h = shingles(text, n)
-                row = [len(h), None, None, None, None]
+                row = [len(h), None, None, None]
                 if len(h):
-                    digest = np.frombuffer(xxhash.xxh3_128_digest(h.tobytes()), np.int64)
                     least = minima(h)
                     signature = (mix(least) & np.uint64(255)).astype(np.uint8).tobytes()
-                    row = [len(h), int(digest[0]), int(digest[1]), band_keys(least).view(np.int64), signature]
+                    row = [len(h), xxhash.xxh3_128_digest(h.tobytes()), band_keys(least).view(np.int64), signature]
                 for c, x in zip(out, row, strict=True):
                     c.append(x)
             arrays = [pa.array(c, k) for c, (_, k) in zip(out, schema, strict=True)]
-            yield pa.RecordBatch.from_arrays([part.column(0), *arrays], ["doc_id", *(name for name, _ in schema)])
+            yield pa.RecordBatch.from_arrays([*part.columns[:2], *arrays], ["doc_id", "th", *(name for name, _ in schema)])
 
-    kinds = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_shingles long, d1 long, d2 long, keys array<long>, signature binary"
-    return docs.select("doc_id", "text").mapInArrow(run, kinds)
+    return docs.mapInArrow(run, "doc_id long, th long, n_shingles long, cls binary, keys array<long>, signature binary")
 
 
 def _close(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -128,13 +139,20 @@ def _close(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(run, pairs.select("a", "b").schema)
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that are linked, by their full sets."""
-    ids = written(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "ids")
+def _texts(asked: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(rep, text) of the classes asked for: one text each."""
+    asked = written(asked.distinct().join(classes.select("rep", "doc_id", "th"), "rep"), "ids")
     # only texts of paired documents are shuffled; the list is sent to all tasks if it is proven small
-    texts = docs.select("doc_id", "text").join(F.broadcast(ids) if fits(ids) else ids, "doc_id", "left_semi")
-    with_b = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("y")), "b")
-    with_both = with_b.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("x")), "a")
+    found = docs.join(F.broadcast(asked) if fits(asked) else asked, ["doc_id", "th"]).select("rep", "text")
+    # rows that are repeated give a text once
+    return found.dropDuplicates(["rep"])
+
+
+def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs (a, b) that are linked, by their full sets."""
+    texts = written(_texts(pairs.select(F.col("a").alias("rep")).union(pairs.select("b")), classes, docs), "texts")
+    with_b = pairs.join(texts.select(F.col("rep").alias("b"), F.col("text").alias("y")), "b")
+    with_both = with_b.join(texts.select(F.col("rep").alias("a"), F.col("text").alias("x")), "a")
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: tuple[str | None, np.ndarray] = None, np.empty(0, np.uint64)
@@ -168,11 +186,14 @@ def _rest(buckets: DataFrame, classes: DataFrame, joined: DataFrame, docs: DataF
     held = written(
         held.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "rep", "component"), "blocks"
     )
-    known = classes.join(_full_sets(held.select("rep").distinct(), docs, n), "rep").select("rep", "keys", "signature", "hashes")
+    known = classes.join(_full_sets(held.select("rep"), classes, docs, n), "rep").select("rep", "keys", "signature", "hashes")
     least = percent / 100 - SLACK
 
     def compare(group: pa.Table) -> pa.Table:
-        ids, comp, own = (np.asarray(group.column(c)) for c in ("rep", "component", "own"))
+        names = sorted({*group.column("rep").to_pylist(), *group.column("component").to_pylist()})
+        number = {name: k for k, name in enumerate(names)}
+        ids, comp = (np.array([number[x] for x in group.column(c).to_pylist()]) for c in ("rep", "component"))
+        own = np.asarray(group.column("own"))
         sign = np.frombuffer(b"".join(group.column("signature").to_pylist()), np.uint8).reshape(len(ids), -1)
         full = [np.frombuffer(h, np.uint64) for h in group.column("hashes").to_pylist()]
         size = np.array([len(h) for h in full])
@@ -202,14 +223,14 @@ def _rest(buckets: DataFrame, classes: DataFrame, joined: DataFrame, docs: DataF
             p, q = root(int(comp[x])), root(int(comp[y]))
             if p != q and linked(full[x], full[y], percent):
                 top[max(p, q)] = min(p, q)
-                a.append(min(ids[x], ids[y]))
-                b.append(max(ids[x], ids[y]))
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+                a.append(names[min(ids[x], ids[y])])
+                b.append(names[max(ids[x], ids[y])])
+        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
-    return held.join(known, "rep").groupBy("key", "i", "j").applyInArrow(compare, "a long, b long")
+    return held.join(known, "rep").groupBy("key", "i", "j").applyInArrow(compare, "a binary, b binary")
 
 
-def _full_sets(ids: DataFrame, docs: DataFrame, n: int) -> DataFrame:
+def _full_sets(asked: DataFrame, classes: DataFrame, docs: DataFrame, n: int) -> DataFrame:
     """(rep, hashes): the whole set of each document asked for."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,43 +238,51 @@ def _full_sets(ids: DataFrame, docs: DataFrame, n: int) -> DataFrame:
             made = pa.array([shingles(t, n).tobytes() for t in column(part, "text")], pa.binary())
             yield pa.RecordBatch.from_arrays([part.column(0), made], ["rep", "hashes"])
 
-    asked = written(ids.withColumnRenamed("rep", "doc_id"), "ids")
-    texts = docs.join(F.broadcast(asked) if fits(asked) else asked, "doc_id", "left_semi").select("doc_id", "text")
-    return texts.mapInArrow(run, "rep long, hashes binary")
+    return _texts(asked, classes, docs).mapInArrow(run, "rep binary, hashes binary")
 
 
-def near_duplicates(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row of (doc_id, text)."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+def _grouped(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """(doc_id, th, n_shingles, component_id, kept) for every row of `_hashed`."""
     all_sets = written(sets(docs, n), "shingle-sets")
     filled = all_sets.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = filled.groupBy("d1", "d2").agg(
-        F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys"), F.first("signature").alias("signature")
+    classes = filled.groupBy(F.col("cls").alias("rep")).agg(
+        F.min(F.struct("doc_id", "th")).alias("low"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys"), F.first("signature").alias("signature")
     )
-    classes = written(classes, "classes")
-    # an id with several texts may stand for several classes
-    one = classes.dropDuplicates(["rep"]).select("rep", "n", "keys", "signature")
+    classes = written(classes.select("rep", "low.doc_id", "low.th", "n", "keys", "signature"), "classes")
 
     buckets = classes.select("rep", F.explode("keys").alias("key"))
     hubs = buckets.groupBy("key").agg(F.min("rep").alias("hub"), F.count(F.lit(1)).alias("members")).filter("members > 1")
     stars = buckets.join(hubs, "key").filter("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
-    links = written(_confirmed(written(_close(stars, one, percent), "pairs"), docs, n, percent), "confirmed")
+    links = written(_confirmed(written(_close(stars, classes, percent), "pairs"), classes, docs, n, percent), "confirmed")
     joined = components(links)
 
-    more = written(_rest(buckets, one, joined, docs, n, percent), "confirmed")
+    more = written(_rest(buckets, classes, joined, docs, n, percent), "confirmed")
     joined = components(links.union(more))
 
-    placed = classes.select("d1", "d2", F.col("rep")).join(joined.withColumnRenamed("id", "rep"), "rep", "left")
-    placed = placed.select("d1", "d2", F.coalesce("component", "rep").alias("component"))
-    found = all_sets.select("doc_id", "n_shingles", "d1", "d2").join(placed, ["d1", "d2"], "left")
-    found = found.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    # the smallest id of each component of several classes
+    members = joined.union(joined.select(F.col("component").alias("id"), "component").distinct())
+    members = members.join(classes.select(F.col("rep").alias("id"), "doc_id"), "id")
+    least = members.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    linked_ = members.join(least, "component").select(F.col("id").alias("rep"), "component_id")
+    placed = classes.select("rep", "doc_id").join(linked_, "rep", "left")
+    placed = placed.select(F.col("rep").alias("cls"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    found = all_sets.select("doc_id", "th", "n_shingles", "cls").join(placed, "cls", "left")
+    # without an id there is nothing to be linked by
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
+    found = found.select("doc_id", "th", "n_shingles", component.alias("component_id"))
     return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def near_duplicates(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for every row of (doc_id, text)."""
+    return _grouped(_hashed(docs), n, percent).drop("th")
+
+
 def deduplicated(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One document of each group of near-duplicates, and all rows that are in none."""
-    dropped = near_duplicates(docs, n, percent).filter(~F.col("kept")).select("doc_id").distinct()
-    (name,) = fresh(docs, "dropped")
-    dropped = written(dropped.withColumnRenamed("doc_id", name), "dropped")
+    dropped = _grouped(_hashed(docs), n, percent).filter(~F.col("kept")).select("doc_id", "th").distinct()
+    names = fresh(docs, "dropped", "dropped_th")
+    dropped = written(dropped.toDF(*names), "dropped")
     dropped = F.broadcast(dropped) if fits(dropped) else dropped
-    return docs.join(dropped, docs["doc_id"] == dropped[name], "left_anti")
+    same = (docs["doc_id"] == dropped[names[0]]) & (F.xxhash64(docs["text"]) == dropped[names[1]])
+    return docs.join(dropped, same, "left_anti")

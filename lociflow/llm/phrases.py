@@ -47,7 +47,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lociflow.llm.common import batches, column, fresh, mix, rolling, slices, with_fields, word_hashes, words, written
+from lociflow.llm.common import batches, column, fresh, mapped, mix, own, rolling, slices, with_fields, word_hashes, words, written
 from lociflow.scale import fits
 
 WINDOW = 20
@@ -322,10 +322,10 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     # of a copy, all windows go
     every = F.sequence(F.lit(0), (F.col("n_words") - window).cast("int")).alias("starts")
     removed = removed.union(found.select("id", "th", "n_words").distinct().join(copies, ["id", "th"]).select("id", "th", every))
-    id_, th, starts = fresh(docs, "id", "th", "starts")
+    id_, th, starts, r_id, r_th = fresh(docs, "id", "th", "starts", "r_id", "r_th")
     keyed = docs.select("*", *(c.alias(n) for c, n in zip(_key(docs), (id_, th), strict=True)))
-    right = removed.toDF("_r_id", "_r_th", starts)
-    joined = keyed.join(right, (keyed[id_] == right["_r_id"]) & (keyed[th] == right["_r_th"]), "left").select(*docs.columns, starts)
+    right = removed.toDF(r_id, r_th, starts)
+    joined = keyed.join(right, (keyed[id_] == right[r_id]) & (keyed[th] == right[r_th]), "left").select(*own(docs), starts)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(parts):
@@ -343,4 +343,4 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             columns[i] = pa.array(texts, part.schema.field(i).type)
             yield pa.RecordBatch.from_arrays(columns, part.schema.names[:-1])
 
-    return joined.mapInArrow(run, with_fields(docs))
+    return mapped(joined, run, with_fields(docs))

@@ -31,7 +31,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lociflow.llm.common import column, fresh, held_out, slices, training_row, with_fields
+from lociflow.llm.common import column, fresh, held_out, mapped, own, slices, training_row, with_fields
 
 SAMPLE_DOCS = 400
 SAMPLE_BYTES = 1_500_000
@@ -273,7 +273,7 @@ def identify(docs: DataFrame, trees: Trees | None, names: list[str] | None = Non
             arrays = [*part.columns, *(pa.array(f, k) for f, k in zip(found, kinds, strict=True))]
             yield pa.RecordBatch.from_arrays(arrays, [*part.schema.names, *names])
 
-    return docs.mapInArrow(run, with_fields(docs, **dict(zip(names, ("string", "double", "double"), strict=True))))
+    return mapped(docs, run, with_fields(docs, **dict(zip(names, ("string", "double", "double"), strict=True))))
 
 
 def predictions(docs: DataFrame) -> DataFrame:
@@ -287,4 +287,4 @@ def accepted(docs: DataFrame, min_score: float = 0.5, max_bits: float = 8.0) ->
     lang, share, rate = fresh(docs, "lang_pred", "share", "rate")
     found = identify(docs, learn(docs), [lang, share, rate])
     sure = (F.col(lang) != "und") & (F.col(share) >= min_score) & (F.col(rate) < max_bits)
-    return found.filter(sure).select(*docs.columns)
+    return found.filter(sure).select(*own(docs))

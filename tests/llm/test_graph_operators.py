@@ -259,9 +259,80 @@ def test_no_chats(spark):
     assert chat_tree.format_and_read(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
 
 
+# --- one id with several texts
+
+
+def test_an_id_with_two_texts_loses_no_link(spark):
+    """1 and 5 share a text but for one word, 9 is near the other text of 5."""
+    a, b = prose(31, 60).split(), prose(32, 60).split()
+    docs = [(1, " ".join(a)), (5, " ".join([*a[:59], "other"])), (5, " ".join(b)), (9, " ".join([*b, "x"])), (12, prose(33, 60))]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = sorted((r["doc_id"], r["component_id"], r["kept"]) for r in minhash.near_duplicates(frame).collect())
+    assert got == [(1, 1, True), (5, 1, False), (5, 5, True), (9, 5, False), (12, 12, True)]
+    assert sorted(minhash.deduplicated(frame).collect()) == sorted(d for i, d in enumerate(docs) if i in (0, 2, 4))
+
+
+def test_texts_of_one_id_in_one_bucket(spark, monkeypatch):
+    """Ids with two texts in buckets that are cut into blocks."""
+    monkeypatch.setattr(minhash, "BLOCK", 3)
+    base = prose(41, 120).split()
+    docs = [(i // 2, " ".join([*base[: 118 - i], *(f"n{i}_{k}" for k in range(i)), *base[118:]])) for i in range(16)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    _, want = _linked_components(list(enumerate(t for _, t in docs)), 5)
+    low = {}
+    for i, (doc, _) in enumerate(docs):
+        low[want[i]] = min(low.get(want[i], doc), doc)
+    got = sorted((r["doc_id"], r["component_id"]) for r in minhash.near_duplicates(frame).collect())
+    assert got == sorted((doc, low[want[i]]) for i, (doc, _) in enumerate(docs))
+
+
 # --- the pipeline
 
 
+#: Names that stages use themselves, names with a dot, one with a backtick.
+EXTRA = ["_r_id", "_r_th", "r_id", "r_th", "id", "th", "starts", "share", "rate", "lang_pred", "score", "dropped", "dropped_th", "a.b", "text.x", "c`d"]
+
+
+@pytest.fixture(scope="module")
+def labelled(spark, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("labelled"))
+    good = [(i, ("the weather was ", "das wetter ist ")[i % 2] * 3 + prose(i, 90), ("en", "de")[i % 2]) for i in range(60)]
+    passage = prose(77, 60)
+    docs = [*good, (100, f"{good[0][1]}", "en"), (101, f"the weather was {passage} " + prose(500, 60), "en"), (102, f"the weather was {passage} " + prose(501, 60), "en"), (103, None, None)]
+    frame = spark.createDataFrame([(i, t, lang, "s0", len(t or "")) for i, t, lang in docs], "doc_id long, text string, lang string, source string, n_chars long")
+    spark.createDataFrame([(i, 1, 0) for i, _, _ in docs], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    return frame, folder
+
+
+def test_pipeline_keeps_columns_of_any_name(spark, labelled):
+    frame, folder = labelled
+    plain = wide = frame
+    for i, name in enumerate(EXTRA):
+        wide = wide.withColumn(name, F.lit(i))
+    for name, stage in corpus_pipeline.STAGES:
+        plain, wide = written(stage(spark, plain, folder), name), written(stage(spark, wide, folder), name)
+        if name != corpus_pipeline.STAGES[-1][0]:
+            assert wide.columns == [*frame.columns, *EXTRA]
+            assert rows(wide.drop(*EXTRA)) == rows(plain)
+    assert rows(plain) == rows(wide)
+
+
+def test_pipeline_of_no_rows(spark, labelled):
+    frame, folder = labelled
+    held = frame.limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        held = written(stage(spark, held, folder), name)
+        assert held.count() == 0
+
+
+def test_pipeline_without_labels_keeps_everything(spark, labelled, tmp_path):
+    """Without a label nothing tells good from bad, so the classifier rejects no document."""
+    frame, folder = labelled
+    spark.read.parquet(f"{folder}/labels.parquet").limit(0).write.parquet(f"{tmp_path}/labels.parquet")
+    stage = dict(corpus_pipeline.STAGES)["quality_classifier"]
+    assert rows(stage(spark, frame, str(tmp_path)).select("doc_id")) == rows(frame.select("doc_id"))
+
+
 def test_pipeline_follows_its_stages(spark, tmp_path):
     of = {"en": "the weather is nice and the sea was calm with ", "de": "das wetter ist schoen und die see war ruhig mit "}
     good = [(i, of[("en", "de")[i % 2]] * 2 + prose(i, 120)) for i in range(200)]
