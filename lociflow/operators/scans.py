@@ -123,3 +123,23 @@ def number_rows(df: DataFrame, order: list, out: str = "row_number") -> DataFram
         .withColumn(out, F.col("_start") + F.col("_row") + 1)
         .drop("_part", "_row", "_start")
     )
+
+
+def running_total(df: DataFrame, order: list, amount: Column, out: str) -> DataFrame:
+    """Sum of ``amount`` over all earlier rows of a total order, without a one-task window.
+
+    Like `number_rows`: each partition of one range sort sums its own rows, and
+    one row a partition carries what stands before it.
+    """
+    placed = settle(df.withColumn("_amount", amount).orderBy(*order).withColumn("_id", F.monotonically_increasing_id()))
+    placed = placed.withColumn("_part", F.shiftright("_id", 33))
+    sizes = placed.groupBy("_part").agg(F.sum("_amount").alias("_n"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
+    inside = F.sum("_amount").over(Window.partitionBy("_part").orderBy("_id").rowsBetween(Window.unboundedPreceding, -1))
+    totalled = placed.withColumn("_inside", F.coalesce(inside, F.lit(0)))
+    return (
+        totalled.join(F.broadcast(starts), "_part")
+        .withColumn(out, F.col("_start") + F.col("_inside"))
+        .drop("_part", "_id", "_amount", "_inside", "_start")
+    )

@@ -20,7 +20,7 @@ from ..scale import settle
 from ..sources import delimited, genome, variants
 from ..sources.schemas import schema_of
 from . import annotate, power, report, study
-from .standins import Views, ctes
+from .standins import _BP, Views, ctes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -1302,6 +1302,37 @@ def _(v):
     return ld.with_tags(_clip(v), sites.unionByName(absent)).select("snp", "chr", "bp", "tag", "in_panel")
 
 
+# a panel of all parts: more samples where there are more suppliers, all kinds of genotypes
+_PANEL_SAMPLES = "200 + (SELECT count(*) FROM supplier)"
+_GENOTYPES = [("0|0", 0), ("0|1", 1), ("1|1", 2), ("./.", None), ("1", 1), ("0/1", 1), ("0/0", 0), ("1/2", 2), ("./1", None)]
+_PANEL_SQL = f"""WITH points AS (SELECT p_partkey AS k, CAST(p_partkey % 22 + 1 AS int) AS chr, CAST({_BP.format(k='p_partkey')} AS bigint) AS bp FROM part),
+calls AS (SELECT *, (k * 7 + i * 13 + (k * i) % 11) % 9 AS g FROM points CROSS JOIN (SELECT unnest(range(0, CAST({_PANEL_SAMPLES} AS bigint))) AS i) s),
+dosage AS (SELECT i AS sample_id, chr, bp, 'rs' || CAST(k AS string) AS snp,
+  CASE g {' '.join(f"WHEN {i} THEN {d}" for i, (_, d) in enumerate(_GENOTYPES) if d is not None)} END AS dosage FROM calls),
+known AS (SELECT * FROM dosage WHERE dosage IS NOT NULL)"""
+
+
+@query(
+    "genotype_ld",
+    _LD.replace(ctes("dosage"), _PANEL_SQL).replace("FROM dosage a JOIN dosage b", "FROM known a JOIN known b")
+    + " SELECT chr, snp_a, bp_a, snp_b, bp_b, n, round(r2, 6) AS r2 FROM pairs",
+)
+def _(v):
+    """A panel in a variant file, read to bit planes inside its rows, to LD."""
+    path = v.folder("panel.vcf")
+    n = 200 + v("supplier").count()
+    k = F.col("p_partkey")
+    call = lambda i: (k * 7 + i * 13 + (k * i) % 11) % 9
+    texts = F.transform(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")), lambda i: F.get(F.lit([g for g, _ in _GENOTYPES]), call(i).cast("int")))
+    bp = F.expr(_BP.format(k="p_partkey"))
+    v("part").select(
+        F.concat_ws("\t", k % 22 + 1, bp, F.concat(F.lit("rs"), k), F.lit("A"), F.lit("C,G"), F.lit("."), F.lit("PASS"), F.lit("."),
+                    F.lit("DP:GT"), F.array_join(F.transform(texts, lambda g: F.concat(F.lit("9:"), g)), "\t")).alias("value")
+    ).write.text(path)
+    planes = ld.planes_in_row(variants.read_genotypes(v.spark, path))
+    return ld.ld_pairs_of_planes(planes, _WINDOW).withColumn("r2", r6("r2"))
+
+
 _TAGGED = """tagged AS (SELECT snp, chr, bp, 'rs' || CAST(k - k % 3 AS string) AS tag, k % 10 <> 3 AS in_panel
   FROM (SELECT DISTINCT snp, chr, bp, CAST(substr(snp, 3) AS bigint) AS k FROM assoc) t),
 firsts AS (SELECT tag, min((CASE WHEN in_panel THEN 0 ELSE 1 END, chr, bp, snp)) AS place FROM tagged GROUP BY tag),

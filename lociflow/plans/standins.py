@@ -119,10 +119,10 @@ FROM part""",
                    'p.Arg' || CAST(p_size AS string) || 'Ile')) AS ann
 FROM part""",
     ),
-    # one genotype per (sample, variant), for LD
+    # one genotype per (sample, variant), for LD; the samples grow with the root of the orders
     "dosage": (
         ["lineitem"],
-        f"""SELECT CAST(l_orderkey % 50 AS bigint) AS sample_id,
+        f"""SELECT CAST(floor(sqrt(l_orderkey)) AS bigint) AS sample_id,
        CAST(l_partkey % 22 + 1 AS int) AS chr,
        CAST({_L['bp']} AS bigint) AS bp,
        'rs' || CAST(l_partkey AS string) AS snp,

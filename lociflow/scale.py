@@ -11,6 +11,7 @@ Rules kept by the whole package:
 from __future__ import annotations
 
 import tempfile
+import uuid
 import warnings
 from typing import NamedTuple
 
@@ -86,6 +87,24 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder; what is written there goes when the driver's JVM ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
+    return path
+
+
+def stored(df: DataFrame, name: str, *by: str) -> DataFrame:
+    """Write ``df`` to the shared folder, in a folder for each value of ``by``, and read it again.
+
+    Like `settle` it cuts the lineage; a filter on ``by`` reads those folders only.
+    """
+    path = new_folder(df.sparkSession, name)
+    df.write.partitionBy(*by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _width(c: Column, kind: T.DataType) -> Column:
     """About how many bytes a value takes."""
     if isinstance(kind, T.StructType):

@@ -60,14 +60,15 @@ def test_rounds_follow_blocks_and_not_chains(spark, monkeypatch):
     assert len(rounds) == 2
 
 
-@pytest.mark.parametrize("window,hot_rows", [(30, 1000), (1000, 1000), (1000, 3)])
-def test_pairs_equal_direct_correlation(spark, monkeypatch, window, hot_rows):
+@pytest.mark.parametrize("window,tile", [(30, 64), (1000, 64), (1000, 2), (20, 1)])
+def test_pairs_equal_direct_correlation(spark, monkeypatch, window, tile):
     monkeypatch.setattr(ld, "RUN_WORDS", 2 if window == 1000 else 1024)
+    monkeypatch.setattr(ld, "TILE", tile)
     rng = random.Random(2)
     dose = {(s, c, v): rng.randint(0, 2) for s in range(150) for c in (1, 2) for v in range(8) if rng.random() < 0.8}
     rows_in = [(s, c, v * 9, f"rs{v}", d) for (s, c, v), d in dose.items()] + [(3, 1, 500, "rs_const", 1)]
     df = spark.createDataFrame(rows_in, "sample_id bigint, chr int, bp bigint, snp string, dosage int")
-    got = {(r.chr, r.snp_a, r.snp_b): (r.n, r.r2) for r in ld.ld_pairs(df, window, hot_rows=hot_rows).filter("snp_b <> 'rs_const' AND snp_a <> 'rs_const'").collect()}
+    got = {(r.chr, r.snp_a, r.snp_b): (r.n, r.r2) for r in ld.ld_pairs(df, window).filter("snp_b <> 'rs_const' AND snp_a <> 'rs_const'").collect()}
     want = {}
     for c in (1, 2):
         for a in range(8):
