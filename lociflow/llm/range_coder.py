@@ -27,10 +27,12 @@ gives no files and an empty result.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import public_tokenizers
@@ -255,14 +257,24 @@ def decode_block(frame: bytes) -> np.ndarray:
 
 # --- tokenizing --------------------------------------------------------------
 
+# How byte-level vocabularies write a space, and the parts of their pattern over the characters of
+# `_COMMON`; over these all versions of Unicode agree on what is a letter, a digit or neither.
+_SPACE_MARK = "\u0120"
+_COMMON = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ0-9!-/:-@\[-`{-~\n]+")
+_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[!-/:-@\[-`{-~]+|\n+(?!\S)|\n+")
+
 
 class _Encoder:
     """Ids as bytes; one encoder a Python worker.
 
     A text is cut before its spaces, where the tokenizer's own pattern begins a
-    new token whenever a character that is no space follows; each piece is
-    encoded by the tokenizer once and remembered.  Texts in which white space
-    follows a space are encoded whole.
+    new token whenever a character that is no space follows.  Pieces of common
+    characters are cut further by that pattern, into words and what stands around
+    them; the tokenizer sees each of these once and what it gave is remembered.
+    All new words of a slice of rows go to it in one call, one text with a space
+    before each: the ids that begin with a space tell where a word begins.
+    Pieces of other characters are encoded as they are, and texts in which white
+    space follows a space are encoded whole.
     """
 
     REMEMBERED = 800_000
@@ -271,29 +283,71 @@ class _Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.space = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes | None] = {}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.spaced = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.spaced[[i for token, i in vocabulary.items() if token.startswith(_SPACE_MARK)]] = True
+        self.pieces: dict[str, bytes | None] = {}
+        self.words: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn_words(self, new: list[str]) -> None:
+        joined = [w for w in new if w[0] == " "]
+        others = [w for w in new if w[0] != " "]
+        self.words.update(zip(others, self._ids(others), strict=True))
+        for at in range(0, len(joined), 4096):
+            some = joined[at : at + 4096]
+            ids = self._ids(["".join(some)])[0]
+            starts = (4 * np.flatnonzero(self.spaced[np.frombuffer(ids, "<u4")])).tolist()
+            self.words.update((w, ids[a:b]) for w, a, b in zip(some, starts, [*starts[1:], len(ids)], strict=True))
+
+    def _learn(self, new: list[str]) -> None:
+        """Remember the ids of pieces, each with a space before it; a first piece of a text is told by a leading NUL."""
+        cut, odd = {}, []
+        for p in new:
+            if p[:1] == "\0" and _COMMON.fullmatch(p, 1):
+                cut[p] = _WORD.findall(p, 1)
+            elif _COMMON.fullmatch(p) and p[0] != "\n":
+                cut[p] = _WORD.findall(f" {p}")
+            elif not p or p[0].isspace():
+                self.pieces[p] = None
+            else:
+                odd.append(p)
+        words = self.words
+        unseen = {w for ws in cut.values() for w in ws}.difference(words)
+        self._learn_words(list(unseen))
+        self.pieces.update((p, b"".join([words[w] for w in ws])) for p, ws in cut.items())
+        self.pieces.update(zip(odd, self._ids([p[1:] if p[0] == "\0" else f" {p}" for p in odd]), strict=True))
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        for held in (self.pieces, self.words):
+            # the older half goes; what of it still occurs comes back
+            for key in list(islice(held, len(held) // 2 if len(held) > self.REMEMBERED else 0)):
+                del held[key]
+        cut: list[list[str]] = []
+        new: set[str] = set()
+        for text in texts:
+            pieces = text.split(" ") if text else []
+            if pieces:
+                if pieces[0]:
+                    pieces[0] = f"\0{pieces[0]}"
+                else:
+                    del pieces[0]
+                # added tokens are found before the text is split; a NUL in the text would pass for the mark
+                if "\0" in text or any(a in text for a in self.added):
+                    pieces = [""]
+                new.update(pieces)
+            cut.append(pieces)
+        self._learn(list(new.difference(self.pieces)))
+        out = []
+        for text, pieces in zip(texts, cut, strict=True):
+            found = [*map(self.pieces.__getitem__, pieces)]
+            out.append(self._ids([text])[0] if None in found else b"".join(found))
+        return out
 
     def encode(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        head, *pieces = text.split(" ")
-        # added tokens are found before the text is split
-        if any(a in text for a in self.added):
-            return self._ids([text])[0]
-        if len(self.known) > self.REMEMBERED:
-            self.known.clear()
-        known = self.known
-        new = list({p for p in pieces if p not in known})
-        if new:
-            known.update(zip(new, self._ids([f" {p}" for p in new]), strict=True))
-            known.update((p, None) for p in new if not p or p[0].isspace())
-        found = [known[p] for p in pieces]
-        if None in found:
-            return self._ids([text])[0]
-        return b"".join([*(self._ids([head]) if head else ()), *found])
+        return self.encode_all([text])[0]
 
 
 @lru_cache(maxsize=2)
@@ -330,8 +384,8 @@ def write_ids(docs: DataFrame, path: str | None = None, end_id: int = END_ID, bl
 
         for rows in slices(parts):
             id_type = rows.schema.field(0).type
-            for name, text in zip(column(rows, "doc_id"), column(rows, "text"), strict=True):
-                ids = encoder.encode(text) + end
+            for name, ids in zip(column(rows, "doc_id"), encoder.encode_all(column(rows, "text")), strict=True):
+                ids += end
                 n = len(ids) // 4
                 if held and size + n > block_ids:
                     yield made(id_type)

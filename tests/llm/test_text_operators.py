@@ -98,11 +98,72 @@ def test_token_files(odd, odd_rows):
 
 
 @settings(max_examples=150, deadline=None)
-@given(st.text(alphabet=st.one_of(st.sampled_from(" \n\t\u00a0\u2028\x1c\x85aZ9'.,é"), st.characters(exclude_categories=("Cs",))), max_size=30))
-def test_ids_of_pieces_are_those_of_the_text(text):
+@given(st.lists(st.text(alphabet=st.one_of(st.sampled_from(" \n\t\0\u00a0\u2028\x1c\x85aZs9'.,éª"), st.characters(exclude_categories=("Cs",))), max_size=30), max_size=4))
+def test_ids_of_pieces_are_those_of_the_text(texts):
     encoder = range_coder._encoder(P.path(range_coder.TOKENIZER))
-    whole = encoder.tokenizer.encode(text, add_special_tokens=False).ids
-    assert np.frombuffer(encoder.encode(text), "<u4").tolist() == whole
+    whole = [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in encoder.encode_all(texts)] == whole
+
+
+def test_what_is_remembered_is_bounded(monkeypatch):
+    encoder = range_coder._Encoder(P.path(range_coder.TOKENIZER))
+    monkeypatch.setattr(encoder, "REMEMBERED", 50)
+    for k in range(20):
+        text = prose(k, 40)
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    assert len(encoder.pieces) < 150 and len(encoder.words) < 250
+
+
+def _plain_coder(ids, space):
+    """Code lengths of the definition, lane by lane and id by id: the same model, held in dictionaries of this test."""
+    n = len(ids)
+    lanes, steps = range_coder._lanes(n)
+    two, one, counts, trust = {}, {}, [1] * space, [[1, 1, 1] for _ in range(32)]
+    shared = {}
+    bits = 0.0
+    for t in range(steps):
+        if t <= 8 or t % 4 == 0:
+            shared = {"counts": list(counts), "trust": [list(x) for x in trust]}
+        learnt2, learnt1, added = {}, {}, []
+        for lane in range(lanes):
+            at = lane * steps + t
+            if at >= n:
+                continue
+            x = int(ids[at])
+            b1, b2 = (int(ids[at - 1]) if t > 0 else space), (int(ids[at - 2]) if t > 1 else space)
+            slot = ((((b2 * 0x9E3779B1 + b1) % 2**64) * 0x9E3779B97F4A7C15) % 2**64) >> (64 - range_coder._SLOTS)
+            (c2, s2), (c1, s1) = two.get(slot, (0, 0)), one.get(b1, (0, 0))
+            context = s2 * 8 + s1 * 2 + (c1 == c2)
+            outcome = 0 if x == c2 else 1 if x == c1 else 2
+            row = shared["trust"][context]
+            share = [v * (4096 - 3) // sum(row) + 1 for v in row]
+            share[2] += 4096 - sum(share)
+            bits -= np.log2(share[outcome] / 4096)
+            if outcome == 2:
+                bits -= np.log2(shared["counts"][x] / sum(shared["counts"]))
+            added.append((context, outcome, x))
+            for learnt, key, held, sure in ((learnt2, slot, c2, s2), (learnt1, b1, c1, s1)):
+                candidate, _ = learnt.get(key, (held, sure))
+                right = held == x
+                if not right and sure == 0:
+                    candidate = x
+                learnt[key] = (candidate, min(sure + 1, 3) if right else max(sure - 1, 0))
+        two.update(learnt2)
+        one.update(learnt1)
+        for context, outcome, x in added:
+            trust[context][outcome] += 1
+            if outcome == 2:
+                counts[x] += 32
+    return bits, lanes
+
+
+@pytest.mark.parametrize("n", [1, 300, 3000])
+def test_frames_are_as_long_as_the_definition_says(n):
+    ids = np.random.default_rng(n).zipf(1.4, n) % 300
+    bits, lanes = _plain_coder(ids, 300)
+    frame = 8 * (len(range_coder.encode_block(ids, 300)) - range_coder._HEAD.size)
+    # a lane's length, its last three words, and what ranges lose where they are cut short
+    assert bits <= frame <= bits * 1.01 + lanes * (32 + 64)
 
 
 def test_token_files_of_no_rows(none):
