@@ -178,17 +178,29 @@ def liftover(
     segments: DataFrame,
     chrom: str = "chr",
     pos: str = "bp",
+    alleles: tuple[str, ...] = (),
     max_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Positions in another build, from aligned segments.
 
     ``segments`` has src_chr, src_start, src_end, dst_chr, dst_start, strand.
     Adds lifted_chr and lifted_bp, null where no segment covers the position.
+    With a ``score`` among their columns (and ``chain`` for ties) the best-scored
+    segment decides where several cover a position.  ``alleles`` names columns
+    that are put on the other strand where the segment is reversed.
     """
-    seg = segments.select("src_chr", "src_start", "src_end", "dst_chr", "dst_start", "strand")
-    hit = overlap_join(df, seg, (chrom, pos), ("src_chr", "src_start", "src_end"), reach=0, max_rows=max_rows)
+    columns = ["src_chr", "src_start", "src_end", "dst_chr", "dst_start", "strand"]
+    first_by = None
+    if "score" in segments.columns:
+        ties = ["chain"] if "chain" in segments.columns else []
+        segments = segments.withColumn("_worse", -F.col("score"))
+        columns, first_by = [*columns, "_worse", *ties], ["_worse", *ties, "src_start", "dst_start"]
+    hit = overlap_join(
+        df, segments.select(*columns), (chrom, pos), ("src_chr", "src_start", "src_end"), reach=0, first_by=first_by, max_rows=max_rows
+    )
     forward = F.col("dst_start") + (F.col(pos) - F.col("src_start"))
     reverse = F.col("dst_start") + (F.col("src_end") - F.col(pos))
-    return hit.withColumns(
-        {"lifted_chr": F.col("dst_chr"), "lifted_bp": F.when(F.col("strand") == "-", reverse).otherwise(forward)}
-    ).drop("src_start", "src_end", "dst_chr", "dst_start", "strand")
+    back = F.col("strand") == "-"
+    other = {a: F.when(back, F.reverse(F.translate(a, "ACGTacgt", "TGCAtgca"))).otherwise(F.col(a)) for a in alleles}
+    lifted = {"lifted_chr": F.col("dst_chr"), "lifted_bp": F.when(back, reverse).otherwise(forward)}
+    return hit.withColumns(lifted | other).drop(*[c for c in columns if c != "src_chr"])

@@ -17,7 +17,7 @@ from ..operators import harmonise as harm
 from ..operators import intervals, joins, ld, pick, reshape, scans, summarise
 from ..operators.nearest import nearest
 from ..scale import settle
-from ..sources import delimited, genome, variants
+from ..sources import blockgzip, delimited, genome, sites, variants
 from ..sources.schemas import schema_of
 from . import annotate, power, report, study
 from .standins import _BP, Views, ctes
@@ -322,6 +322,43 @@ def _(v):
     return intervals.liftover(positions(v), seg)
 
 
+# two chains a stretch of genes: one of three blocks with gaps on both sides, every other one reversed, and a
+# shorter one over its middle that is better at times
+_CHAIN_BLOCKS = [(0, 0, 1000000), (1500000, 1300000, 800000), (2300000, 2300000, 700000)]
+_CHAIN_SQL = f"""heads AS (SELECT DISTINCT g_chr AS c, CAST(floor(g_start / 8000000) AS bigint) AS n FROM genes),
+seg AS (SELECT c, n * 8000000 + t + 1 AS s, n * 8000000 + t + len AS e, c % 22 + 1 AS d, CASE WHEN n % 2 = 1 THEN '-' ELSE '+' END AS strand,
+  CASE WHEN n % 2 = 1 THEN 300000000 - (n * 8000000 + 250000 + q) - len ELSE n * 8000000 + 250000 + q END + 1 AS ds, 5000 AS score
+  FROM heads, (VALUES {', '.join(map(str, _CHAIN_BLOCKS))}) b(t, q, len)
+  UNION ALL SELECT c, n * 8000000 + 600000 + 1, n * 8000000 + 1700000, c, '+', n * 8000000 + 11 + 1, CASE WHEN n % 3 = 0 THEN 9000 ELSE 100 END FROM heads),
+pts AS (SELECT DISTINCT snp, chr, bp, a1 FROM assoc),
+hit AS (SELECT p.*, d, strand, CASE WHEN strand = '-' THEN ds + (e - bp) ELSE ds + (bp - s) END AS lifted_bp,
+  row_number() OVER (PARTITION BY snp, chr, bp, a1 ORDER BY score DESC) AS rn FROM pts p LEFT JOIN seg ON chr = c AND bp BETWEEN s AND e)"""
+
+
+@query(
+    "chain_liftover",
+    f"""{ctes('assoc', 'genes')}, {_CHAIN_SQL} SELECT snp, chr, bp, CAST(d AS int) AS lifted_chr, lifted_bp,
+CASE WHEN strand = '-' THEN translate(a1, 'ACGT', 'TGCA') ELSE a1 END AS a1 FROM hit WHERE rn = 1""",
+)
+def _(v):
+    path = v.folder("builds.chain")
+    n, c = F.col("n"), F.col("c")
+    heads = v("genes").select(F.col("g_chr").alias("c"), F.floor(F.col("g_start") / 8000000).cast("long").alias("n")).distinct()
+    strand = F.when(n % 2 == 1, "-").otherwise("+")
+    (_, _, one), (t2, q2, two), (t3, q3, three) = _CHAIN_BLOCKS
+    low = n * 8000000
+    number = c * 1000 + n
+    long = F.concat_ws(" ", F.lit("chain 5000"), F.concat(F.lit("chr"), c), F.lit(300000000), F.lit("+"), low, low + t3 + three,
+                       F.concat(F.lit("chr"), c % 22 + 1), F.lit(300000000), strand, low + 250000, low + 250000 + q3 + three, number)
+    blocks = f"\n{one} {t2 - one} {q2 - one}\n{two}\t{t3 - t2 - two}\t{q3 - q2 - two}\n{three}\n"
+    short = F.concat_ws(" ", F.lit("chain"), F.when(n % 3 == 0, 9000).otherwise(100), F.concat(F.lit("chr"), c), F.lit(300000000), F.lit("+"),
+                        low + 600000, low + 1700000, F.concat(F.lit("chr"), c), F.lit(300000000), F.lit("+"), low + 11, low + 1100011, number + 100000)
+    heads.select(F.concat(long, F.lit(blocks), F.lit("\n"), short, F.lit("\n1100000\n")).alias("value")).write.text(path)
+    points = v("assoc").select("snp", "chr", "bp", "a1").distinct()
+    lifted = intervals.liftover(points, genome.read_chains(v.spark, path), alleles=("a1",))
+    return lifted.select("snp", "chr", "bp", "lifted_chr", "lifted_bp", "a1")
+
+
 # --- picks, joins, null rules ----------------------------------------------
 
 
@@ -1395,6 +1432,54 @@ def _(v):
     return delimited.read_sumstats(v.spark, path, schema_of(["SNP", "CHR", "BP", "A1", "A2", "FRQ", "OR"]))
 
 
+_BLOCKED = ["SNP", "CHR", "BP", "A1", "A2", "FRQ", "OR"]
+
+
+@query("block_gzip_sumstats", f"{ctes('assoc')} {_ASSOC_OUT}")
+def _(v):
+    """Gzip in blocks: several tasks read one file."""
+    path = v.folder("sumstats")
+    blockgzip.write_block_gzip(_file_rows(v), path)
+    return blockgzip.read_block_gzip(v.spark, path, schema_of(_BLOCKED), split_bytes=1 << 16)
+
+
+@query("block_gzip_regions", f"{ctes('assoc')} {_ASSOC_OUT} WHERE (chr = 3 AND bp BETWEEN 20000000 AND 60000000) OR (chr = 7 AND bp >= 150000000) OR (chr = 9 AND bp <= 30000000)")
+def _(v):
+    """Only the blocks that meet the regions are read."""
+    path = v.folder("sumstats")
+    blockgzip.write_block_gzip(_file_rows(v).repartitionByRange("CHR", "BP"), path)
+    regions = [(3, 20_000_000, 60_000_000), (7, 150_000_000, None), (9, None, 30_000_000)]
+    return blockgzip.read_block_gzip(v.spark, path, schema_of(_BLOCKED), regions)
+
+
+@query(
+    "extract_sites_by_place",
+    f"""{ctes('assoc', 'sites')} SELECT id, chr, bp, ref, alt, round(af, 6) AS af FROM sites s
+WHERE EXISTS (SELECT 1 FROM assoc a WHERE p < 5e-8 AND a.chr = s.chr AND a.bp = s.bp AND a.chr <= 4)""",
+)
+def _(v):
+    """From a layout by place, of which a list of four chromosomes reads the files of these."""
+    path = v.folder("sites")
+    sites.write_sites(v("sites"), path)
+    wanted = genetics.significant(v("assoc")).filter("chr <= 4")
+    return sites.sites_at(v.spark, path, wanted).withColumn("af", r6("af"))
+
+
+@query(
+    "match_sites_by_place",
+    f"""{ctes('assoc', 'sites')}, vars AS (SELECT DISTINCT snp, chr, bp, a1, a2 FROM assoc WHERE chr <= 4)
+SELECT snp, v.chr, v.bp, a1, a2, round(af, 6) AS af FROM vars v JOIN sites s ON v.chr = s.chr AND v.bp = s.bp AND a1 = ref AND a2 = alt
+UNION ALL SELECT snp, v.chr, v.bp, a1, a2, round(af, 6) AS af FROM vars v
+LEFT JOIN (SELECT * FROM sites WHERE (chr, bp) IN (SELECT (chr, bp) FROM vars)) s ON snp = id WHERE snp IN ('rs3', 'rs6', 'rs7', 'rs99')""",
+)
+def _(v):
+    path = v.folder("sites")
+    sites.write_sites(v("sites"), path)
+    variants = v("assoc").filter("chr <= 4").select("snp", "chr", "bp", "a1", "a2").distinct()
+    near = sites.sites_at(v.spark, path, variants)
+    return joins.match_sites(variants, near, ["rs3", "rs6", "rs7", "rs99"]).withColumn("af", r6("af"))
+
+
 @query(
     "read_studies",
     f"""{ctes('assoc')} SELECT snp AS SNP, chr AS CHR, bp AS BP, a1 AS A1, a2 AS A2, round(frq, 6) AS FRQ, round(odds_ratio, 6) AS "OR",
