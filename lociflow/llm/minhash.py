@@ -265,7 +265,8 @@ def _grouped(docs: DataFrame, n: int, percent: int) -> DataFrame:
     least = members.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     linked_ = members.join(least, "component").select(F.col("id").alias("rep"), "component_id")
     placed = classes.select("rep", "doc_id").join(linked_, "rep", "left")
-    placed = placed.select(F.col("rep").alias("cls"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    # written, so that both sides of the next join are plain exchanges and a class of many copies may be split
+    placed = written(placed.select(F.col("rep").alias("cls"), F.coalesce("component_id", "doc_id").alias("component_id")), "placed")
     found = all_sets.select("doc_id", "th", "n_shingles", "cls").join(placed, "cls", "left")
     # without an id there is nothing to be linked by
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
