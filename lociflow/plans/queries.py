@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import classify, genetics, nulls, text
 from ..operators import harmonise as harm
-from ..operators import intervals, joins, ld, pick, reshape, scans, summarise
+from ..operators import intervals, joins, ld, membership, pick, reshape, scans, summarise
 from ..operators.nearest import nearest
 from ..scale import settle
 from ..sources import blockgzip, delimited, genome, sites, variants
@@ -1126,7 +1126,7 @@ _UPSET = f"""{ctes('located')},
 r AS (SELECT study, chr, bp, order_id, line_no, supp_id, CASE WHEN line_no = 7 THEN NULL ELSE p END AS p, CASE WHEN locus IS NOT NULL THEN
   'chr' || CAST(chr AS string) || ':' || CAST(CAST(floor(bp / 2000000) AS bigint) * 2000000 + 12345 AS string) || '-' || CAST(CAST(floor(bp / 2000000) AS bigint) * 2000000 + 1999999 AS string) END AS locus,
   CASE WHEN order_id % 4 = 0 THEN 'V' || CAST(chr AS string) END AS gvc_gene, 'N' || snp AS gencode_gene,
-  CASE study WHEN 'S2' THEN 1 WHEN 'S0' THEN 2 WHEN 'S1' THEN 3 WHEN 'S4' THEN 4 WHEN 'S3' THEN 5 END AS y FROM located),
+  CASE study WHEN 'S2' THEN 1 WHEN 'S0' THEN 2 WHEN 'S1' THEN 3 WHEN 'S4' THEN 4 WHEN 'S3' THEN 5 WHEN 'S5' THEN 6 END AS y FROM located),
 k AS (SELECT * FROM r WHERE locus IS NOT NULL AND y IS NOT NULL),
 named AS (SELECT locus, coalesce(gvc_gene, gencode_gene) AS gene, row_number() OVER (ORDER BY chr, bp, locus) AS position FROM
   (SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY locus ORDER BY y DESC, order_id, line_no, supp_id, bp) = 1) t),
@@ -1144,7 +1144,7 @@ def _upset(v):
         F.when(F.col("locus").isNotNull(), place).alias("locus"),
         F.when(F.col("order_id") % 4 == 0, F.concat(F.lit("V"), "chr")).alias("gvc_gene"), F.concat(F.lit("N"), "snp").alias("gencode_gene"),
     )
-    return report.upset_table(rows, ["S2", "S0", "S1", "S4", "S3"], [*TIES, "bp"], always=("V7",))
+    return report.upset_table(rows, ["S2", "S0", "S1", "S4", "S3", "S5"], [*TIES, "bp"], always=("V7",))
 
 
 @query(
@@ -1159,11 +1159,39 @@ def _(v):
 
 @query(
     "upset_segments",
-    f"""{_UPSET}, seg AS (SELECT locus, study, CASE study WHEN 'S3' THEN 1 WHEN 'S1' THEN 2 WHEN 'S2' THEN 3 WHEN 'S0' THEN 4 END AS r FROM g WHERE n_sig > 0)
+    f"""{_UPSET}, seg AS (SELECT locus, study, CASE study WHEN 'S3' THEN 1 WHEN 'S1' THEN 2 WHEN 'S2' THEN 3 WHEN 'S0' THEN 4 WHEN 'S5' THEN 5 WHEN 'S4' THEN 6 END AS r FROM g WHERE n_sig > 0)
 SELECT locus, arg_min(study, r) AS start_study, arg_max(study, r) AS end_study FROM seg WHERE r IS NOT NULL GROUP BY locus""",
 )
 def _(v):
-    return report.upset_segments(_upset(v), ["S3", "S1", "S2", "S0"])
+    return report.upset_segments(_upset(v), ["S3", "S1", "S2", "S0", "S5", "S4"])
+
+
+_MEMBERS = f"""{ctes('located')}, m AS (SELECT locus, list_sort(list(DISTINCT study)) AS s FROM located WHERE locus IS NOT NULL GROUP BY locus)"""
+
+
+@query(
+    "membership_reports",
+    f"""{_MEMBERS}, g AS (SELECT array_to_string(s, '&') AS region, count(*) AS n FROM m GROUP BY 1)
+SELECT locus, array_to_string(s, '&') AS region, NOT list_has_any(s, ['S0', 'S1', 'S2', 'S3']) AS novel, list_has_all(s, ['S4', 'S5']) AS shared,
+  CAST(n AS bigint) AS region_loci FROM m JOIN g ON region = array_to_string(s, '&')""",
+)
+def _(v):
+    """Novelty, sharing and regions from one bitmap a locus."""
+    seen = membership.study_membership(v("located"), STUDIES)
+    new = membership.novel(seen, ["S4", "S5"], STUDIES).select("locus", F.lit(True).alias("novel"))
+    sizes = membership.regions(seen, STUDIES).withColumnRenamed("n", "region_loci")
+    shared = membership.seen_by_all(["S4", "S5"], STUDIES)
+    told = seen.select("locus", F.array_join(membership.names_of(STUDIES), "&").alias("region"), shared.alias("shared"))
+    told = told.join(new, "locus", "left").withColumn("novel", F.coalesce("novel", F.lit(False)))
+    return joins.lookup_join(told, sizes, ["region"], "inner").select("locus", "region", "novel", "shared", "region_loci")
+
+
+@query(
+    "membership_grid",
+    f"""{_MEMBERS} SELECT locus, study, list_contains(s, study) AS reported FROM m, (VALUES ('S0'), ('S1'), ('S2'), ('S3'), ('S4'), ('S5')) t(study)""",
+)
+def _(v):
+    return membership.grid(membership.study_membership(v("located"), STUDIES), STUDIES)
 
 
 @query(

@@ -1,11 +1,13 @@
 """Reports on small tables, and the shape of the plans on which scale rests."""
 
+from collections import Counter
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from lociflow import scale
-from lociflow.operators import cells, intervals, joins, ld, pick, summarise
+from lociflow.operators import cells, intervals, joins, ld, membership, pick, summarise
 from lociflow.operators.nearest import nearest
 from lociflow.plans import report
 
@@ -164,3 +166,27 @@ def test_queries_read_no_python_rows(spark):
     covers = cells.explode_interval_cells(spark.range(3), F.col("id"), F.col("id") + 9, 3)
     assert "lambda" not in plan(covers)
     assert joins.extract_sites(spark.range(3).toDF("x"), spark.range(2).toDF("x"), ("x",)).count() == 2
+
+
+@pytest.mark.parametrize("n", [6, 64, 150])
+def test_membership_of_many_studies(spark, n):
+    """Bitmaps of one, one full and three words."""
+    studies = [f"T{i:03d}" for i in range(n)]
+    reported = {f"L{k}": sorted({(k * 7 + j * j) % n for j in range(k % 5 + 1)} | ({n - 1} if k % 3 == 0 else set())) for k in range(40)}
+    data = [(locus, studies[i]) for locus, at in reported.items() for i in at for _ in range(2)] + [("L_other", "unlisted"), (None, studies[0]), ("L1", "unlisted")]
+    seen = membership.study_membership(spark.createDataFrame(data, "locus string, study string"), studies)
+    new, old = studies[n // 2 :], studies[: n // 2]
+    named = {r["locus"]: r["names"] for r in seen.select("locus", membership.names_of(studies).alias("names")).collect()}
+    assert named == {locus: [studies[i] for i in at] for locus, at in reported.items()}
+    assert {r["locus"] for r in membership.novel(seen, new, studies).collect()} == {c for c, s in named.items() if not set(s) & set(old)}
+    both = [studies[0], studies[n - 1]]
+    assert {r["locus"] for r in seen.filter(membership.seen_by_all(both, studies)).collect()} == {c for c, s in named.items() if set(both) <= set(s)}
+    counts = Counter("&".join(s) for s in named.values())
+    assert {r["region"]: r["n"] for r in membership.regions(seen, studies).collect()} == counts
+    assert {(r["locus"], r["study"]) for r in membership.grid(seen, studies).filter("reported").collect()} == {(c, s) for c, ss in named.items() for s in ss}
+
+
+def test_studies_out_of_the_list_are_left_out_of_the_grid(spark):
+    data = [("S1", "chr1:1-9", 1, 5, 0.1, "a", "b"), ("unlisted", "chr2:1-9", 2, 5, 0.1, "a", "b"), ("unlisted", "chr1:1-9", 1, 5, 0.1, "a", "b")]
+    frame = spark.createDataFrame(data, "study string, locus string, chr int, bp long, p double, gvc_gene string, gencode_gene string")
+    assert rows(report.upset_table(frame, ["S1", "S2"], ["bp"]), "study", "locus", "n_sig") == [("S1", "chr1:1-9", 1)]
