@@ -76,7 +76,9 @@ def shared_dir(spark: SparkSession) -> str:
         return current
     if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix="lociflow-")
+    # one folder a session
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="lociflow-"))
+    return sc.getCheckpointDir()
 
 
 def settle(df: DataFrame) -> DataFrame:
