@@ -2,8 +2,14 @@
 
 Each stage takes (spark, docs, sf_dir) and gives a DataFrame, which is written
 and read again as the next one's ``docs``.  All but the last return the columns
-that they were given.  No stage has an exact SQL form, so `ORACLE_SQL` is None and the
-tests compare `run` with brute force.
+that they were given, whatever their names.  No stage has an exact SQL form, so
+`ORACLE_SQL` is None and the tests compare `run` with brute force.
+
+Null and empty texts, and texts without a letter, have no language and go in the
+first stage; without a labelled row the second keeps everything.  Rows of one id and one
+text are one document: all of them stay or go.  Of an id with several texts each row
+is judged by its own.  Rows without an id are learnt from by no stage and linked with
+nothing.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
