@@ -176,7 +176,9 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     # the sample has a proven bound, so it may be sent to every task
     sample = usable.orderBy(F.xxhash64("doc_id"), "doc_id", "_y").limit(sample_rows)
     joined = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    got = _features(joined, ["doc_id", "_y"]).collect()
+    # rows of one id may be many, so what comes to the driver is bounded again, by an order of the rows' own
+    few = joined.orderBy(F.xxhash64("doc_id"), "doc_id", "_y", F.xxhash64("text")).limit(sample_rows)
+    got = _features(few, ["doc_id", "_y"]).collect()
     if not got:
         return constant()
     got = sorted(got, key=lambda r: (r["doc_id"], r["_y"], r["x"]))

@@ -158,8 +158,8 @@ def stream(convs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     vocabulary = vocabulary or public_tokenizers.path(byte_bpe.VOCABULARY)
     turns = _turns(convs)
     nodes = turns.groupBy("path").agg(F.min(F.struct("role", "text")).alias("turn")).select("path", "turn.*")
-    coded = _tokens(nodes, vocabulary)
-    coded = settle(coded.repartitionByRange("path").sortWithinPartitions("path"))
+    # ranges are cut from the nodes, so that each of them is encoded once
+    coded = settle(_tokens(nodes.repartitionByRange("path").sortWithinPartitions("path"), vocabulary))
     # one row a range: where its stream begins, and which nodes of earlier ranges are still open there
     before: dict[int, tuple[int, list[tuple[str, int, int]]]] = {}
     base, carried = 0, []

@@ -261,9 +261,9 @@ def nearest(rows: DataFrame, queries: Column, k: int = 20, key: str = "vec_id",
     blocks = max(1, -(-asked.count() // QUERY_BLOCK))
     block = F.pmod(F.xxhash64(F.lit("block"), F.col("id")), F.lit(blocks)).cast("int")
     # the stated query set meets every shard, in blocks
-    numbers = shards.select("shard").distinct()
-    known = sorted(r["shard"] for r in numbers.collect())
-    sent = asked.select("id", "v", block.alias("block"), F.explode(F.array(*map(F.lit, known)) if known else F.array().cast("array<int>")).alias("shard"))
+    last = shards.agg(F.max("shard")).first()[0]
+    every = F.sequence(F.lit(0), F.lit(last)) if last is not None else F.array().cast("array<int>")
+    sent = asked.select("id", "v", block.alias("block"), F.explode(every).alias("shard"))
     copies = shards.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
     def answer(key_: tuple, asked_: pa.Table, held: pa.Table) -> pa.Table:

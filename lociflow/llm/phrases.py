@@ -248,7 +248,9 @@ def repeats(docs: DataFrame, window: int = WINDOW) -> Repeats:
     found = written(phrases(docs, window), "phrases")
     # all windows of a copy stand in the first document with its words already
     first = found.filter(F.col("n_words") >= window).groupBy("sha256").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
-    copies = found.select("id", "th", "sha256").join(first.filter("n > 1").drop("n"), "sha256").filter("id <> first")
+    # written, so that it may be broadcast, or else both sides of the join are plain exchanges and a text of many copies may be split
+    first = written(first.filter("n > 1").drop("n"), "first-copies")
+    copies = found.select("id", "th", "sha256").join(F.broadcast(first) if fits(first) else first, "sha256").filter("id <> first")
     copies = written(copies.select("id", "th").distinct(), "copies")
     own = found.join(F.broadcast(copies) if fits(copies) else copies, ["id", "th"], "left_anti")
     counted = own.select(F.explode("phrases").alias("phrase")).groupBy("phrase").agg(F.count(F.lit(1)).alias("n"))

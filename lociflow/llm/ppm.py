@@ -32,9 +32,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lociflow.llm.common import column, fresh, held_out, mapped, own, slices, training_row, with_fields
+from lociflow.scale import lookup_join
 
 SAMPLE_DOCS = 400
 SAMPLE_BYTES = 1_500_000
+#: Times as many rows as are wanted that are ranked.
+RANKED = 4
 #: The sample takes no more characters of a text than this part of its bytes.
 TEXT_SHARE = 100
 #: Texts are scored together until they have so many bytes.
@@ -195,11 +198,16 @@ def _sample(docs: DataFrame, sample_docs: int, sample_bytes: int) -> DataFrame:
     """At most so many texts of each language, and of those the ones that end within so many bytes.
 
     Long texts give their beginning only, never more than 4 / `TEXT_SHARE` of the
-    bytes.  Ids and lengths are ranked, and only the chosen texts are read.
+    bytes.  Ids and lengths are ranked, and only the chosen texts are read.  A
+    count of each language bounds the hashes that can be among the first, so
+    only about `RANKED` times as many rows as are wanted come to the ranking.
     """
     begin = F.substring("text", 1, max(1, sample_bytes // TEXT_SHARE))
     usable = docs.filter(training_row(F.col("doc_id")) & F.col("lang").isNotNull() & (F.length("text") > 0))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "th")
+    usable = lookup_join(usable, usable.groupBy("lang").agg(F.count(F.lit(1)).alias("_all")), "lang")
+    place = F.xxhash64("doc_id").cast("double") / 2.0**64 + 0.5
+    usable = usable.filter(place * F.col("_all") <= RANKED * sample_docs)
     first = usable.select("doc_id", "lang", F.xxhash64("text").alias("th"), F.octet_length(begin).alias("n"))
     first = first.withColumn("_row", F.row_number().over(order)).filter(F.col("_row") <= sample_docs)
     upto = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))

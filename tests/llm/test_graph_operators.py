@@ -255,6 +255,20 @@ def test_escapes_are_undone(text):
     assert chat_tree.unescape(escaped) == text and not any(c in escaped for c in chat_tree.CONTROL)
 
 
+def test_chats_of_many_turns_and_clashing_columns(spark):
+    """A conversation of a thousand turns, two that share its beginning, and columns with names of the operator's own."""
+    long = [(1, t, "user" if t % 2 == 0 else "assistant", f"turn {t}") for t in range(1000)]
+    others = [(c, t, "user" if t % 2 == 0 else "assistant", f"turn {t}" if t < 400 else f"own {c}") for c in (2, 3) for t in range(401)]
+    frame = spark.createDataFrame([*long, *others, (4, 0, None, None)], "conv_id long, turn long, role string, text string")
+    for name in ("path", "ids", "start", "n_tokens", "turns", "position", "loss_from", "part", "a.b"):
+        frame = frame.withColumn(name, F.lit("x"))
+    got = {r["conv_id"]: r for r in chat_tree.format_and_read(frame).collect()}
+    assert {c: r["n_turns"] for c, r in got.items()} == {1: 1000, 2: 401, 3: 401, 4: 1}
+    said = "".join(f"{r}\n{t}\n" for _, _, r, t in long)
+    assert got[1]["turns_sha256"] == hashlib.sha256(said.encode()).hexdigest()
+    assert got[4]["turns_sha256"] == hashlib.sha256(b"\n\n").hexdigest()
+
+
 def test_no_chats(spark):
     assert chat_tree.format_and_read(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
 

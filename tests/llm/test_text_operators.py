@@ -385,6 +385,49 @@ def test_open_buckets_are_compared_in_blocks(spark, monkeypatch):
     assert len(set(got.values())) < len(got)
 
 
+# --- one split at a time
+
+
+def _grown(x, y, trees, depth, rate):
+    """Trees by trying every feature and cut at every node, row by row."""
+    n = len(y)
+    share = (sum(y) + 1) / (n + 2)
+    total = [float(np.log(share / (1 - share)))] * n
+    cuts = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, boosted.BINS + 1)[1:-1])) for j in range(x.shape[1])]
+    for _ in range(trees):
+        p = [1 / (1 + np.exp(-t)) for t in total]
+        g, h = [a - b for a, b in zip(y, p, strict=True)], [b * (1 - b) for b in p]
+        groups = [list(range(n))]
+        for _ in range(depth):
+            below = []
+            for rows_ in groups:
+                best = (1e-6, None, None)
+                for j, points in enumerate(cuts):
+                    for cut in points:
+                        low, high = [i for i in rows_ if x[i, j] <= cut], [i for i in rows_ if x[i, j] > cut]
+                        if min(len(low), len(high)) < boosted.MIN_ROWS:
+                            continue
+                        score = [sum(g[i] for i in part) ** 2 / (sum(h[i] for i in part) + 1) for part in (low, high, rows_)]
+                        gain = score[0] + score[1] - score[2]
+                        if gain > best[0] * (1 + 1e-9):
+                            best = (gain, low, high)
+                below += [rows_, []] if best[1] is None else [best[1], best[2]]
+            groups = below
+        for rows_ in groups:
+            value = rate * sum(g[i] for i in rows_) / (sum(h[i] for i in rows_) + 1)
+            for i in rows_:
+                total[i] += value
+    return [1 / (1 + np.exp(-t)) for t in total]
+
+
+def test_trees_are_those_of_trying_every_split():
+    r = np.random.default_rng(6)
+    x = np.round(r.normal(size=(260, 3)), 1)
+    y = (x[:, 0] + 0.5 * x[:, 1] ** 2 + r.normal(size=260) > 0.3).astype(float)
+    forest = boosted.grow(x, y, trees=3, depth=2, rate=0.3)
+    assert forest.score(x) == pytest.approx(_grown(x, y, 3, 2, 0.3), abs=1e-9)
+
+
 # --- packing
 
 
