@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.nulls import _col
+from ..scale import fits, settle
 from .joins import null_safe_join
 from .scans import number_rows
 
@@ -105,13 +106,21 @@ def nest(df: DataFrame, keys: list[str], out: str = "data", part: str = "part",
 
     A group has a row for every ``max_rows`` of its rows, numbered from 0 by
     ``part``, so no array grows with the data.  Counts of a group come from an
-    aggregate over its parts.
+    aggregate over its parts.  Groups that fit one row are gathered as they
+    are; only the rows of larger ones are put in order to cut them.
     """
     rest = [c for c in df.columns if c not in keys]
-    numbered = number_rows(df, [*keys, *rest], "_at")
+    gathered = F.array_sort(F.collect_list(F.struct(*rest))).alias(out)
+    large = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_rows).withColumn("_large", F.lit(True)).drop("_n")
+    large = settle(large)
+    if large.isEmpty():
+        return df.groupBy(*keys).agg(gathered).select(*keys, F.lit(0).alias(part), out)
+    told = null_safe_join(df, F.broadcast(large) if fits(large) else large, keys)
+    small = told.filter("_large IS NULL").groupBy(*keys).agg(gathered).select(*keys, F.lit(0).alias(part), out)
+    numbered = number_rows(told.filter("_large").drop("_large"), [*keys, *rest], "_at")
     first = numbered.groupBy(*keys).agg(F.min("_at").alias("_first"))
     parts = null_safe_join(numbered, first, keys).withColumn(part, F.floor((F.col("_at") - F.col("_first")) / max_rows).cast("int"))
-    return parts.groupBy(*keys, part).agg(F.array_sort(F.collect_list(F.struct(*rest))).alias(out))
+    return small.unionByName(parts.groupBy(*keys, part).agg(gathered))
 
 
 def unnest(df: DataFrame, col: str) -> DataFrame:
