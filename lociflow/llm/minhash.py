@@ -190,10 +190,7 @@ def _rest(buckets: DataFrame, classes: DataFrame, joined: DataFrame, docs: DataF
     least = percent / 100 - SLACK
 
     def compare(group: pa.Table) -> pa.Table:
-        names = sorted({*group.column("rep").to_pylist(), *group.column("component").to_pylist()})
-        number = {name: k for k, name in enumerate(names)}
-        ids, comp = (np.array([number[x] for x in group.column(c).to_pylist()]) for c in ("rep", "component"))
-        own = np.asarray(group.column("own"))
+        ids, comp, own = (np.asarray(group.column(c)) for c in ("rep", "component", "own"))
         sign = np.frombuffer(b"".join(group.column("signature").to_pylist()), np.uint8).reshape(len(ids), -1)
         full = [np.frombuffer(h, np.uint64) for h in group.column("hashes").to_pylist()]
         size = np.array([len(h) for h in full])
@@ -223,11 +220,11 @@ def _rest(buckets: DataFrame, classes: DataFrame, joined: DataFrame, docs: DataF
             p, q = root(int(comp[x])), root(int(comp[y]))
             if p != q and linked(full[x], full[y], percent):
                 top[max(p, q)] = min(p, q)
-                a.append(names[min(ids[x], ids[y])])
-                b.append(names[max(ids[x], ids[y])])
-        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+                a.append(min(ids[x], ids[y]))
+                b.append(max(ids[x], ids[y]))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return held.join(known, "rep").groupBy("key", "i", "j").applyInArrow(compare, "a binary, b binary")
+    return held.join(known, "rep").groupBy("key", "i", "j").applyInArrow(compare, "a long, b long")
 
 
 def _full_sets(asked: DataFrame, classes: DataFrame, docs: DataFrame, n: int) -> DataFrame:
@@ -238,17 +235,19 @@ def _full_sets(asked: DataFrame, classes: DataFrame, docs: DataFrame, n: int) ->
             made = pa.array([shingles(t, n).tobytes() for t in column(part, "text")], pa.binary())
             yield pa.RecordBatch.from_arrays([part.column(0), made], ["rep", "hashes"])
 
-    return _texts(asked, classes, docs).mapInArrow(run, "rep binary, hashes binary")
+    return _texts(asked, classes, docs).mapInArrow(run, "rep long, hashes binary")
 
 
 def _grouped(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """(doc_id, th, n_shingles, component_id, kept) for every row of `_hashed`."""
     all_sets = written(sets(docs, n), "shingle-sets")
     filled = all_sets.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = filled.groupBy(F.col("cls").alias("rep")).agg(
+    classes = filled.groupBy("cls").agg(
         F.min(F.struct("doc_id", "th")).alias("low"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys"), F.first("signature").alias("signature")
     )
-    classes = written(classes.select("rep", "low.doc_id", "low.th", "n", "keys", "signature"), "classes")
+    # a class gets a number of its own as it is written, and keeps it
+    number = F.monotonically_increasing_id().alias("rep")
+    classes = written(classes.select(number, "cls", "low.doc_id", "low.th", "n", "keys", "signature"), "classes")
 
     buckets = classes.select("rep", F.explode("keys").alias("key"))
     hubs = buckets.groupBy("key").agg(F.min("rep").alias("hub"), F.count(F.lit(1)).alias("members")).filter("members > 1")
@@ -264,9 +263,9 @@ def _grouped(docs: DataFrame, n: int, percent: int) -> DataFrame:
     members = members.join(classes.select(F.col("rep").alias("id"), "doc_id"), "id")
     least = members.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     linked_ = members.join(least, "component").select(F.col("id").alias("rep"), "component_id")
-    placed = classes.select("rep", "doc_id").join(linked_, "rep", "left")
+    placed = classes.select("rep", "cls", "doc_id").join(linked_, "rep", "left")
     # written, so that both sides of the next join are plain exchanges and a class of many copies may be split
-    placed = written(placed.select(F.col("rep").alias("cls"), F.coalesce("component_id", "doc_id").alias("component_id")), "placed")
+    placed = written(placed.select("cls", F.coalesce("component_id", "doc_id").alias("component_id")), "placed")
     found = all_sets.select("doc_id", "th", "n_shingles", "cls").join(placed, "cls", "left")
     # without an id there is nothing to be linked by
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
