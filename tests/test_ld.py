@@ -60,6 +60,24 @@ def test_rounds_follow_blocks_and_not_chains(spark, monkeypatch):
     assert len(rounds) == 2
 
 
+def test_blocks_hold_a_bounded_number_of_pairs(spark):
+    """A dense island, one of whose variants is near all others: blocks follow pairs, and the fold gives the greedy pass."""
+    n, most = 400, 300
+    links = {(i, j) for i in range(n) for j in range(i + 1, min(i + 11, n))} | {(0, j) for j in range(1, n)} | {(i, n - 1) for i in range(n - 1)}
+    rank = lambda i: f"{i:019d}:rs{i}"
+    placed = spark.createDataFrame([(1, rank(a), rank(b), 0) for a, b in sorted(links)], "chr int, a string, b string, _island long")
+    block = {int(r["v"][:19]): (r["k"], r["i"]) for r in ld._ranked(placed, most).collect()}
+    assert sorted(block, key=block.get) == list(range(n)) and max(k for k, _ in block.values()) > 10
+    for k in {k for k, _ in block.values()}:
+        members = [v for v, (b, _) in block.items() if b == k]
+        inside = sum(block[a][0] == k == block[b][0] for a, b in links)
+        assert [block[v][1] for v in sorted(members)] == list(range(len(members))) and len(members) + inside <= 2 * most
+    variants = [(1, i, f"rs{i}", 0.3) for i in range(n)]
+    pairs = [(1, f"rs{a}", f"rs{b}", 0.5) for a, b in links if 0 not in (a, b)]
+    got = ld.ld_clip(spark.createDataFrame(variants, "chr int, bp bigint, snp string, maf double"), spark.createDataFrame(pairs, "chr int, snp_a string, snp_b string, r2 double"), block=2000)
+    assert {(r.chr, r.snp): (r.kept, r.keeper) for r in got.collect()} == greedy(variants, pairs)
+
+
 @pytest.mark.parametrize("window,tile", [(30, 64), (1000, 64), (1000, 2), (20, 1)])
 def test_pairs_equal_direct_correlation(spark, monkeypatch, window, tile):
     monkeypatch.setattr(ld, "RUN_WORDS", 2 if window == 1000 else 1024)
