@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import classify, genetics, nulls, text
 from ..operators import harmonise as harm
 from ..operators import intervals, joins, ld, membership, pick, reshape, scans, summarise
-from ..operators.nearest import nearest
+from ..operators.nearest import nearest, nearest_in_sets
 from ..scale import settle
 from ..sources import blockgzip, delimited, genome, sites, variants
 from ..sources.schemas import schema_of
@@ -1775,14 +1775,11 @@ def _(v):
     )
     population = annotate.annotate_frequency(vars_, sites).select("snp", "gnomad_minor", "gnomad_maf")
     on = ("g_chr", "g_start", "g_end")
-    near = nearest(points, v("genes"), interval_on=on).select(
-        "snp", F.col("gene_name").alias("gencode_gene"), F.col("dist").alias("gencode_dist"), "direction"
-    )
     passing = v("tiers").filter("tier = 'Tier 1'").select(F.col("gene").alias("gene_name"))
-    listed = v("genes").join(passing, "gene_name", "left_semi")
-    near_listed = nearest(points, listed, interval_on=on, max_dist=500_000).select(
-        "snp", F.col("gene_name").alias("gvc_gene"), F.col("dist").alias("gvc_dist")
-    )
+    sets = {"all": v("genes"), "listed": v("genes").join(passing, "gene_name", "left_semi")}
+    near = nearest_in_sets(points, sets, interval_on=on, max_dist={"listed": 500_000})
+    near_all = near["all"].select("snp", F.col("gene_name").alias("gencode_gene"), F.col("dist").alias("gencode_dist"), "direction")
+    near_listed = near["listed"].select("snp", F.col("gene_name").alias("gvc_gene"), F.col("dist").alias("gvc_dist"))
     out = annotate.combine(
         assoc=assoc,
         extra=extra,
@@ -1793,7 +1790,7 @@ def _(v):
         ),
         frequency=frequency,
         population=population,
-        nearest_gene=near,
+        nearest_gene=near_all,
         nearest_listed=near_listed,
         consequence=annotate.annotate_consequence(v("ann"), _FIELDS).select("snp", "allele", "annotation_impact", "hgvs_p"),
         family="^FAM",

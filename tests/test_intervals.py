@@ -7,7 +7,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from lociflow.operators import cells, intervals, scans
-from lociflow.operators.nearest import nearest
+from lociflow.operators.nearest import nearest, nearest_in_sets
 
 
 def random_spans(seed, n_chr=60, most=12, top=60, long=15):
@@ -130,6 +130,26 @@ def test_nearest_equals_a_scan(spark, max_rows):
     assert rows(got, "chr", "bp", "gene_name", "dist", "direction") == sorted(want, key=key)
 
 
+@pytest.mark.parametrize("max_rows", [10_000, 0])
+def test_nearest_in_sets_is_nearest_of_each(spark, max_rows):
+    rng = random.Random(8)
+    genes = [(c, s, e, i, f"g{i}") for i, (c, s, e) in enumerate(random_spans(9, most=6, long=12))]
+    genes.append((None, 5, 9, 10_000, "nowhere"))
+    # chromosomes whose names begin alike, and one that is missing
+    points = [(rng.choice([1, 2, 11, 12, None]), rng.randint(-3, 90)) for _ in range(200)]
+    l = spark.createDataFrame(points, "chr int, bp bigint")
+    g = spark.createDataFrame(genes, "g_chr int, s bigint, e bigint, gene_ord int, gene_name string")
+    sets = {"third": g.filter("gene_ord % 3 = 0"), "none": g.filter("gene_ord < 0"), "all": g}
+    got = nearest_in_sets(l, sets, interval_on=("g_chr", "s", "e"), max_dist={"all": 4}, max_rows=max_rows)
+    assert list(got) == list(sets)
+    columns = ("chr", "bp", "gene_name", "dist", "direction")
+    for name in sets:
+        alone = nearest(l, sets[name], interval_on=("g_chr", "s", "e"), max_dist=4 if name == "all" else None, max_rows=max_rows)
+        assert got[name].columns == alone.columns
+        assert rows(got[name], *columns) == rows(alone, *columns)
+    assert nearest_in_sets(l, {}) == {}
+
+
 def test_nearest_on_another_chromosome_is_ignored(spark):
     l = spark.createDataFrame([(1, 100)], "chr int, bp bigint")
     g = spark.createDataFrame([(2, 100, 100, 0, "wrong"), (1, 900, 950, 1, "right"), (1, 2_000_000, 2_000_001, 2, "far")], "g_chr int, s bigint, e bigint, gene_ord int, gene_name string")
