@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 from conftest import rows
@@ -166,6 +167,69 @@ def test_frames_are_as_long_as_the_definition_says(n):
     assert bits <= frame <= bits * 1.01 + lanes * (32 + 64)
 
 
+def test_a_very_long_document_comes_back():
+    # its counts add up to more than 2**27
+    ids = np.random.default_rng(1).integers(0, 50_257, 4_400_000)
+    assert (range_coder.decode_block(range_coder.encode_block(ids, 50_257)) == ids).all()
+
+
+def test_full_counts_stay(monkeypatch):
+    ids = np.random.default_rng(2).integers(0, 900, 20_000)
+    sizes = []
+    for full in (1 << 30, 40_000):
+        monkeypatch.setattr(range_coder, "_FULL", full)
+        frame = range_coder.encode_block(ids, 1000)
+        sizes.append(len(frame))
+        assert (range_coder.decode_block(frame) == ids).all()
+    assert sizes[0] != sizes[1]
+
+
+def test_only_ids_in_use_are_summed_and_searched():
+    space, seen, rng = 5000, set(), np.random.default_rng(3)
+    model = range_coder.Model(space)
+    before = np.full(60, space)
+    for _ in range(30):
+        ids = rng.zipf(1.3, 60) % space
+        model.predict(before, before)
+        model.learn(ids, np.zeros(60, np.int64), ids)
+        seen.update(ids.tolist())
+        if model.written:
+            continue
+        assert model.used == len(seen) and set(model.id_at[: model.used].tolist()) == seen
+        assert (model.place[model.id_at] == np.arange(space)).all()
+        start, width = model.stretch(np.arange(space))
+        assert start[0] == 0 and (start[1:] == (start + width)[:-1]).all() and start[-1] + width[-1] == model.total
+        marks = np.arange(int(model.total), dtype=np.uint64)
+        assert (model.find(marks) == np.searchsorted(start, marks, side="right") - 1).all()
+
+
+@pytest.mark.parametrize("letters", ["абвгде", "abcdef", "àéîõüÿ", "a’б÷×ß"])
+@pytest.mark.parametrize("end", [" ", "\n"])
+def test_new_words_go_to_the_tokenizer_together(letters, end, monkeypatch):
+    rng = np.random.default_rng(4)
+    words = ["".join(rng.choice(list(letters), 6)) for _ in range(1500)]
+    text = "".join(w + " " if i % 2 else w + end for i, w in enumerate(words))[:-1]
+    encoder = range_coder._Encoder(P.path(range_coder.TOKENIZER))
+    want, asked, ids_of = encoder.tokenizer.encode(text, add_special_tokens=False).ids, [], encoder._ids
+    monkeypatch.setattr(encoder, "_ids", lambda texts: asked.extend(texts) or ids_of(texts))
+    half = text[: text.index(" ", 5000)]
+    got = encoder.encode_all([half, text])
+    assert np.frombuffer(got[1], "<u4").tolist() == want and np.frombuffer(got[0], "<u4").tolist() == want[: len(got[0]) // 4]
+    assert len(asked) < 20
+
+
+@settings(max_examples=100, deadline=None)
+@given(
+    st.lists(st.one_of(st.none(), st.lists(st.sampled_from(["one", " ", " two", "\n", "\n\n", "'s", "' re", "×", "÷a", "é", "<|endoftext|>", "7", "!?", "…", "\u2003", "字"]), max_size=12).map("".join)), min_size=3, max_size=6),
+    st.integers(0, 2),
+)
+def test_ids_of_slices_of_arrow_are_those_of_the_texts(texts, skipped):
+    encoder = range_coder._encoder(P.path(range_coder.TOKENIZER))
+    got = encoder.encode_all(pa.array(texts, pa.string()).slice(skipped))
+    whole = [encoder.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts[skipped:]]
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in got] == whole
+
+
 def test_token_files_of_no_rows(none):
     assert range_coder.read_ids(range_coder.write_ids(none)).count() == 0
 
