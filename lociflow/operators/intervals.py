@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.nulls import if_else
-from ..scale import BROADCAST_ROWS, Size, measure, settle, split_hot_join
+from ..scale import BROADCAST_ROWS, Size, measure, merge_join, settle, split_hot_join
 from . import scans
 from .cells import explode_interval_cells, explode_point_cells, levels_for
 
@@ -170,7 +170,7 @@ def overlap_join(
         pairs = pairs.groupBy("_chr", "_s", "_e").agg(least).select(
             "_chr", "_s", "_e", *[F.col(f"_least._v_{c}").alias(c) for c in rest]
         )
-    return spans.join(pairs, ["_chr", "_s", "_e"], how).drop("_chr", "_s", "_e")
+    return merge_join(spans, pairs, ["_chr", "_s", "_e"], how).drop("_chr", "_s", "_e")
 
 
 def liftover(

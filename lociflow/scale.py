@@ -163,6 +163,15 @@ def lookup_join(
     return left.join(F.broadcast(right) if fits(right, max_rows) else right, on, how)
 
 
+def merge_join(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Equi-join of two sides of which none is proved small, by sorting.
+
+    Spark judges a side by the size of its files, which leaves out what explode
+    makes of a row and what compression hides, and would send such a side through the driver.
+    """
+    return left.join(right.hint("merge"), on, how)
+
+
 # Rows of one key that may meet the other side in one task.
 HOT_ROWS = 8192
 
@@ -173,7 +182,7 @@ def split_hot_join(left: DataFrame, right: DataFrame, keys: list[str], hot_rows:
     AQE splits partitions by their size in bytes, not by what they produce.
     Here a key with more than ``hot_rows`` rows on the right is cut into shares
     by a hash of the whole row, and the left rows of that key go to every
-    share.  Without such keys it is a plain join.
+    share.  Without such keys it is a plain `merge_join`.
     """
     hot = (
         right.groupBy(*keys)
@@ -182,8 +191,8 @@ def split_hot_join(left: DataFrame, right: DataFrame, keys: list[str], hot_rows:
         .select(*keys, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_shares"))
     )
     if hot.isEmpty():
-        return left.join(right, keys)
+        return merge_join(left, right, keys)
     shares = F.coalesce("_shares", F.lit(1))
     cut = right.join(hot, keys, "left").withColumn("_share", F.pmod(F.xxhash64(*right.columns), shares).cast("int"))
     sent = left.join(hot, keys, "left").withColumn("_share", F.explode(F.sequence(F.lit(0), shares - 1)))
-    return sent.drop("_shares").join(cut.drop("_shares"), [*keys, "_share"]).drop("_share")
+    return merge_join(sent.drop("_shares"), cut.drop("_shares"), [*keys, "_share"]).drop("_share")

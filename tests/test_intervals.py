@@ -199,3 +199,21 @@ def test_small_right_sides_leave_the_left_unshuffled(spark):
         want = intervals.overlap_join(spans, right, ("chr", "s", "e"), on, first_by=first_by, max_rows=0)
         got = intervals.overlap_join(spans, right, ("chr", "s", "e"), on, first_by=first_by)
         assert rows(got, "s", "e", "start", "ord") == rows(want, "s", "e", "start", "ord")
+
+
+def spans_in_files(spark, path):
+    """Few enough bytes for Spark to take their exploded cells for small."""
+    spark.createDataFrame([(1, s, s + 9_000, s) for s in range(0, 60_000, 100)], "g_chr int, g_start bigint, g_end bigint, gene_ord bigint").write.parquet(f"{path}/genes")
+    return spark.read.parquet(f"{path}/genes")
+
+
+@pytest.mark.parametrize("left_on", [("chr", "bp"), ("chr", "bp", "stop")])
+def test_a_side_not_proved_small_is_never_broadcast(spark, tmp_path, left_on):
+    genes = spans_in_files(spark, tmp_path)
+    points = spark.range(0, 60_000, 500).select(F.lit(1).alias("chr"), F.col("id").alias("bp"), (F.col("id") + 400).alias("stop"))
+    on = ("g_chr", "g_start", "g_end")
+    hit = intervals.overlap_join(points, genes, left_on, on, how="inner", reach=0, max_rows=10)
+    plan = hit._jdf.queryExecution().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    reach = 400 if len(left_on) == 3 else 0
+    assert hit.count() == sum(s <= p + reach and p <= s + 9_000 for p in range(0, 60_000, 500) for s in range(0, 60_000, 100))
