@@ -7,7 +7,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from lociflow.operators import cells, intervals, scans
-from lociflow.operators.nearest import nearest, nearest_in_sets
+from lociflow.operators.nearest import _first_cover, nearest, nearest_in_sets
 
 
 def random_spans(seed, n_chr=60, most=12, top=60, long=15):
@@ -217,3 +217,13 @@ def test_a_side_not_proved_small_is_never_broadcast(spark, tmp_path, left_on):
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
     reach = 400 if len(left_on) == 3 else 0
     assert hit.count() == sum(s <= p + reach and p <= s + 9_000 for p in range(0, 60_000, 500) for s in range(0, 60_000, 100))
+
+
+def test_cells_of_the_segment_map_are_never_broadcast(spark, tmp_path):
+    genes = spans_in_files(spark, tmp_path)
+    spans = genes.select(F.col("g_chr").alias("_chr"), F.struct(F.col("gene_ord").alias("ord"), F.col("g_start").alias("s"), F.col("g_end").alias("e")).alias("g"))
+    cuts = spark.range(0, 60_000, 500).select(F.lit(1).alias("_chr"), F.col("id").alias("_at"))
+    cover = _first_cover(cuts, spans)
+    plan = cover._jdf.queryExecution().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    assert rows(cover.select("_at", "_cover.ord")) == [(p, max(0, -(-(p - 9_000) // 100) * 100)) for p in range(0, 60_000, 500)]
