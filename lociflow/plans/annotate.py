@@ -11,7 +11,7 @@ from ..operators.intervals import overlap_join
 from ..operators.joins import inherit_from, match_sites
 from ..operators.pick import best_per, first_per
 from ..operators.reshape import explode_list, separate, stack
-from ..scale import settle
+from ..scale import merge_join, settle
 
 # Biotypes kept when picking a variant's first transcript.
 WANTED_BIOTYPES = ["", "protein_coding"]
@@ -115,8 +115,8 @@ def combine(
     # shuffled once, however many annotations there are
     known = rows.select("snp").distinct()
     for side in (frequency, population, placed, nearest_gene, nearest_listed, consequence):
-        known = known.join(side, "snp", "left")
-    out = rows.join(known, "snp", "left")
+        known = merge_join(known, side, "snp", "left")
+    out = merge_join(rows, known, "snp", "left")
     out = inherit_from(out, placed, family, family_source, ["locus", "cytoband", "locus_ld"])
     is_member = F.coalesce(F.col("snp").rlike(family), F.lit(False))
     out = out.withColumns(

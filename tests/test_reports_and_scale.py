@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from lociflow import scale
 from lociflow.operators import cells, intervals, joins, ld, membership, pick, summarise
 from lociflow.operators.nearest import nearest
-from lociflow.plans import report
+from lociflow.plans import annotate, report
 
 
 def plan(df) -> str:
@@ -190,3 +190,30 @@ def test_studies_out_of_the_list_are_left_out_of_the_grid(spark):
     data = [("S1", "chr1:1-9", 1, 5, 0.1, "a", "b"), ("unlisted", "chr2:1-9", 2, 5, 0.1, "a", "b"), ("unlisted", "chr1:1-9", 1, 5, 0.1, "a", "b")]
     frame = spark.createDataFrame(data, "study string, locus string, chr int, bp long, p double, gvc_gene string, gencode_gene string")
     assert rows(report.upset_table(frame, ["S1", "S2"], ["bp"]), "study", "locus", "n_sig") == [("S1", "chr1:1-9", 1)]
+
+
+def test_annotations_of_the_combined_table_are_not_broadcast(spark, tmp_path):
+    """Files small enough for Spark to send whole annotation tables through the driver."""
+    def table(name, rows_in, schema):
+        spark.createDataFrame(rows_in, schema).write.parquet(f"{tmp_path}/{name}")
+        return spark.read.parquet(f"{tmp_path}/{name}")
+
+    ids = [f"rs{i}" for i in range(20)]
+    assoc_schema = "snp string, chr int, bp bigint, a1 string, a2 string, gene string, frq double, odds_ratio double, p double, study string"
+    out = annotate.combine(
+        assoc=table("assoc", [(s, 1, 10 * i, "A", "C", "g", 0.1, 2.0, 1e-9, "S") for i, s in enumerate(ids)], assoc_schema),
+        extra=table("extra", [("FAM 1", 1, 5, "TT", "CC", "FAM", 0.2, 1.5, 1e-9, "X"), ("rs90", 1, 5, "A", "C", "other", 0.2, 1.5, 1e-9, "X")], assoc_schema),
+        tags=table("tags", [(s, 1, 10 * i, i) for i, s in enumerate(ids)], "snp string, chr int, bp bigint, locus_ld bigint"),
+        loci=table("loci", [(1, 0, 1000, "chr1:0-1000")], "chr int, start bigint, end bigint, locus string"),
+        bands=table("bands", [(1, 0, 1000, "1q0")], "chr int, start bigint, end bigint, cytoband string"),
+        frequency=table("frequency", [(s, "C", "A", 0.2, 0.2) for s in ids[1:]], "snp string, major string, minor string, global_maf double, global_af double"),
+        population=table("population", [(s, "A", 0.3, 0.3) for s in ids[2:]], "snp string, gnomad_minor string, gnomad_af double, gnomad_maf double"),
+        nearest_gene=table("near", [(s, f"G{s}", 7) for s in ids], "snp string, gencode_gene string, gencode_dist bigint"),
+        nearest_listed=table("listed", [(s, f"L{s}") for s in ids[3:]], "snp string, gvc_gene string"),
+        consequence=table("consequence", [(s, "A", "p.Arg1Ile") for s in ids], "snp string, allele string, hgvs_p string"),
+        family="^FAM",
+        family_source="rs8",
+    )
+    assert "SortMergeJoin [snp" in plan(out) and "BroadcastHashJoin [snp" not in plan(out)
+    got = {r.snp: r for r in out.collect()}
+    assert len(got) == 21 and got["FAM 1"].locus_ld == 8 and got["rs0"].global_maf is None and got["rs5"].gencode_gene == "Grs5" and got["rs2"].gvc_gene is None
