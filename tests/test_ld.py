@@ -133,3 +133,29 @@ def test_tags_numbers_and_leads(spark):
     assert rows(numbered, "snp", "locus_ld") == [("rs0", 3), ("rs1", 1), ("rs2", 1), ("rs3", 2)]
     assoc = spark.createDataFrame([("rs1", 1e-9), ("rs2", 1e-10), ("rs2", 1e-2), ("rs3", None)], "snp string, p double")
     assert rows(ld.clump_leads(numbered, assoc), "snp", "tag_clump") == [("rs0", "rs0"), ("rs1", "rs2"), ("rs2", "rs2"), ("rs3", "rs3")]
+
+
+def test_pairs_are_made_by_a_compiled_join(spark):
+    """No lambda over the words of a pair, and the sums of a pair stay in the task that made it."""
+    doses = [(s, 1, 10 * v, f"rs{v}", (s * v) % 3) for s in range(300) for v in range(6)]
+    df = ld.ld_pairs(spark.createDataFrame(doses, "sample_id bigint, chr int, bp bigint, snp string, dosage int"), 1000)
+    plan = df.sparkSession._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")
+    assert "zip_with" not in plan and "SortMergeJoin" in plan
+    assert not any("Exchange" in line and "_id_x" in line for line in plan.splitlines())
+    assert df.count() == 15
+
+
+def test_planes_hold_only_the_words_of_their_variant(spark):
+    """Variants without a common sample give no pair, and of several rows of a sample the largest dose counts."""
+    doses = [(s, 1, 5, "a", s % 3) for s in range(640, 660)] + [(640, 1, 5, "a", 2), (641, 1, 5, "a", None)]
+    doses += [(s, 1, 6, "b", (s + 1) % 3) for s in range(650, 720)] + [(s, 1, 7, "c", 1) for s in range(20)] + [(3, 1, 8, "none", None)]
+    df = spark.createDataFrame(doses, "sample_id bigint, chr int, bp bigint, snp string, dosage int")
+    words = ld.planes(df)
+    assert rows(words.selectExpr("snp", "_lo", "size(p)")) == [("a", 10, 1), ("b", 10, 2), ("c", 0, 1), ("none", 0, 1)]
+    best = df.groupBy("sample_id", "chr", "bp", "snp").agg({"dosage": "max"}).withColumnRenamed("max(dosage)", "dosage")
+    assert rows(ld.maf_of_planes(words)) == rows(ld.allele_maf(best))
+    got = ld.ld_pairs(df, 1000).collect()
+    assert [(r.snp_a, r.snp_b, r.n) for r in got] == [("a", "b", 10)]
+    # a list that has a variant twice gives its pairs twice
+    twice = ld.ld_pairs_of_planes(words.unionByName(words.filter("snp = 'a'")), 1000)
+    assert rows(twice) == [tuple(got[0])] * 2
