@@ -1336,9 +1336,10 @@ _WINDOW = 1_000_000
 
 
 def _clip(v):
-    dosage = v("dosage")
-    pairs = ld.ld_pairs(dosage, _WINDOW, min_r2=ld.R2_THRESHOLD, min_maf=ld.MAF_THRESHOLD)
-    return ld.ld_clip(ld.allele_maf(dosage), pairs)
+    # pairs and frequencies read one set of planes
+    planes = settle(ld.planes(v("calls")))
+    pairs = ld.ld_pairs_of_planes(planes, _WINDOW, min_r2=ld.R2_THRESHOLD, min_maf=ld.MAF_THRESHOLD)
+    return ld.ld_clip(ld.maf_of_planes(planes), pairs)
 
 
 @query("ld_pairs", f"{_LD} SELECT chr, snp_a, bp_a, snp_b, bp_b, n, round(r2, 6) AS r2 FROM pairs")
@@ -1362,7 +1363,7 @@ def _(v):
 SELECT l.snp, l.chr, l.bp, coalesce(keeper, l.snp) AS tag, c.snp IS NOT NULL AS in_panel FROM listed l LEFT JOIN clip c ON c.snp = l.snp""",
 )
 def _(v):
-    sites = v("dosage").select("snp", "chr", "bp").distinct()
+    sites = v("calls").select("snp", "chr", "bp").distinct()
     absent = sites.filter("bp < 20000000").select(F.concat(F.lit("new"), "snp").alias("snp"), "chr", (F.col("bp") + 5).alias("bp"))
     return ld.with_tags(_clip(v), sites.unionByName(absent)).select("snp", "chr", "bp", "tag", "in_panel")
 

@@ -159,3 +159,13 @@ def test_planes_hold_only_the_words_of_their_variant(spark):
     # a list that has a variant twice gives its pairs twice
     twice = ld.ld_pairs_of_planes(words.unionByName(words.filter("snp = 'a'")), 1000)
     assert rows(twice) == [tuple(got[0])] * 2
+
+
+def test_pruning_reads_the_reports_once_for_pairs_and_frequencies(spark, monkeypatch):
+    from lociflow.plans import queries, standins
+
+    read = []
+    once = standins.view
+    monkeypatch.setattr(standins, "view", lambda spark, sf_dir, name: read.append(name) or once(spark, sf_dir, name))
+    queries._clip(standins.Views(spark, "/root/testdata/sf0.001"))
+    assert len(read) == 1
