@@ -116,7 +116,7 @@ def overlap_join(
     spans their chromosome.  When it does not fit, or when so many of its
     intervals crowd one bin or chromosome that a row would look at them all, the
     distinct left spans are matched through exact cells and joined back on
-    their full key.
+    their full key, unless left rows have no other columns and only matches are asked for.
     """
     r_chr, r_start, r_end = right_on
     point = len(left_on) == 2
@@ -163,6 +163,14 @@ def overlap_join(
     l_end = F.col(l_start) + reach if point else F.col(left_on[2])
     spans = left.withColumns({"_chr": F.col(l_chr), "_s": F.col(l_start), "_e": l_end})
     keys = spans.select("_chr", "_s", "_e").dropna().distinct()
+    if how == "inner" and not first_by and set(left.columns) == set(left_on):
+        # a left row is nothing but its span: its copies are counted, and no pair is sent back to it
+        keys = spans.dropna().groupBy("_chr", "_s", "_e").agg(F.count(F.lit(1)).alias("_copies"))
+        pairs = _overlap_pairs(keys, right, right_on, reach if point else None)
+        pairs = pairs.withColumn("_copies", F.explode(F.sequence(F.lit(1).cast("long"), "_copies")))
+        own = [F.col(c).alias(name) for c, name in zip(("_chr", "_s", "_e"), left_on)]
+        rest = [c for c in right.columns if c != r_chr]
+        return pairs.select(*own, *rest).select(*left.columns, *rest)
     pairs = _overlap_pairs(keys, right, right_on, reach if point else None)
     if first_by:
         rest = [c for c in right.columns if c != r_chr]

@@ -227,3 +227,16 @@ def test_cells_of_the_segment_map_are_never_broadcast(spark, tmp_path):
     plan = cover._jdf.queryExecution().toString()
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
     assert rows(cover.select("_at", "_cover.ord")) == [(p, max(0, -(-(p - 9_000) // 100) * 100)) for p in range(0, 60_000, 500)]
+
+
+@pytest.mark.parametrize("left_on", [("chr", "s", "e"), ("chr", "s")])
+def test_left_rows_that_are_only_spans_get_no_pair_back(spark, left_on):
+    """Copies and missing places of such rows give what the join back gives, which another column brings about."""
+    spans = [(c, s, e) for c, s, e in random_spans(5, n_chr=12)] * 2 + [(1, 7, 7)] * 3 + [(None, 4, 9), (2, None, 9)]
+    left = spark.createDataFrame(spans, "chr int, s bigint, e bigint").select(*left_on[::-1])
+    genes = spark.createDataFrame([(c, s, e, f"{i}") for i, (c, s, e) in enumerate(random_spans(6, n_chr=12))], "g_chr int, g_start bigint, g_end bigint, gene string")
+    join = lambda d: intervals.overlap_join(d, genes, left_on, ("g_chr", "g_start", "g_end"), how="inner", max_rows=1)
+    alone, other = join(left), join(left.withColumn("more", F.lit(1))).drop("more")
+    assert alone.dtypes == other.dtypes and rows(alone) == rows(other) and alone.count() > 50
+    joins = lambda d: d._jdf.queryExecution().executedPlan().toString().split("== Initial")[0].count("SortMergeJoin [_chr")
+    assert joins(alone) == joins(other) - 1
